@@ -28,3 +28,8 @@ def minutes_between(start: Column, end: Column) -> Column:
 def second_text(time: Column) -> Column:
     """``2024-01-31 08:15:07``, the fraction cut off."""
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss")
+
+
+def hour_number(time: Column) -> Column:
+    """Hours since 1970."""
+    return F.datediff(day_of(time), F.lit("1970-01-01").cast("date")) * 24 + F.hour(time)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions.clock import second_text
-from chronofold.operators.running import running_totals
+from chronofold.operators.running import SLOT, running_totals
 from chronofold.schema import BIRTH_CODE, CODE, DEBUG_GROUPS, SEQ, SUBJECT, TIME, require
 
 SEQ_BLOCK = 1 << 20
@@ -43,12 +43,12 @@ def number_events(events: DataFrame) -> DataFrame:
     Adds ``group_start`` (the subject's events before this time), ``group_size`` (events at this
     time), ``group_index`` (1-based, within the time) and ``event_no`` = group_start + group_index.
     Counts are taken per (subject, time, block of seq values) before anything is ordered, so no
-    task sorts more than one second of one subject's counts or one block of events.
+    task sorts more than one hour of one subject's counts or one block of events.
     """
     blocked = events.withColumn("_block", F.floor(F.col(SEQ) / SEQ_BLOCK))
     counts = blocked.groupBy(SUBJECT, TIME, "_block").agg(F.count(F.lit(1)).alias("n"))
     placed = running_totals(counts, [SUBJECT], TIME, ["n"], ["_block"])
-    same_time = Window.partitionBy(SUBJECT, TIME)
+    same_time = Window.partitionBy(SUBJECT, SLOT, TIME)
     groups = placed.select(
         SUBJECT,
         TIME,
@@ -102,8 +102,8 @@ def event_groups(events: DataFrame, part_size: int = LIST_PART) -> DataFrame:
 def group_offsets(events: DataFrame) -> DataFrame:
     """Per (subject, time): number of events and of the subject's earlier events."""
     counts = events.groupBy(SUBJECT, TIME).agg(F.count(F.lit(1)).alias("n_events"))
-    return running_totals(counts, [SUBJECT], TIME, ["n_events"]).withColumnRenamed(
-        "n_events_before", "group_start"
+    return running_totals(counts, [SUBJECT], TIME, ["n_events"]).select(
+        SUBJECT, TIME, "n_events", F.col("n_events_before").alias("group_start")
     )
 
 

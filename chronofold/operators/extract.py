@@ -46,13 +46,16 @@ def map_events(raw: DataFrame, event: dict[str, Any], subject_column: str = SUBJ
 
 
 def extract_events(
-    sources: dict[str, DataFrame], config: dict[str, Any], value_type: str = "float"
+    sources: dict[str, DataFrame], config: dict[str, Any], value_type: T.DataType = T.FloatType()
 ) -> DataFrame:
     """All event mappings of all sources by name; fields a mapping lacks are null.
 
     ``config`` is the content of an event-mapping file: an optional ``subject_id_col``, then per
     source table its named event mappings.
     """
+    schema = T.StructType(
+        [T.StructField(f.name, value_type) if f.name == VALUE else f for f in EVENT_SCHEMA.fields]
+    )
     default_subject = config.get("subject_id_col", SUBJECT)
     parts = []
     for source, mappings in config.items():
@@ -62,8 +65,7 @@ def extract_events(
         for name, event in mappings.items():
             if name == "subject_id_col":
                 continue
-            part = map_events(sources[source], event, subject)
-            parts.append(conform(part).withColumn(VALUE, F.col(VALUE).cast(value_type)))
+            parts.append(conform(map_events(sources[source], event, subject), schema))
     if not parts:
         raise ValueError("the configuration maps no event")
     return union_all(parts)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators.running import running_totals
+from chronofold.operators.skew import lookup_join
 from chronofold.schema import LABEL_COLUMN, SUBJECT, TIME, require
 
 PREDICTION_TIME = "prediction_time"
@@ -62,53 +63,65 @@ def explode_label_lists(lists: DataFrame) -> DataFrame:
     )
 
 
+def matched_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels with at least one event, with ``first_time``, the subject's earliest event.
+
+    A label has an event exactly if its prediction time is not before that earliest event.
+    """
+    first = events.groupBy(SUBJECT).agg(F.min(TIME).alias("first_time"))
+    return lookup_join(labels, first, SUBJECT, F.xxhash64(PREDICTION_TIME, "label")).where(
+        F.col("first_time") <= F.col(PREDICTION_TIME)
+    )
+
+
 def sample_headers(events: DataFrame, labels: DataFrame) -> DataFrame:
     """Numbered samples: one per (subject, prediction time, label) with at least one event.
 
     ``events`` are clean events, ``labels`` come from ``clean_labels``. Events and labels meet as
-    counts per (subject, time), so the number of events up to a prediction time is a running total
-    and no event-label pair is formed. Samples are numbered per subject in prediction-time order,
-    ties by label, after labels without events are gone.
+    counts per (subject, time), so the number of events up to a prediction time and the number of
+    earlier samples are running totals of one table, and no event-label pair is formed. Samples
+    are numbered per subject in prediction-time order, ties by label, after labels without events
+    are gone.
     """
+    matched = matched_labels(events, labels)
     ticks = (
-        events.select(SUBJECT, TIME, F.lit(1).alias("n"), F.lit(False).alias("asked"), F.col(TIME).alias("event_time"))
+        events.select(SUBJECT, TIME, F.lit(1).alias("events"), F.lit(0).alias("samples"))
         .unionByName(
-            labels.select(
+            matched.select(
                 SUBJECT,
                 F.col(PREDICTION_TIME).alias(TIME),
-                F.lit(0).alias("n"),
-                F.lit(True).alias("asked"),
-                F.lit(None).cast(events.schema[TIME].dataType).alias("event_time"),
+                F.lit(0).alias("events"),
+                F.lit(1).alias("samples"),
             )
         )
         .groupBy(SUBJECT, TIME)
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("asked").alias("asked"),
-            F.min("event_time").alias("event_time"),
-        )
+        .agg(F.sum("events").alias("events"), F.sum("samples").alias("samples"))
     )
-    seen = (
-        running_totals(ticks, [SUBJECT], TIME, ["n"], first_of="event_time")
-        .where("asked")
+    asked = (
+        running_totals(ticks, [SUBJECT], TIME, ["events", "samples"])
+        .where("samples > 0")
         .select(
             SUBJECT,
             F.col(TIME).alias(PREDICTION_TIME),
-            F.col("first_event_time").alias("first_time"),
-            (F.col("n_before") + F.col("n")).alias("base_events"),
+            "samples_before",
+            (F.col("events_before") + F.col("events")).alias("base_events"),
         )
-        .where("base_events > 0")
     )
-    matched = labels.join(seen, [SUBJECT, PREDICTION_TIME]).withColumn("one", F.lit(1))
-    numbered = running_totals(matched, [SUBJECT], PREDICTION_TIME, ["one"], ["label"])
-    return numbered.select(
-        F.concat_ws("_", F.col(SUBJECT).cast("string"), (F.col("one_before") + 1).cast("string")).alias("sample_id"),
-        SUBJECT,
-        (F.col("one_before") + 1).alias("sample_no"),
-        PREDICTION_TIME,
-        "label",
-        "copies",
-        "first_time",
-        "base_events",
-        (F.col("base_events") * F.col("copies")).alias("n_events"),
+    same_time = Window.partitionBy(SUBJECT, PREDICTION_TIME).orderBy("label")
+    return (
+        matched.join(asked, [SUBJECT, PREDICTION_TIME])
+        .withColumn("sample_no", F.col("samples_before") + F.row_number().over(same_time))
+        .select(
+            F.concat_ws("_", F.col(SUBJECT).cast("string"), F.col("sample_no").cast("string")).alias(
+                "sample_id"
+            ),
+            SUBJECT,
+            "sample_no",
+            PREDICTION_TIME,
+            "label",
+            "copies",
+            "first_time",
+            "base_events",
+            (F.col("base_events") * F.col("copies")).alias("n_events"),
+        )
     )

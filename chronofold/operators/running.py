@@ -1,22 +1,19 @@
 """Running totals per key that never put a whole key into one task.
 
 A window over ``partitionBy(subject)`` sorts all rows of a subject in one task. Here a running
-total is the sum of three parts, each from a window whose partition is bounded by the calendar:
-earlier days of the key (one row per day), earlier seconds of that day (at most 86,400 rows) and
-earlier rows of that second.
+total is the sum of two parts: earlier hours of the key, from a table with one row per hour, and
+earlier rows of the same hour. A subject with a third of all rows is thus spread over as many
+tasks as it has hours.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.functions.clock import day_of, second_of_day
+from chronofold.functions.clock import hour_number
 
-DAY, SECOND = "_day", "_second"
+SLOT = "_slot"
 
 
 def running_totals(
@@ -25,51 +22,31 @@ def running_totals(
     time: str,
     measures: list[str],
     tie_break: list[str] | None = None,
-    first_of: str | None = None,
 ) -> DataFrame:
     """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key.
 
-    Rows should already be aggregated to one per (keys, time, tie_break). ``first_of`` names a time
-    column; ``first_{time}`` is then its smallest value over the key's days up to the row's own.
+    Rows should already be aggregated to one per (keys, time, tie_break). The hour number stays in
+    the result as ``_slot``; rows come out hash-partitioned by keys and hour.
     """
-    rows = df.withColumn(DAY, day_of(F.col(time))).withColumn(SECOND, second_of_day(F.col(time)))
-    sums = [F.sum(m).alias(m) for m in measures]
-    firsts = [] if first_of is None else [F.min(first_of).alias(first_of)]
-    by_second = rows.groupBy(*keys, DAY, SECOND).agg(*sums, *firsts)
-    by_day = by_second.groupBy(*keys, DAY).agg(*sums, *firsts)
-
+    rows = df.withColumn(SLOT, hour_number(F.col(time)))
     earlier = (Window.unboundedPreceding, -1)
-    day_window = Window.partitionBy(*keys).orderBy(DAY)
-    day_parts = [F.sum(m).over(day_window.rowsBetween(*earlier)).alias(f"_{m}_days") for m in measures]
-    if first_of is not None:
-        day_parts.append(
-            F.min(first_of)
-            .over(day_window.rowsBetween(Window.unboundedPreceding, 0))
-            .alias(f"first_{first_of}")
+    over_slots = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(*earlier)
+    slots = (
+        rows.groupBy(*keys, SLOT)
+        .agg(*[F.sum(m).alias(m) for m in measures])
+        .select(*keys, SLOT, *[_or_zero(F.sum(m).over(over_slots)).alias(f"_{m}_slots") for m in measures])
+    )
+    in_slot = Window.partitionBy(*keys, SLOT).orderBy(time, *(tie_break or [])).rowsBetween(*earlier)
+    return (
+        rows.select("*", *[_or_zero(F.sum(m).over(in_slot)).alias(f"_{m}_rows") for m in measures])
+        .join(slots, [*keys, SLOT])
+        .select(
+            *df.columns,
+            SLOT,
+            *[(F.col(f"_{m}_slots") + F.col(f"_{m}_rows")).alias(f"{m}_before") for m in measures],
         )
-    days = by_day.select(*keys, DAY, *day_parts)
-
-    second_window = Window.partitionBy(*keys, DAY).orderBy(SECOND).rowsBetween(*earlier)
-    seconds = by_second.select(
-        *keys, DAY, SECOND, *[F.sum(m).over(second_window).alias(f"_{m}_seconds") for m in measures]
-    ).join(days, [*keys, DAY])
-
-    row_window = (
-        Window.partitionBy(*keys, DAY, SECOND).orderBy(time, *(tie_break or [])).rowsBetween(*earlier)
     )
-    placed = rows.select(
-        "*", *[F.sum(m).over(row_window).alias(f"_{m}_rows") for m in measures]
-    ).join(seconds, [*keys, DAY, SECOND])
 
-    out = list(df.columns)
-    if first_of is not None:
-        out.append(f"first_{first_of}")
-    return placed.select(
-        *out,
-        *[
-            reduce(
-                add, [F.coalesce(F.col(f"_{m}_{p}"), F.lit(0)) for p in ("days", "seconds", "rows")]
-            ).alias(f"{m}_before")
-            for m in measures
-        ],
-    )
+
+def _or_zero(total: Column) -> Column:
+    return F.coalesce(total, F.lit(0))

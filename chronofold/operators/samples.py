@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions.clock import minutes_between
@@ -17,14 +17,15 @@ SEQUENCE_PART = 1024
 def match_events(
     events: DataFrame,
     headers: DataFrame,
-    labels: DataFrame | None = None,
+    labels: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Every event with every sample of its subject whose prediction time is not earlier.
 
     Only the columns of ``events`` passed in travel through the fan-out: give it the key and time,
-    and attach wide columns afterwards. ``labels`` may be given to count heavy subjects on instead
-    of the headers, which are costlier to compute.
+    and attach wide columns afterwards. Heavy subjects are counted on ``labels``, which are cheaper to
+    read than the headers made from them.
     """
     return grid_join(
         events,
@@ -33,16 +34,16 @@ def match_events(
         F.col(TIME) <= F.col(PREDICTION_TIME),
         F.xxhash64(SEQ),
         F.xxhash64("sample_id"),
+        events if counted_on is None else counted_on,
+        labels,
         rows_per_task,
-        left_keys=events,
-        right_keys=labels,
     )
 
 
 def sample_events(
     events: DataFrame,
     headers: DataFrame,
-    labels: DataFrame | None = None,
+    labels: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Long form of the samples: one row per sample and event, with the minute since its first event.
@@ -65,7 +66,7 @@ def sample_events(
 def sample_positions(
     events: DataFrame,
     headers: DataFrame,
-    labels: DataFrame | None = None,
+    labels: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``sample_events`` plus ``pos``, the 1-based place of the row within its sample.
@@ -75,7 +76,7 @@ def sample_positions(
     """
     numbered = number_events(events.select(SUBJECT, TIME, SEQ))
     keys = headers.select(SUBJECT, "sample_id", PREDICTION_TIME, "copies", "first_time")
-    matched = match_events(numbered, keys, labels, rows_per_task).select(
+    matched = match_events(numbered, keys, labels, rows_per_task, counted_on=events).select(
         "*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no")
     )
     return matched.select(
@@ -113,41 +114,48 @@ def sample_sequences(positions: DataFrame, part_size: int = SEQUENCE_PART) -> Da
     )
 
 
-def sample_tail(events: DataFrame, headers: DataFrame, n: int = DEBUG_EVENTS) -> DataFrame:
+def sample_tail(
+    events: DataFrame,
+    headers: DataFrame,
+    labels: DataFrame,
+    n: int = DEBUG_EVENTS,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """The last ``n`` rows of every sample, minutes counted from the first row kept (debug view).
 
     Event ordinals are cut into blocks of ``n``: the last rows of a sample lie in two blocks, so
     the join meets at most 2n events per sample instead of the sample's whole history.
     """
-    def block_key(block: Column) -> Column:
-        return F.concat_ws(":", F.col(SUBJECT).cast("string"), block.cast("string"))
-
     numbered = number_events(events.select(SUBJECT, TIME, SEQ)).withColumn(
-        "_block", block_key(F.floor((F.col("event_no") - 1) / n))
+        "_block", F.floor((F.col("event_no") - 1) / n)
     )
     last_block = F.floor((F.col("base_events") - 1) / n)
     wanted = headers.select(
+        SUBJECT,
         "sample_id",
         "copies",
         "base_events",
         "n_events",
-        F.transform(
-            F.sequence(F.greatest(last_block - 1, F.lit(0)), last_block), block_key
-        ).alias("_blocks"),
-    ).select("sample_id", "copies", "base_events", "n_events", F.explode("_blocks").alias("_block"))
+        F.explode(F.sequence(F.greatest(last_block - 1, F.lit(0)), last_block)).alias("_wanted"),
+    )
     # Each copy of a time holds at least one row, so only the last n copies can reach the tail.
     copy_no = F.explode(
         F.sequence(F.greatest(F.col("copies") - (n - 1), F.lit(1)), F.col("copies"))
     )
+    # A block has at most n events, so only the sample side can be heavy.
     rows = (
         grid_join(
             numbered,
             wanted,
-            "_block",
-            F.col("event_no") <= F.col("base_events"),
+            SUBJECT,
+            (F.col("_block") == F.col("_wanted")) & (F.col("event_no") <= F.col("base_events")),
             F.xxhash64(SEQ),
             F.xxhash64("sample_id"),
-        ).select("*", copy_no.alias("copy_no"))
+            None,
+            labels,
+            rows_per_task,
+        )
+        .select("*", copy_no.alias("copy_no"))
         .withColumn(
             "pos",
             F.col("group_start") * F.col("copies")
@@ -156,13 +164,10 @@ def sample_tail(events: DataFrame, headers: DataFrame, n: int = DEBUG_EVENTS) ->
         )
         .where(F.col("pos") > F.col("n_events") - n)
     )
-    starts = rows.groupBy("sample_id").agg(F.min(TIME).alias("_tail_start"))
-    return rows.join(starts, "sample_id").select(
-        "sample_id",
-        "pos",
-        SEQ,
-        "copy_no",
-        minutes_between(F.col("_tail_start"), F.col(TIME)).alias("minute"),
+    # At most n rows per sample are left.
+    tail_start = F.min(TIME).over(Window.partitionBy("sample_id"))
+    return rows.select(
+        "sample_id", "pos", SEQ, "copy_no", minutes_between(tail_start, F.col(TIME)).alias("minute")
     )
 
 

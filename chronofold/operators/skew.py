@@ -10,8 +10,8 @@ MAX_HEAVY_KEYS = 10_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int, name: str) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows and the number of slices each needs.
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows.
 
     The limit only bounds what is broadcast. Keys beyond it stay in the plain path of the
     callers, where each holds less than 1/10,000 of the rows, so no row is lost.
@@ -21,7 +21,31 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int, name: str) -> DataFr
         counts.where(F.col("_rows") > rows_per_task)
         .orderBy(F.desc("_rows"), key)
         .limit(MAX_HEAVY_KEYS)
-        .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias(name))
+        .select(key)
+    )
+
+
+def _grid(
+    key: str, left_keys: DataFrame | None, right_keys: DataFrame | None, rows_per_task: int
+) -> DataFrame:
+    """Heavy keys with their numbers of left and right slices, ``_a`` and ``_b``."""
+    parts = [
+        df.select(key, F.lit(is_left).alias("_l"), F.lit(1 - is_left).alias("_r"))
+        for df, is_left in ((left_keys, 1), (right_keys, 0))
+        if df is not None
+    ]
+    counts = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).groupBy(key).agg(
+        F.sum("_l").alias("_l"), F.sum("_r").alias("_r")
+    )
+
+    def slices(rows: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / rows_per_task), F.lit(1)).cast("int")
+
+    return (
+        counts.where((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task))
+        .orderBy(F.desc(F.col("_l") + F.col("_r")), key)
+        .limit(MAX_HEAVY_KEYS)
+        .select(key, slices("_l").alias("_a"), slices("_r").alias("_b"))
     )
 
 
@@ -32,43 +56,38 @@ def grid_join(
     condition: Column,
     slice_left: Column,
     slice_right: Column,
+    left_keys: DataFrame | None,
+    right_keys: DataFrame | None,
     rows_per_task: int = ROWS_PER_TASK,
-    left_keys: DataFrame | None = None,
-    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` and ``condition``, heavy keys spread over a grid of tasks.
 
     A key with ``a`` slices of left rows and ``b`` slices of right rows becomes ``a * b`` join keys:
     a left row goes to one of the ``a`` rows of the grid and is repeated for the ``b`` columns, a right
     row the other way round, so every pair meets exactly once. ``slice_left`` and ``slice_right`` are
-    hashes that spread the rows of one key. ``left_keys`` and ``right_keys`` may name cheaper tables
-    to count keys on. Columns other than ``key`` must differ between the sides.
+    hashes that spread the rows of one key. ``left_keys`` and ``right_keys`` are the tables keys are
+    counted on, as cheap as can be; None for a side that cannot be heavy. Columns other than ``key``
+    must differ between the sides.
     """
-    heavy_left = heavy_keys(left_keys if left_keys is not None else left, key, rows_per_task, "_a")
-    heavy_right = heavy_keys(right_keys if right_keys is not None else right, key, rows_per_task, "_b")
-    grid = heavy_left.join(heavy_right, key, "full").select(
-        key, F.coalesce("_a", F.lit(1)).alias("_a"), F.coalesce("_b", F.lit(1)).alias("_b")
-    )
-    one = F.array(F.lit(0))
+    grid = _grid(key, left_keys, right_keys, rows_per_task)
 
     def slice_of(hashed: Column, n: str) -> Column:
         return F.when(F.col(n).isNull(), F.lit(0)).otherwise(F.pmod(hashed, F.col(n)).cast("int"))
 
     def copies_of(n: str) -> Column:
+        one = F.array(F.lit(0))
         return F.explode(
             F.when(F.col(n).isNull(), one).otherwise(F.sequence(F.lit(0), F.col(n) - 1))
         )
 
-    spread_left = (
-        left.join(F.broadcast(grid), key, "left")
-        .withColumn("_i", slice_of(slice_left, "_a"))
-        .withColumn("_j", copies_of("_b"))
-        .drop("_a", "_b")
-    )
+    spread_left = left.join(F.broadcast(grid), key, "left").withColumn("_i", slice_of(slice_left, "_a"))
+    spread_right = right.join(F.broadcast(grid), key, "left").withColumn("_j", slice_of(slice_right, "_b"))
+    # A side is repeated only if the other one can be heavy.
+    repeat_left = copies_of("_b") if right_keys is not None else F.lit(0)
+    repeat_right = copies_of("_a") if left_keys is not None else F.lit(0)
+    spread_left = spread_left.withColumn("_j", repeat_left).drop("_a", "_b")
     spread_right = (
-        right.join(F.broadcast(grid), key, "left")
-        .withColumn("_j", slice_of(slice_right, "_b"))
-        .withColumn("_i", copies_of("_a"))
+        spread_right.withColumn("_i", repeat_right)
         .drop("_a", "_b")
         .withColumnsRenamed({key: "_key", "_i": "_ri", "_j": "_rj"})
     )
@@ -83,7 +102,7 @@ def grid_join(
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size estimate of the optimised plan; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def lookup_join(
@@ -104,7 +123,7 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), key, "left")
 
     values = [c for c in lookup.columns if c != key]
-    heavy = heavy_keys(facts, key, rows_per_task, "_a").select(key)
+    heavy = heavy_keys(facts, key, rows_per_task)
     hot = lookup.join(F.broadcast(heavy), key, "left_semi").select(
         key, F.struct(*values).alias("_hot")
     )

@@ -88,9 +88,9 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_seq():
     """A number per line item: order, line, part and supplier packed."""
     return (
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 4_000_000
-        + F.col("l_partkey") * 100
-        + F.pmod(F.col("l_suppkey"), F.lit(100))
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(1 << 32)
+        + F.col("l_partkey") * 128
+        + F.pmod(F.col("l_suppkey"), F.lit(128))
     )
 
 

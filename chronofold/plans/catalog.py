@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronofold.functions import text as text_fn
 from chronofold.functions.classify import bucket, category
@@ -104,11 +105,13 @@ def sample_sequences(spark, d):
 
 
 def sample_tail(spark, d):
-    return samples.sample_tail(_clean(spark, d), _headers(spark, d), 20)
+    return samples.sample_tail(_clean(spark, d), _headers(spark, d), _labels(spark, d), 20)
 
 
 def sample_tail_orders(spark, d):
-    return samples.sample_tail(ad.order_events(spark, d), _order_headers(spark, d), 20)
+    return samples.sample_tail(
+        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d), 20
+    )
 
 
 # Events and labels
@@ -188,7 +191,7 @@ def extract_events(spark, d):
         },
     }
     sources = {name: ad.table(spark, d, name) for name in config}
-    return extract.extract_events(sources, config, "double")
+    return extract.extract_events(sources, config, T.DoubleType())
 
 
 def merge_cohort(spark, d):
@@ -291,19 +294,27 @@ def event_text(spark, d):
 
 
 def _line_texts(spark, d):
-    lines = ad.table(spark, d, "lineitem")
-    text = F.concat_ws(
-        " ",
-        F.lit("qty"),
-        F.col("l_quantity").cast("decimal(12,2)").cast("string"),
-        F.lit("at"),
-        (F.col("l_extendedprice").cast("decimal(20,2)") * F.col("l_discount").cast("decimal(10,2)") / 7)
-        .cast("decimal(30,9)")
-        .cast("string"),
-        F.concat(F.lit("v"), F.col("l_linenumber").cast("string"), F.lit("..."), F.col("l_suppkey").cast("string")),
-        F.lit(".5"),
+    """A text per line item with numbers of many shapes in it."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    text = F.concat(
+        F.lit("qty "),
+        (cents % 1000).cast("string"),
+        F.lit("."),
+        (cents * 37 % 1000003).cast("string"),
+        F.lit(" v"),
+        F.col("l_linenumber").cast("string"),
+        F.lit("."),
+        (cents % 97).cast("string"),
+        F.lit("."),
+        (cents % 89).cast("string"),
+        F.lit(" at ."),
+        (cents % 99991).cast("string"),
+        F.lit("... no "),
+        F.col("l_suppkey").cast("string"),
+    )
+    return ad.table(spark, d, "lineitem").select(
+        ad.line_seq().alias(SEQ), text.alias("raw"), "l_extendedprice", "l_discount", "l_tax", "l_linenumber"
     )
-    return lines.select(ad.line_seq().alias(SEQ), text.alias("raw"), "l_extendedprice", "l_discount", "l_tax")
 
 
 def text_rounded(spark, d):
@@ -312,7 +323,12 @@ def text_rounded(spark, d):
 
 def number_text(spark, d):
     value = F.col("l_extendedprice") * F.col("l_discount") / 7 - F.col("l_tax") * 100
-    return _line_texts(spark, d).select(SEQ, text_fn.float_text(value).alias("text"))
+    scaled = (
+        F.when(F.col("l_linenumber") == 6, value * F.lit(1e15))
+        .when(F.col("l_linenumber") == 7, value * F.lit(1e-9))
+        .otherwise(value)
+    )
+    return _line_texts(spark, d).select(SEQ, text_fn.float_text(scaled).alias("text"))
 
 
 def digit_spaced(spark, d):
