@@ -213,7 +213,8 @@ vocab_words AS (SELECT DISTINCT word FROM words),
 best AS (
   SELECT word, p, max_by(id, length(piece)) AS id, max(length(piece)) AS size FROM (
     SELECT word, unnest(range(1, length(word) + 1)) AS p FROM vocab_words WHERE length(word) <= 100) w
-  JOIN heads ON inner_piece = (p > 1) AND starts_with(substr(word, p), piece)
+  CROSS JOIN (SELECT DISTINCT length(piece) AS k FROM heads) sizes
+  JOIN heads ON inner_piece = (p > 1) AND piece = substr(word, p, k) AND length(piece) = k
   GROUP BY word, p),
 walk AS (
   SELECT word, 1 AS step, CAST(1 AS BIGINT) AS p, CAST(0 AS BIGINT) AS id FROM vocab_words WHERE length(word) <= 100
