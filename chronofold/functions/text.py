@@ -54,26 +54,23 @@ def float_text(x: Column) -> Column:
         _four_places(mantissa.try_cast("double"))
     )
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.coalesce(
-        _not_finite(x),
-        F.when(plain, _four_places(x)).otherwise(F.concat(sign, rounded, _exponent(x))),
+    return F.when(plain, _four_places(x)).otherwise(
+        F.coalesce(_not_finite(x), F.concat(sign, rounded, _exponent(x)))
     )
 
 
-def _round_piece(piece: Column) -> Column:
-    x = piece.try_cast("double")
+def _round_piece(x: Column) -> Column:
     big = F.concat(F.regexp_replace(_mantissa(x), r"\.0$", ""), _exponent(x))
-    return F.coalesce(
-        _not_finite(x), F.when(x < F.lit(1e16), _four_places(x)).otherwise(big)
-    )
+    return F.when(x < F.lit(1e16), _four_places(x)).otherwise(F.coalesce(_not_finite(x), big))
 
 
 def round_decimals(text: Column) -> Column:
     """Round every decimal number inside a text to four places and keep the rest."""
     gaps = F.split(text, DECIMAL_PATTERN, -1)
-    pieces = F.regexp_extract_all(text, F.lit(f"({DECIMAL_PATTERN})"), F.lit(1))
+    numbers = F.regexp_extract_all(text, F.lit(f"({DECIMAL_PATTERN})"), F.lit(1)).cast("array<double>")
     joined = F.array_join(
-        F.zip_with(gaps, pieces, lambda g, p: F.concat(g, F.coalesce(_round_piece(p), F.lit("")))), ""
+        F.zip_with(gaps, numbers, lambda g, x: F.when(x.isNull(), g).otherwise(F.concat(g, _round_piece(x)))),
+        "",
     )
     return F.when(text.rlike(r"\.\d"), joined).otherwise(text)
 
@@ -112,12 +109,8 @@ def place_ids(run: Column) -> Column:
     """
     n = F.length(run)
     dots = n - F.length(F.replace(run, F.lit("."), F.lit("")))
-    dot_at = F.instr(run, ".")
-    top = F.when(dots == 0, n + 5).when(dots == 1, dot_at + 4)
-    return F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.coalesce(top - i, F.lit(0)).cast("int"),
-    )
+    top = F.when(dots == 0, n + 5).otherwise(F.instr(run, ".") + 4)
+    return F.when(dots > 1, F.array_repeat(F.lit(0), n)).otherwise(F.sequence(top, top - n + 1, F.lit(-1)))
 
 
 def text_place_ids(text: Column) -> Column:

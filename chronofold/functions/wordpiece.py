@@ -7,25 +7,40 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chronofold.functions.text import DIGIT_RUN_PATTERN
+
 # The public sub-word conventions.
 PAD, UNKNOWN, START, END = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
 CONTINUATION = "##"
 MAX_WORD_CHARS = 100
-CONTROL_PATTERN = r"[\p{C}�&&[^\t\n\r]]"
+CONTROL_PATTERN = r"[\p{C}\x{FFFD}&&[^\t\n\r]]"
 PUNCTUATION = r"!-/:-@\[-`{-~\p{P}"
 CJK = (
     r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
     r"\x{2B740}-\x{2B81F}\x{2B920}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
 )
-OWN_WORD_PATTERN = f"[{PUNCTUATION}{CJK}]"
-SPACE_PATTERN = r"[\s\p{Z}]+"
+SPACE = r"\s\p{Z}"
+
+
+def words_of(text: Column, numbers: bool = False) -> Column:
+    """Whitespace-separated words; each punctuation mark or CJK character is its own word.
 
+    With ``numbers`` every digit run (see ``digit_runs``) is one word too, wherever it stands: the
+    words of a value text whose digits and dots will be set apart.
+    """
+    apart = PUNCTUATION + CJK
+    plain, wide = r"!-/:-@\[-`{-~", apart
+    start = DIGIT_RUN_PATTERN + "|" if numbers else ""
+    digits = "0-9." if numbers else ""
 
-def words_of(text: Column) -> Column:
-    """Whitespace-separated words; each punctuation mark or CJK character is its own word."""
+    def pattern(marks: str, space: str) -> Column:
+        return F.lit(f"({start}[{marks}]|[^{space}{marks}{digits}]+)")
+
+    ascii_words = F.regexp_extract_all(text, pattern(plain, r"\x00-\x20\x7F"), F.lit(1))
     clean = F.regexp_replace(text, CONTROL_PATTERN, "")
-    apart = F.regexp_replace(clean, OWN_WORD_PATTERN, " $0 ")
-    return F.filter(F.split(apart, SPACE_PATTERN), lambda w: w != "")
+    wide_words = F.regexp_extract_all(clean, pattern(wide, SPACE), F.lit(1))
+    # Printable ASCII, tabs and line ends only: the cheap pattern gives the same words.
+    return F.when(text.rlike(r"[^\t\n\r -~]"), wide_words).otherwise(ascii_words)
 
 
 def pieces_of(word: str, vocab: dict[str, int], unknown: int, lowercase: bool) -> list[int]:
@@ -43,3 +58,16 @@ def pieces_of(word: str, vocab: dict[str, int], unknown: int, lowercase: bool) -
         ids.append(vocab[mark + rest[:size]])
         rest, mark = rest[size:], CONTINUATION
     return ids
+
+
+def split_words(text: str) -> list[str]:
+    """``words_of`` for a short ASCII name on the driver."""
+    words, current = [], ""
+    for c in text:
+        if c.isalnum() or ord(c) > 127:
+            current += c
+            continue
+        words += [current] if current else []
+        words += [c] if not c.isspace() else []
+        current = ""
+    return words + ([current] if current else [])

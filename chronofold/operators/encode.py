@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.functions.text import digit_runs, space_digits
-from chronofold.functions.wordpiece import END, PAD, START, UNKNOWN, pieces_of, words_of
+from chronofold.functions.wordpiece import END, PAD, START, UNKNOWN, pieces_of, split_words, words_of
 from chronofold.operators.render import field_texts
 from chronofold.schema import CODE, MAX_EVENT_LENGTH
 
@@ -19,8 +18,10 @@ TYPE_PAD, TYPE_NAME, TYPE_VALUE, TYPE_START, TYPE_END = 0, 2, 3, 5, 6
 DOT_PLACE = 5
 
 MAX_VOCAB = 32767  # ids are 16-bit
-CACHE_WORDS = 1_000_000
-_NAME, _CODE_VALUE, _VALUE = 0, 1, 2  # kinds of words
+CACHE_WORDS = 500_000
+_DIGITS = frozenset("0123456789.")
+
+LookUp = Callable[[str], list[int]]
 
 
 def load_vocab(vocab: DataFrame) -> dict[str, int]:
@@ -35,116 +36,102 @@ def load_vocab(vocab: DataFrame) -> dict[str, int]:
     return table
 
 
-def word_columns(events: DataFrame, skip: list[str] | None = None) -> list[Column]:
-    """``words``, ``kinds`` and ``run_lengths`` of each event.
+def field_words(events: DataFrame, keys: list[str], skip: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``keys`` and one word list per rendered field (null where the field is), with the field names.
 
-    Words of all fields in order; the kind of each word (column name, code, other value); and the
-    lengths of the digit runs, in order, over the fields other than the code.
+    In fields other than the code a digit run is one word, so that its digits stay together until
+    they are numbered.
     """
-    words, kinds, runs = [], [], []
-    empty = F.array().cast("array<string>")
-    for name, text in field_texts(events, skip):
-        if name == CODE:
-            value = F.col("code_words") if "code_words" in events.columns else words_of(text)
-            kind = _CODE_VALUE
-        else:
-            value, kind = words_of(space_digits(text)), _VALUE
-            runs.append(
-                F.when(text.isNotNull(), F.transform(digit_runs(text), lambda r: F.length(r)))
-                .otherwise(F.array().cast("array<int>"))
-            )
-        name_words = words_of(F.lit(name))
-        shown = text.isNotNull()
-        words.append(F.when(shown, F.concat(name_words, value)).otherwise(empty))
-        kinds.append(
-            F.when(
-                shown,
-                F.concat(
-                    F.array_repeat(F.lit(_NAME).cast("tinyint"), F.size(name_words)),
-                    F.array_repeat(F.lit(kind).cast("tinyint"), F.size(value)),
-                ),
-            ).otherwise(F.array().cast("array<tinyint>"))
-        )
-    return [
-        F.concat(*words).alias("words"),
-        F.concat(*kinds).alias("kinds"),
-        (F.concat(*runs) if runs else F.array().cast("array<int>")).alias("run_lengths"),
+    fields = field_texts(events, skip)
+    lists = [
+        (
+            F.col("code_words")
+            if name == CODE and "code_words" in events.columns
+            else words_of(text, numbers=name != CODE)
+        ).alias(f"_words_{i}")
+        for i, (name, text) in enumerate(fields)
     ]
+    shown = F.coalesce(*[F.col(f"_words_{i}") for i in range(len(fields))]).isNotNull()
+    return events.select(*keys, *lists).where(shown), [name for name, _ in fields]
 
 
 def _starts(counts: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64) if len(counts) else counts
-
-
-def _flat(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
-    """Values of a list column and the length of each list."""
-    offsets = column.offsets.to_numpy()
-    return column.flatten(), np.diff(offsets)
-
-
-def encode_batch(batch: pa.RecordBatch, look_up, length: int, special: dict[str, int]) -> list[pa.Array]:
-    """Id arrays of one batch. ``look_up`` gives the piece ids of a word."""
-    n_rows = batch.num_rows
-    word_values, words_per_row = _flat(batch.column("words"))
-    coded = word_values.dictionary_encode()
-    unique = coded.dictionary.to_pylist()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    kind = _flat(batch.column("kinds"))[0].to_numpy(zero_copy_only=False)
-    run_lengths = _flat(batch.column("run_lengths"))[0].to_numpy(zero_copy_only=False)
-
-    pieces = [look_up(w) for w in unique]
-    pool = np.fromiter((i for p in pieces for i in p), dtype=np.int64)
-    piece_count = np.fromiter((len(p) for p in pieces), dtype=np.int64, count=len(pieces))
-    is_digit = np.fromiter((len(w) == 1 and w in "0123456789." for w in unique), bool, len(unique))
-    is_dot = np.fromiter((w == "." for w in unique), bool, len(unique))
-
-    # One entry per token.
-    per_word = piece_count[code]
-    word_of = np.repeat(np.arange(len(code)), per_word)
-    inside = np.arange(len(word_of)) - np.repeat(_starts(per_word), per_word)
-    token_id = pool[_starts(piece_count)[code][word_of] + inside] if len(word_of) else pool[:0]
-    token_kind = kind[word_of]
-    row_of_word = np.repeat(np.arange(n_rows), words_per_row)
-    row = row_of_word[word_of]
-    per_row = np.bincount(row, minlength=n_rows)
-    at = np.arange(len(row)) - np.repeat(_starts(per_row), per_row)
-
-    kept = at < length - 2
-    row, at, token_id, token_kind, word_of = (a[kept] for a in (row, at, token_id, token_kind, word_of))
-
-    ids = np.full((n_rows, length), special[PAD], dtype=np.int16)
-    types = np.full((n_rows, length), TYPE_PAD, dtype=np.int16)
-    places = np.zeros((n_rows, length), dtype=np.int16)
-    ids[row, at + 1] = token_id
-    types[row, at + 1] = np.where(token_kind == _NAME, TYPE_NAME, TYPE_VALUE)
-
-    # Places count within a digit run, as far as the run is kept.
-    in_run_word = (kind == _VALUE) & is_digit[code]
-    run_of_word = np.full(len(code), -1, dtype=np.int64)
-    run_of_word[in_run_word] = np.repeat(np.arange(len(run_lengths)), run_lengths)
-    run = run_of_word[word_of]
-    digit = run >= 0
-    run, d_row, d_at, d_word = run[digit], row[digit], at[digit], word_of[digit]
-    if len(run):
-        size = np.bincount(run, minlength=len(run_lengths))
-        index = np.arange(len(run)) - _starts(size)[run]
-        dot = is_dot[code[d_word]]
-        dots = np.bincount(run, weights=dot, minlength=len(run_lengths)).astype(np.int64)[run]
-        dot_index = np.zeros(len(run_lengths), dtype=np.int64)
-        dot_index[run[dot]] = index[dot]
-        whole = size[run] + DOT_PLACE - index
-        with_dot = dot_index[run] + DOT_PLACE - index
-        places[d_row, d_at + 1] = np.select([dots == 0, dots == 1], [whole, with_dot], 0)
-
-    n_kept = np.minimum(per_row, length - 2)
-    every = np.arange(n_rows)
-    ids[:, 0], types[:, 0] = special[START], TYPE_START
-    ids[every, n_kept + 1], types[every, n_kept + 1] = special[END], TYPE_END
-
-    bounds = pa.array(np.arange(0, (n_rows + 1) * length, length, dtype=np.int32))
-    return [pa.ListArray.from_arrays(bounds, pa.array(m.reshape(-1))) for m in (ids, types, places)] + [
-        pa.array((n_kept + 2).astype(np.int32))
-    ]
+    return np.cumsum(counts) - counts
+
+
+def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lists of the given lengths: owner and place within its list of every element."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - _starts(counts)[owner]
+
+
+class _Page:
+    """Id matrices of one batch, filled field by field from the left."""
+
+    def __init__(self, rows: int, length: int, special: dict[str, int]):
+        self.length = length
+        self.special = special
+        self.used = np.zeros(rows, dtype=np.int64)
+        self.ids = np.full((rows, length), special[PAD], dtype=np.int16)
+        self.types = np.full((rows, length), TYPE_PAD, dtype=np.int16)
+        self.places = np.zeros((rows, length), dtype=np.int16)
+
+    def _put(self, row: np.ndarray, inside: np.ndarray, ids: np.ndarray, kind: int):
+        """Write tokens after what each row holds; tokens beyond the cut are dropped."""
+        at = self.used[row] + inside + 1
+        kept = at < self.length - 1
+        self.ids[row[kept], at[kept]] = ids[kept]
+        self.types[row[kept], at[kept]] = kind
+        return at, kept
+
+    def add_name(self, shown: np.ndarray, ids: np.ndarray) -> None:
+        rows = np.flatnonzero(shown)
+        self._put(np.repeat(rows, len(ids)), np.tile(np.arange(len(ids)), len(rows)), np.tile(ids, len(rows)), TYPE_NAME)
+        self.used[rows] += len(ids)
+
+    def add_words(self, words: pa.ListArray, look_up: LookUp, dot: int, numbers: bool) -> None:
+        offsets = words.offsets.to_numpy()
+        coded = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        unique = coded.dictionary.to_pylist()
+        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        is_run = np.array([numbers and w[0] in _DIGITS for w in unique], dtype=bool)
+        pieces = [
+            [i for c in w for i in look_up(c)] if run else look_up(w) for w, run in zip(unique, is_run)
+        ]
+        n_pieces = np.array([len(p) for p in pieces], dtype=np.int64)
+        pool = np.array([i for p in pieces for i in p], dtype=np.int64)
+
+        word_row, _ = _ragged(np.diff(offsets))
+        token_word, in_word = _ragged(n_pieces[word])
+        ids = pool[_starts(n_pieces)[word[token_word]] + in_word] if len(token_word) else pool
+        row = word_row[token_word]
+        per_row = np.bincount(row, minlength=len(self.used))
+        at, kept = self._put(row, np.arange(len(row)) - _starts(per_row)[row], ids, TYPE_VALUE)
+        self.used += per_row
+
+        # Places count within a digit run, as far as the run is kept.
+        digit = kept & is_run[word[token_word]] if len(token_word) else kept
+        if digit.any():
+            run, index, is_dot = token_word[digit], in_word[digit], ids[digit] == dot
+            size = np.bincount(run, minlength=len(word))[run]
+            dots = np.bincount(run, weights=is_dot, minlength=len(word))[run]
+            dot_index = np.zeros(len(word), dtype=np.int64)
+            dot_index[run[is_dot]] = index[is_dot]
+            self.places[row[digit], at[digit]] = np.select(
+                [dots == 0, dots == 1], [size + DOT_PLACE - index, dot_index[run] + DOT_PLACE - index], 0
+            )
+
+    def finish(self) -> list[pa.Array]:
+        rows, length = self.ids.shape
+        kept = np.minimum(self.used, length - 2)
+        every = np.arange(rows)
+        self.ids[:, 0], self.types[:, 0] = self.special[START], TYPE_START
+        self.ids[every, kept + 1], self.types[every, kept + 1] = self.special[END], TYPE_END
+        bounds = pa.array(np.arange(0, (rows + 1) * length, length, dtype=np.int32))
+        return [
+            pa.ListArray.from_arrays(bounds, pa.array(m.reshape(-1)))
+            for m in (self.ids, self.types, self.places)
+        ] + [pa.array((kept + 2).astype(np.int32))]
 
 
 def encode_events(
@@ -161,13 +148,13 @@ def encode_events(
     batches, where each distinct word of a batch is looked up once. The step is narrow: nothing is
     shuffled, and equal words need not meet. Events without any field to show are dropped.
     """
-    spark = events.sparkSession
     table = load_vocab(vocab)
     special = {t: table[t] for t in (PAD, UNKNOWN, START, END)}
-    shared = spark.sparkContext.broadcast(table)
-    prepared = events.select(*keys, *word_columns(events, skip)).where(F.size("words") > 0)
-    key_schema = prepared.select(*keys).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_schema.fields)
+    dot = table.get(".", -1)
+    shared = events.sparkSession.sparkContext.broadcast(table)
+    prepared, names = field_words(events, keys, skip)
+    name_words = [split_words(n) for n in names]
+    outputs = ["input_ids", "type_ids", "place_ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
@@ -181,15 +168,17 @@ def encode_events(
                 found = known[word] = pieces_of(word, words, special[UNKNOWN], lowercase)
             return found
 
+        name_ids = [np.array([i for w in ws for i in look_up(w)], dtype=np.int64) for ws in name_words]
         for batch in batches:
-            arrays = encode_batch(batch, look_up, max_length, special)
+            page = _Page(batch.num_rows, max_length, special)
+            for i, name in enumerate(names):
+                column = batch.column(f"_words_{i}")
+                page.add_name(column.is_valid().to_numpy(zero_copy_only=False), name_ids[i])
+                page.add_words(column, look_up, dot, numbers=name != CODE)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys] + arrays,
-                [*keys, "input_ids", "type_ids", "place_ids", "n_tokens"],
+                [batch.column(k) for k in keys] + page.finish(), [*keys, *outputs]
             )
 
-    return prepared.mapInArrow(
-        run,
-        schema
-        + ", input_ids array<smallint>, type_ids array<smallint>, place_ids array<smallint>, n_tokens int",
-    )
+    kept = ", ".join(f"`{k}` {prepared.schema[k].dataType.simpleString()}" for k in keys)
+    lists = ", ".join(f"{c} array<smallint>" for c in outputs[:3])
+    return prepared.mapInArrow(run, f"{kept}, {lists}, n_tokens int")

@@ -47,7 +47,8 @@ def number_events(events: DataFrame) -> DataFrame:
     """
     blocked = events.withColumn("_block", F.floor(F.col(SEQ) / SEQ_BLOCK))
     counts = blocked.groupBy(SUBJECT, TIME, "_block").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_totals(counts, [SUBJECT], TIME, ["n"], ["_block"])
+    ones = events.select(SUBJECT, TIME, F.lit(1).alias("n"))
+    placed = running_totals(counts, [SUBJECT], TIME, ["n"], ["_block"], totals_from=ones)
     same_time = Window.partitionBy(SUBJECT, SLOT, TIME)
     groups = placed.select(
         SUBJECT,
@@ -102,7 +103,8 @@ def event_groups(events: DataFrame, part_size: int = LIST_PART) -> DataFrame:
 def group_offsets(events: DataFrame) -> DataFrame:
     """Per (subject, time): number of events and of the subject's earlier events."""
     counts = events.groupBy(SUBJECT, TIME).agg(F.count(F.lit(1)).alias("n_events"))
-    return running_totals(counts, [SUBJECT], TIME, ["n_events"]).select(
+    ones = events.select(SUBJECT, TIME, F.lit(1).alias("n_events"))
+    return running_totals(counts, [SUBJECT], TIME, ["n_events"], totals_from=ones).select(
         SUBJECT, TIME, "n_events", F.col("n_events_before").alias("group_start")
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.operators.running import running_totals
@@ -77,51 +77,42 @@ def matched_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
 def sample_headers(events: DataFrame, labels: DataFrame) -> DataFrame:
     """Numbered samples: one per (subject, prediction time, label) with at least one event.
 
-    ``events`` are clean events, ``labels`` come from ``clean_labels``. Events and labels meet as
-    counts per (subject, time), so the number of events up to a prediction time and the number of
-    earlier samples are running totals of one table, and no event-label pair is formed. Samples
-    are numbered per subject in prediction-time order, ties by label, after labels without events
-    are gone.
+    ``events`` are clean events, ``labels`` come from ``clean_labels``. Events (as counts per time)
+    and labels are laid out on one time line per subject, an event before a label of the same
+    time. The number of events up to a prediction time and the number of earlier samples are then
+    running totals, and no event-label pair is formed. Samples are numbered in prediction-time
+    order, ties by label, after labels without events are gone.
     """
     matched = matched_labels(events, labels)
-    ticks = (
-        events.select(SUBJECT, TIME, F.lit(1).alias("events"), F.lit(0).alias("samples"))
-        .unionByName(
-            matched.select(
-                SUBJECT,
-                F.col(PREDICTION_TIME).alias(TIME),
-                F.lit(0).alias("events"),
-                F.lit(1).alias("samples"),
-            )
-        )
-        .groupBy(SUBJECT, TIME)
-        .agg(F.sum("events").alias("events"), F.sum("samples").alias("samples"))
+    kept = ["label", "copies", "first_time"]
+    asked = matched.select(
+        SUBJECT,
+        F.col(PREDICTION_TIME).alias(TIME),
+        F.lit(0).cast("bigint").alias("events"),
+        F.lit(1).alias("samples"),
+        *kept,
     )
-    asked = (
-        running_totals(ticks, [SUBJECT], TIME, ["events", "samples"])
-        .where("samples > 0")
-        .select(
-            SUBJECT,
-            F.col(TIME).alias(PREDICTION_TIME),
-            "samples_before",
-            (F.col("events_before") + F.col("events")).alias("base_events"),
-        )
+    nothing = [F.lit(None).cast(matched.schema[c].dataType).alias(c) for c in kept]
+    counted = events.groupBy(SUBJECT, TIME).agg(F.count(F.lit(1)).alias("events"))
+    line = counted.select(SUBJECT, TIME, "events", F.lit(0).alias("samples"), *nothing).union(asked)
+    totals = events.select(
+        SUBJECT, TIME, F.lit(1).cast("bigint").alias("events"), F.lit(0).alias("samples")
+    ).union(asked.drop(*kept))
+    placed = running_totals(
+        line, [SUBJECT], TIME, ["events", "samples"], ["samples", "label"], totals_from=totals
     )
-    same_time = Window.partitionBy(SUBJECT, PREDICTION_TIME).orderBy("label")
     return (
-        matched.join(asked, [SUBJECT, PREDICTION_TIME])
-        .withColumn("sample_no", F.col("samples_before") + F.row_number().over(same_time))
+        placed.where("samples = 1")
+        .withColumn("sample_no", F.col("samples_before") + 1)
         .select(
             F.concat_ws("_", F.col(SUBJECT).cast("string"), F.col("sample_no").cast("string")).alias(
                 "sample_id"
             ),
             SUBJECT,
             "sample_no",
-            PREDICTION_TIME,
-            "label",
-            "copies",
-            "first_time",
-            "base_events",
-            (F.col("base_events") * F.col("copies")).alias("n_events"),
+            F.col(TIME).alias(PREDICTION_TIME),
+            *kept,
+            F.col("events_before").alias("base_events"),
+            (F.col("events_before") * F.col("copies")).alias("n_events"),
         )
     )

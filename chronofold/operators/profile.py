@@ -11,8 +11,10 @@ EXAMPLE_SEPARATOR = " | "
 
 
 def value_counts(values: DataFrame, *columns: str) -> DataFrame:
-    """Rows per distinct value (or value and metadata)."""
-    return values.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
+    """Rows per distinct value (or value and metadata); null values are left out."""
+    return values.where(F.col(columns[0]).isNotNull()).groupBy(*columns).agg(
+        F.count(F.lit(1)).alias("count")
+    )
 
 
 def top_values(counts: DataFrame, *order: str, n: int = TOP_VALUES) -> DataFrame:
@@ -20,9 +22,9 @@ def top_values(counts: DataFrame, *order: str, n: int = TOP_VALUES) -> DataFrame
     return counts.orderBy(F.desc("count"), *order).limit(n)
 
 
-def classify(counts: DataFrame, value: str, label: Column, name: str) -> DataFrame:
+def classify(counts: DataFrame, label: Column, name: str) -> DataFrame:
     """Classify distinct values rather than rows: the rules run once per value."""
-    return counts.withColumn(name, label).where(F.col(name).isNotNull())
+    return counts.withColumn(name, label)
 
 
 def class_examples(classified: DataFrame, name: str, *order: str, n: int = EXAMPLES) -> DataFrame:

@@ -22,23 +22,28 @@ def running_totals(
     time: str,
     measures: list[str],
     tie_break: list[str] | None = None,
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key.
 
-    Rows should already be aggregated to one per (keys, time, tie_break). The hour number stays in
-    the result as ``_slot``; rows come out hash-partitioned by keys and hour.
+    Rows should already be few per (keys, time). ``totals_from`` may give finer rows with the same
+    sums: hour totals are then taken from them in one small map-side aggregation instead of from
+    the result of the shuffles that made ``df``. The hour number stays in the result as ``_slot``;
+    rows come out hash-partitioned by keys and hour.
     """
-    rows = df.withColumn(SLOT, hour_number(F.col(time)))
+    hour = hour_number(F.col(time)).alias(SLOT)
     earlier = (Window.unboundedPreceding, -1)
     over_slots = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(*earlier)
     slots = (
-        rows.groupBy(*keys, SLOT)
+        (df if totals_from is None else totals_from)
+        .groupBy(*keys, hour)
         .agg(*[F.sum(m).alias(m) for m in measures])
         .select(*keys, SLOT, *[_or_zero(F.sum(m).over(over_slots)).alias(f"_{m}_slots") for m in measures])
     )
     in_slot = Window.partitionBy(*keys, SLOT).orderBy(time, *(tie_break or [])).rowsBetween(*earlier)
     return (
-        rows.select("*", *[_or_zero(F.sum(m).over(in_slot)).alias(f"_{m}_rows") for m in measures])
+        df.withColumn(SLOT, hour)
+        .select("*", *[_or_zero(F.sum(m).over(in_slot)).alias(f"_{m}_rows") for m in measures])
         .join(slots, [*keys, SLOT])
         .select(
             *df.columns,

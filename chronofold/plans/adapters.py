@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,9 @@ VOCAB_WORDS = [
 VOCAB_SPECIAL = [("[PAD]", 0), ("[UNK]", 100), ("[CLS]", 101), ("[SEP]", 102)]
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

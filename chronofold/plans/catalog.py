@@ -415,7 +415,7 @@ def value_top50(spark, d):
 
 
 def value_classes(spark, d):
-    return profile.classify(_counts(spark, d), "raw", category(F.col("raw")), "category")
+    return profile.classify(_counts(spark, d), category(F.col("raw")), "category")
 
 
 def value_summary(spark, d):
@@ -428,7 +428,7 @@ def value_examples(spark, d):
 
 
 def value_buckets(spark, d):
-    return profile.classify(_meta_counts(spark, d), "raw", bucket(F.col("raw")), "bucket")
+    return profile.classify(_meta_counts(spark, d), bucket(F.col("raw")), "bucket")
 
 
 def value_bucket_summary(spark, d):
@@ -441,7 +441,7 @@ def value_bucket_examples(spark, d):
 
 
 def value_bucket_top50(spark, d):
-    counts = profile.classify(_counts(spark, d), "raw", bucket(F.col("raw")), "bucket")
+    counts = profile.classify(_counts(spark, d), bucket(F.col("raw")), "bucket")
     return profile.top_values(counts, "raw").select(F.col("raw").alias("raw_value_exact"), "bucket", "count")
 
 
