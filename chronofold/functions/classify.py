@@ -48,9 +48,9 @@ def bucket_rules(organisms: tuple[str, ...] = ORGANISMS) -> list[tuple[str, str]
 
 
 def first_rule(value: Column, rules: list[tuple[str, str]], default: str) -> Column:
-    """Name of the first rule whose pattern is found in the value; nulls get no class."""
+    """Name of the first rule whose pattern is found in the value, else the default; never null."""
     text = F.lower(F.trim(value))
-    chosen = F.when(value.isNull(), F.lit(None))
+    chosen = F
     for name, pattern in rules:
         chosen = chosen.when(text.rlike(pattern), name)
     return chosen.otherwise(default)

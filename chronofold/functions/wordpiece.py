@@ -14,12 +14,12 @@ PAD, UNKNOWN, START, END = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
 CONTINUATION = "##"
 MAX_WORD_CHARS = 100
 CONTROL_PATTERN = r"[\p{C}\x{FFFD}&&[^\t\n\r]]"
-PUNCTUATION = r"!-/:-@\[-`{-~\p{P}"
+ASCII_PUNCTUATION = r"!-/:-@\[-`{-~"
 CJK = (
     r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
     r"\x{2B740}-\x{2B81F}\x{2B920}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
 )
-SPACE = r"\s\p{Z}"
+CACHE_WORDS = 500_000
 
 
 def words_of(text: Column, numbers: bool = False) -> Column:
@@ -28,36 +28,56 @@ def words_of(text: Column, numbers: bool = False) -> Column:
     With ``numbers`` every digit run (see ``digit_runs``) is one word too, wherever it stands: the
     words of a value text whose digits and dots will be set apart.
     """
-    apart = PUNCTUATION + CJK
-    plain, wide = r"!-/:-@\[-`{-~", apart
-    start = DIGIT_RUN_PATTERN + "|" if numbers else ""
+    run = DIGIT_RUN_PATTERN + "|" if numbers else ""
     digits = "0-9." if numbers else ""
 
-    def pattern(marks: str, space: str) -> Column:
-        return F.lit(f"({start}[{marks}]|[^{space}{marks}{digits}]+)")
+    def words(source: Column, letters: str, marks: str, space: str) -> Column:
+        # Letters come first and alone: they are the bulk of a text and cheap to test.
+        word = f"(?:[{letters}]++|[^{space}{marks}{digits}])++"
+        return F.regexp_extract_all(source, F.lit(f"({word}|{run}[{marks}])"), F.lit(1))
 
-    ascii_words = F.regexp_extract_all(text, pattern(plain, r"\x00-\x20\x7F"), F.lit(1))
+    # Printable ASCII, tabs and line ends only: the narrow classes give the same words.
+    ascii_words = words(text, "a-zA-Z", ASCII_PUNCTUATION, r"\x00-\x20\x7F")
     clean = F.regexp_replace(text, CONTROL_PATTERN, "")
-    wide_words = F.regexp_extract_all(clean, pattern(wide, SPACE), F.lit(1))
-    # Printable ASCII, tabs and line ends only: the cheap pattern gives the same words.
+    wide_words = words(clean, r"a-zA-Z\xC0-\x{24F}", ASCII_PUNCTUATION + r"\p{P}" + CJK, r"\s\p{Z}")
     return F.when(text.rlike(r"[^\t\n\r -~]"), wide_words).otherwise(ascii_words)
 
 
-def pieces_of(word: str, vocab: dict[str, int], unknown: int, lowercase: bool) -> list[int]:
-    """Longest vocabulary prefixes of one word; the unknown id if some rest has none."""
-    if lowercase:
-        word = unicodedata.normalize("NFD", word.lower())
-        word = "".join(c for c in word if unicodedata.category(c) != "Mn")
-    if len(word) > MAX_WORD_CHARS:
-        return [unknown]
-    ids, rest, mark = [], word, ""
-    while rest:
-        size = next((n for n in range(len(rest), 0, -1) if mark + rest[:n] in vocab), 0)
-        if size == 0:
-            return [unknown]
-        ids.append(vocab[mark + rest[:size]])
-        rest, mark = rest[size:], CONTINUATION
-    return ids
+class Pieces:
+    """Splits words into the longest vocabulary pieces, remembering what it has split."""
+
+    def __init__(self, vocab: dict[str, int], lowercase: bool, remember: int = CACHE_WORDS):
+        self.vocab = vocab
+        self.unknown = [vocab[UNKNOWN]]
+        self.lowercase = lowercase
+        self.longest = max(map(len, vocab))
+        self.remember = remember
+        self.known: dict[str, list[int]] = {}
+
+    def __call__(self, word: str) -> list[int]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= self.remember:
+                self.known.clear()
+            found = self.known[word] = self.split(word)
+        return found
+
+    def split(self, word: str) -> list[int]:
+        """Piece ids of one word; the unknown id if some rest of it has no piece."""
+        if self.lowercase:
+            word = unicodedata.normalize("NFD", word.lower())
+            word = "".join(c for c in word if unicodedata.category(c) != "Mn")
+        if len(word) > MAX_WORD_CHARS:
+            return self.unknown
+        ids, rest, mark = [], word, ""
+        while rest:
+            sizes = range(min(len(rest), self.longest), 0, -1)
+            size = next((n for n in sizes if mark + rest[:n] in self.vocab), 0)
+            if size == 0:
+                return self.unknown
+            ids.append(self.vocab[mark + rest[:size]])
+            rest, mark = rest[size:], CONTINUATION
+        return ids
 
 
 def split_words(text: str) -> list[str]:

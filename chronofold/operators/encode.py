@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.functions.wordpiece import END, PAD, START, UNKNOWN, pieces_of, split_words, words_of
+from chronofold.functions.wordpiece import END, PAD, START, UNKNOWN, Pieces, split_words, words_of
 from chronofold.operators.render import field_texts
 from chronofold.schema import CODE, MAX_EVENT_LENGTH
 
@@ -18,11 +18,8 @@ TYPE_PAD, TYPE_NAME, TYPE_VALUE, TYPE_START, TYPE_END = 0, 2, 3, 5, 6
 DOT_PLACE = 5
 
 MAX_VOCAB = 32767  # ids are 16-bit
-CACHE_WORDS = 500_000
 _DIGITS = frozenset("0123456789.")
 
-LookUp = Callable[[str], list[int]]
-
 
 def load_vocab(vocab: DataFrame) -> dict[str, int]:
     """A token-id table as a dict. Ids must be 16-bit, so the table has at most 32,768 rows."""
@@ -36,18 +33,23 @@ def load_vocab(vocab: DataFrame) -> dict[str, int]:
     return table
 
 
-def field_words(events: DataFrame, keys: list[str], skip: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+def field_words(
+    events: DataFrame, keys: list[str], max_length: int, skip: list[str] | None = None
+) -> tuple[DataFrame, list[str]]:
     """``keys`` and one word list per rendered field (null where the field is), with the field names.
 
     In fields other than the code a digit run is one word, so that its digits stay together until
-    they are numbered.
+    they are numbered. Every word gives at least one token, so words past ``max_length`` in a field
+    lie behind the cut whatever comes before them and need not leave the JVM.
     """
     fields = field_texts(events, skip)
     lists = [
-        (
+        F.slice(
             F.col("code_words")
             if name == CODE and "code_words" in events.columns
-            else words_of(text, numbers=name != CODE)
+            else words_of(text, numbers=name != CODE),
+            1,
+            max_length,
         ).alias(f"_words_{i}")
         for i, (name, text) in enumerate(fields)
     ]
@@ -89,7 +91,7 @@ class _Page:
         self._put(np.repeat(rows, len(ids)), np.tile(np.arange(len(ids)), len(rows)), np.tile(ids, len(rows)), TYPE_NAME)
         self.used[rows] += len(ids)
 
-    def add_words(self, words: pa.ListArray, look_up: LookUp, dot: int, numbers: bool) -> None:
+    def add_words(self, words: pa.ListArray, look_up: Pieces, dot: int, numbers: bool) -> None:
         offsets = words.offsets.to_numpy()
         coded = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         unique = coded.dictionary.to_pylist()
@@ -152,22 +154,12 @@ def encode_events(
     special = {t: table[t] for t in (PAD, UNKNOWN, START, END)}
     dot = table.get(".", -1)
     shared = events.sparkSession.sparkContext.broadcast(table)
-    prepared, names = field_words(events, keys, skip)
+    prepared, names = field_words(events, keys, max_length, skip)
     name_words = [split_words(n) for n in names]
     outputs = ["input_ids", "type_ids", "place_ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
-        words = shared.value
-
-        def look_up(word: str) -> list[int]:
-            found = known.get(word)
-            if found is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                found = known[word] = pieces_of(word, words, special[UNKNOWN], lowercase)
-            return found
-
+        look_up = Pieces(shared.value, lowercase)
         name_ids = [np.array([i for w in ws for i in look_up(w)], dtype=np.int64) for ws in name_words]
         for batch in batches:
             page = _Page(batch.num_rows, max_length, special)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.operators.running import running_totals
@@ -74,6 +74,29 @@ def matched_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _sample_id(number: Column) -> Column:
+    return F.concat_ws("_", F.col(SUBJECT).cast("string"), number.cast("string")).alias("sample_id")
+
+
+def number_samples(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """Numbered samples without event counts: see ``sample_headers``.
+
+    Needs of the events only each subject's earliest time, and sorts labels alone.
+    """
+    matched = matched_labels(events, labels).withColumn("samples", F.lit(1))
+    numbered = running_totals(matched, [SUBJECT], PREDICTION_TIME, ["samples"], ["label"])
+    number = F.col("samples_before") + 1
+    return numbered.select(
+        _sample_id(number),
+        SUBJECT,
+        number.alias("sample_no"),
+        PREDICTION_TIME,
+        "label",
+        "copies",
+        "first_time",
+    )
+
+
 def sample_headers(events: DataFrame, labels: DataFrame) -> DataFrame:
     """Numbered samples: one per (subject, prediction time, label) with at least one event.
 
@@ -105,9 +128,7 @@ def sample_headers(events: DataFrame, labels: DataFrame) -> DataFrame:
         placed.where("samples = 1")
         .withColumn("sample_no", F.col("samples_before") + 1)
         .select(
-            F.concat_ws("_", F.col(SUBJECT).cast("string"), F.col("sample_no").cast("string")).alias(
-                "sample_id"
-            ),
+            _sample_id(F.col("sample_no")),
             SUBJECT,
             "sample_no",
             F.col(TIME).alias(PREDICTION_TIME),

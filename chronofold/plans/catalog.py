@@ -46,6 +46,14 @@ def _headers(spark: SparkSession, d: str) -> DataFrame:
     return labels.sample_headers(_clean(spark, d), _labels(spark, d))
 
 
+def _numbered(spark: SparkSession, d: str) -> DataFrame:
+    return labels.number_samples(_clean(spark, d), _labels(spark, d))
+
+
+def _order_numbered(spark: SparkSession, d: str) -> DataFrame:
+    return labels.number_samples(ad.order_events(spark, d), _order_labels(spark, d))
+
+
 def _order_labels(spark: SparkSession, d: str) -> DataFrame:
     return labels.clean_labels(ad.order_labels(spark, d))
 
@@ -57,14 +65,14 @@ def _order_headers(spark: SparkSession, d: str) -> DataFrame:
 # Samples
 
 def sample_events(spark, d):
-    return samples.sample_events(_clean(spark, d), _headers(spark, d), _labels(spark, d)).select(
+    return samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d)).select(
         "sample_id", SEQ, "event_time", "minute", "copy_no"
     )
 
 
 def sample_events_orders(spark, d):
     rows = samples.sample_events(
-        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d)
+        ad.order_events(spark, d), _order_numbered(spark, d), _order_labels(spark, d)
     )
     return rows.select("sample_id", SEQ, "event_time", "minute", "copy_no")
 
@@ -86,19 +94,19 @@ def sample_manifest(spark, d):
 
 
 def sample_positions(spark, d):
-    return samples.sample_positions(_clean(spark, d), _headers(spark, d), _labels(spark, d)).select(
+    return samples.sample_positions(_clean(spark, d), _numbered(spark, d), _labels(spark, d)).select(
         "sample_id", SEQ, "pos", "minute"
     )
 
 
 def sample_positions_orders(spark, d):
     return samples.sample_positions(
-        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d)
+        ad.order_events(spark, d), _order_numbered(spark, d), _order_labels(spark, d)
     ).select("sample_id", SEQ, "copy_no", "pos", "minute")
 
 
 def sample_sequences(spark, d):
-    positions = samples.sample_positions(_clean(spark, d), _headers(spark, d), _labels(spark, d))
+    positions = samples.sample_positions(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
     return samples.sample_sequences(positions, 32).select(
         "sample_id", "part", _joined("minutes").alias("minutes"), _joined("event_keys").alias("event_keys")
     )
@@ -395,7 +403,7 @@ def token_counts(spark, d):
 
 
 def sample_encoded(spark, d):
-    rows = samples.sample_events(_clean(spark, d), _headers(spark, d), _labels(spark, d))
+    rows = samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
     joined = samples.attach_encoded(rows, _encoded(spark, d))
     return joined.select("sample_id", SEQ, "minute", _joined("input_ids").alias("input_ids"))
 
@@ -484,7 +492,7 @@ def audit_units(spark, d):
 
 def audit_output(spark, d):
     manifest = _assigned(spark, d).select("sample_id", "split", "shard", "n_events")
-    rows = samples.sample_events(_clean(spark, d), _headers(spark, d), _labels(spark, d))
+    rows = samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
     stored = rows.join(manifest.select("sample_id", "split", "shard"), "sample_id")
     return audit.audit_output(stored, manifest)
 

@@ -432,7 +432,7 @@ FROM ev e LEFT JOIN codes c ON c.code = e.code""",
     + "SELECT seq, n_tokens, input_ids, type_ids, place_ids FROM encoded",
     "encoded_documents": with_(
         "docs AS (SELECT doc_id AS seq, lang AS code_text, text FROM documents)",
-        f"rounded AS (SELECT seq, code_text, CASE WHEN contains(text, '.') THEN {rounded_sql('text')} ELSE text END AS text FROM docs)",
+        f"rounded AS (SELECT seq, code_text, CASE WHEN regexp_matches(text, '\\.\\d') THEN {rounded_sql('text')} ELSE text END AS text FROM docs)",
         vocab_sql(),
         encoded_sql("rounded", [("code", "code_text"), ("text", "text")], 128),
     )
