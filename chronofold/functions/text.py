@@ -65,7 +65,11 @@ def _round_piece(x: Column) -> Column:
 
 
 def round_decimals(text: Column) -> Column:
-    """Round every decimal number inside a text to four places and keep the rest."""
+    """Round every decimal number inside a text to four places and keep the rest.
+
+    Numbers from 1e16 up have no decimals left and turn to ``d.dde+16`` form; of their 17 digits the
+    last may differ from the shortest form.
+    """
     gaps = F.split(text, DECIMAL_PATTERN, -1)
     numbers = F.regexp_extract_all(text, F.lit(f"({DECIMAL_PATTERN})"), F.lit(1)).cast("array<double>")
     joined = F.array_join(

@@ -34,6 +34,15 @@ def clean_labels(
     )
 
 
+def align_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels whose split agrees with that of the subject's events.
+
+    Stands for reading, for each event file, the label file at the same place: a subject lives in
+    one split, and a label of that subject elsewhere is not used.
+    """
+    return labels.join(events.select("split", SUBJECT).distinct(), ["split", SUBJECT], "left_semi")
+
+
 def subject_label_lists(labels: DataFrame, part_size: int = LABEL_PART) -> DataFrame:
     """Prediction times and labels of a subject as two parallel lists, in order.
 

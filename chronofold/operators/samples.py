@@ -45,15 +45,19 @@ def sample_events(
     headers: DataFrame,
     labels: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Long form of the samples: one row per sample and event, with the minute since its first event.
 
     All samples of a subject start at the subject's earliest event, so the minute needs no window
-    over the matched rows. Read a sample in (event_time, copy_no, seq) order.
+    over the matched rows. Read a sample in (event_time, copy_no, seq) order. ``carry`` names header
+    columns to keep.
     """
+    carry = carry or []
     slim = events.select(SUBJECT, TIME, SEQ)
-    keys = headers.select(SUBJECT, "sample_id", PREDICTION_TIME, "copies", "first_time")
+    keys = headers.select(SUBJECT, "sample_id", PREDICTION_TIME, "copies", "first_time", *carry)
     return match_events(slim, keys, labels, rows_per_task).select(
+        *carry,
         "sample_id",
         SUBJECT,
         SEQ,

@@ -109,6 +109,11 @@ def assign_shards(
     return packed.select("sample_id", "split", "worker", "shard_seq", name.alias("shard"), "n_events")
 
 
+def workers_for(n_samples: int, at_least: int = 1, samples_per_worker: int = SAMPLES_PER_WORKER) -> int:
+    """Workers needed so that each packs about ``samples_per_worker`` samples at most."""
+    return max(at_least, -(-n_samples // samples_per_worker))
+
+
 def _padded(number: Column, width: int) -> Column:
     text = number.cast("string")
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))

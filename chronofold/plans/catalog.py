@@ -170,6 +170,12 @@ def label_clean_dedupe(spark, d):
     return labels.clean_labels(ad.order_labels(spark, d), dedupe=True)
 
 
+def label_aligned(spark, d):
+    """Labels of the stream against events of two splits only."""
+    here = splits.add_split(_clean(spark, d)).where("split <> 'train'")
+    return labels.align_labels(here, splits.add_split(ad.stream_labels(spark, d)))
+
+
 def subject_label_lists(spark, d):
     return labels.subject_label_lists(_order_labels(spark, d), 8).select(
         SUBJECT, "part", _times("cohort_end").alias("cohort_end"), _joined("cohort_label").alias("cohort_label")
@@ -523,7 +529,7 @@ QUERIES: dict[str, Query] = {
         sample_events, sample_events_orders, sample_headers, sample_headers_orders, sample_manifest,
         sample_positions, sample_positions_orders, sample_sequences, sample_tail, sample_tail_orders,
         event_clean, event_nulled, event_groups, event_numbers, group_offsets, prefix_groups,
-        subjects_semi, subject_counts, label_clean, label_clean_dedupe, subject_label_lists, parallel_explode,
+        subjects_semi, subject_counts, label_clean, label_clean_dedupe, label_aligned, subject_label_lists, parallel_explode,
         extract_events, merge_cohort, finalize_events, union_diagonal, code_table, code_metadata,
         code_metadata_empty, subject_splits, subject_shards, split_sizes, split_preview, split_filter,
         code_describe, code_fallback, code_unresolved, code_unresolved_bare,

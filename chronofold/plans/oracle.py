@@ -210,16 +210,20 @@ bits AS (
 words AS (
   SELECT seq, field, part, kind, is_run, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS wno FROM bits),
 vocab_words AS (SELECT DISTINCT word FROM words),
+starts AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS p FROM vocab_words WHERE length(word) <= 100),
 best AS (
-  SELECT word, p, max_by(id, length(piece)) AS id, max(length(piece)) AS size FROM (
-    SELECT word, unnest(range(1, length(word) + 1)) AS p FROM vocab_words WHERE length(word) <= 100) w
+  SELECT word, p, max_by(id, k) AS id, max(k) AS size FROM starts
   CROSS JOIN (SELECT DISTINCT length(piece) AS k FROM heads) sizes
   JOIN heads ON inner_piece = (p > 1) AND piece = substr(word, p, k) AND length(piece) = k
   GROUP BY word, p),
+moves AS (
+  SELECT word, list(id ORDER BY p) AS ids, list(size ORDER BY p) AS sizes
+  FROM starts LEFT JOIN best USING (word, p) GROUP BY word),
 walk AS (
-  SELECT word, 1 AS step, CAST(1 AS BIGINT) AS p, CAST(0 AS BIGINT) AS id FROM vocab_words WHERE length(word) <= 100
+  SELECT word, 1 AS step, CAST(1 AS BIGINT) AS p, CAST(0 AS BIGINT) AS id, ids, sizes FROM moves
   UNION ALL
-  SELECT w.word, w.step + 1, w.p + b.size, b.id FROM walk w JOIN best b ON b.word = w.word AND b.p = w.p),
+  SELECT word, step + 1, p + sizes[p], ids[p], ids, sizes FROM walk WHERE sizes[p] IS NOT NULL),
 whole AS (SELECT word FROM walk GROUP BY word HAVING max(p) = length(word) + 1),
 pieces AS (
   SELECT word, step, id FROM walk SEMI JOIN whole USING (word) WHERE step > 1
@@ -360,6 +364,10 @@ WHERE subject_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AN
     "label_clean": with_(ORDERS) + "SELECT * FROM lab",
     "label_clean_dedupe": with_(ORDERS)
     + "SELECT subject_id, prediction_time, label, 1 AS copies FROM lab",
+    "label_aligned": f"""SELECT * FROM (
+  SELECT user_id AS subject_id, ts AS prediction_time, value > 100 AS boolean_value, event_id, {split_sql('user_id')} AS split
+  FROM events WHERE event_type = 'purchase') WHERE split <> 'train'
+  AND subject_id IN (SELECT user_id FROM events WHERE event_type <> 'signup')""",
     "subject_label_lists": with_(ORDERS, LISTED)
     + f"""SELECT subject_id, place // 8 AS part,
   array_to_string(list({second_text_sql('prediction_time')} ORDER BY place), ',') AS cohort_end,

@@ -37,21 +37,15 @@ def write_table(
     writer.parquet(path)
 
 
-def write_event_shards(
-    events: DataFrame, path: str, if_exists: str = "error", slices: int = 1
-) -> None:
-    """Events under split=/shard= directories, sorted by subject and time within each file.
+def write_event_shards(events: DataFrame, path: str, if_exists: str = "error") -> None:
+    """Events under split=/shard= directories, sorted by subject and time.
 
-    Rows are hashed by split, shard and a slice of the day, so a subject with a large share of all
-    events is spread over ``slices`` tasks and files; raise it for skewed data.
+    Range partitioning by the same order splits a shard, or a single subject, over as many tasks and
+    files as its share of the rows asks for.
     """
-    slice_no = F.pmod(F.xxhash64(F.col(TIME).cast("date")), F.lit(slices))
-    rows = events.repartition("split", "shard", slice_no) if slices > 1 else events.repartition(
-        "split", "shard"
-    )
-    write_table(
-        rows.sortWithinPartitions("split", "shard", SUBJECT, TIME), path, ["split", "shard"], if_exists
-    )
+    order = ["split", "shard", SUBJECT, TIME]
+    rows = events.repartitionByRange(*order).sortWithinPartitions(*order)
+    write_table(rows, path, ["split", "shard"], if_exists)
 
 
 def shard_raw(df: DataFrame, path: str, rows_per_file: int, if_exists: str = "error") -> None:
@@ -59,18 +53,20 @@ def shard_raw(df: DataFrame, path: str, rows_per_file: int, if_exists: str = "er
     write_table(df, path, None, if_exists, rows_per_file)
 
 
-def write_samples(
-    sample_rows: DataFrame, path: str, if_exists: str = "error", slices: int = 1
-) -> None:
-    """Long sample rows under split=/shard= directories, each sample in order."""
+def write_samples(sample_rows: DataFrame, path: str, if_exists: str = "error") -> None:
+    """Long sample rows under split=/shard= directories, each sample in order.
+
+    A shard is one task's work, as its size is bounded by the event budget. A single sample above
+    the budget is spread by ``n_slices``, the number of budgets it fills.
+    """
     order = ["split", "shard", "sample_id", "event_time", "copy_no", "seq"]
-    by = ["split", "shard"]
+    slice_no = F.pmod(F.xxhash64("seq", "copy_no"), F.col("n_slices"))
     rows = (
-        sample_rows.repartition(*by, F.pmod(F.xxhash64("sample_id", "seq"), F.lit(slices)))
-        if slices > 1
-        else sample_rows.repartition(*by)
+        sample_rows.repartition(F.col("split"), F.col("shard"), slice_no)
+        .drop("n_slices")
+        .sortWithinPartitions(*order)
     )
-    write_table(rows.sortWithinPartitions(*order), path, by, if_exists)
+    write_table(rows, path, ["split", "shard"], if_exists)
 
 
 def write_manifest(manifest: DataFrame, path: str, root: str, if_exists: str = "error") -> None:
