@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_spark(
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    checkpoint_dir: str | None = None,
+) -> SparkSession:
     """A session with the settings the jobs rely on.
 
-    On a cluster leave both arguments out: master, memory, partition count and
+    On a cluster leave the arguments out: master, memory, partition count and
     ``spark.checkpoint.dir`` then come from spark-submit.
     """
     builder = (
@@ -28,4 +32,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None)
         )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return builder.getOrCreate()
