@@ -90,12 +90,9 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_seq():
-    """A number per line item: order, line, part and supplier packed."""
-    return (
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(1 << 32)
-        + F.col("l_partkey") * 128
-        + F.pmod(F.col("l_suppkey"), F.lit(128))
-    )
+    """A number per line item: order and line, then 22 bits from part, supplier and quantity."""
+    tie = F.col("l_partkey") * 64 + F.col("l_suppkey") * 8191 + F.col("l_quantity").cast("bigint")
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(1 << 22) + F.pmod(tie, F.lit(1 << 22))
 
 
 def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

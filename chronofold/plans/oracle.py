@@ -34,7 +34,10 @@ def second_text_sql(time: str) -> str:
     return f"strftime({time}, '%Y-%m-%d %H:%M:%S')"
 
 
-SEQ_SQL = "(l_orderkey * 8 + l_linenumber) * 4294967296 + l_partkey * 128 + l_suppkey % 128"
+SEQ_SQL = (
+    "(l_orderkey * 8 + l_linenumber) * 4194304"
+    " + (l_partkey * 64 + l_suppkey * 8191 + CAST(l_quantity AS BIGINT)) % 4194304"
+)
 
 STREAM = """ev AS (
   SELECT user_id AS subject_id, ts AS time, event_type AS code, value AS numeric_value, props, event_id AS seq
