@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
 MAX_HEAVY_KEYS = 10_000
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:

@@ -18,6 +18,8 @@ STREAM_CODES = [
     ("view", "Page seen"),
 ]
 
+SMALL_PART = 25
+
 # Sample result texts, one of which each line item is given.
 RESULT_TEXTS = [
     "Negative", "See Comment", ">89", "Not Detected", "<0.2", "Nonreactive", "1+", "Trace", "...",
@@ -105,10 +107,10 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First dictionary: parts with an even key, so that the second one is asked too."""
+    """First dictionary: the smaller parts, so that the second one is asked too."""
     return (
         table(spark, sf_dir, "part")
-        .where("p_partkey % 2 = 0")
+        .where(F.col("p_size") <= SMALL_PART)
         .select(F.col("p_partkey").cast("string").alias("itemid"), F.col("p_name").alias("label"))
     )
 

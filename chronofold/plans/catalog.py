@@ -14,7 +14,7 @@ from chronofold.functions.clock import second_text
 from chronofold.functions.wordpiece import words_of
 from chronofold.operators import audit, codes, encode, events, extract, labels, profile, render, samples, shards, splits
 from chronofold.plans import adapters as ad
-from chronofold.schema import CODE, SEQ, SUBJECT, TIME, VALUE
+from chronofold.schema import CODE, MAX_EVENT_LENGTH, SEQ, SUBJECT, TIME, VALUE
 from chronofold.sources.readers import file_preview, split_from_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 N_WORKERS = 4
 SHARD_BUDGET = 2000
 N_SHARDS = 8
-MAX_LENGTH = 24
+MAX_LENGTH = MAX_EVENT_LENGTH
+CUT_LENGTH = 16  # short enough to cut through events and their numbers
+TAIL = 20
 
 
 def _joined(column: str | Column, separator: str = ",") -> Column:
@@ -113,12 +115,12 @@ def sample_sequences(spark, d):
 
 
 def sample_tail(spark, d):
-    return samples.sample_tail(_clean(spark, d), _headers(spark, d), _labels(spark, d), 20)
+    return samples.sample_tail(_clean(spark, d), _headers(spark, d), _labels(spark, d), TAIL)
 
 
 def sample_tail_orders(spark, d):
     return samples.sample_tail(
-        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d), 20
+        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d), TAIL
     )
 
 
@@ -241,10 +243,6 @@ def code_metadata(spark, d):
     )
 
 
-def code_metadata_empty(spark, d):
-    return extract.code_metadata(ad.stream_events(spark, d)).select(CODE, "description")
-
-
 def subject_splits(spark, d):
     return splits.subject_splits(ad.order_events(spark, d))
 
@@ -387,7 +385,7 @@ def encoded_events(spark, d):
 def encoded_events_orders(spark, d):
     found = _order_codes(spark, d).withColumn("code_words", words_of(F.col("code_text")))
     described = codes.describe_events(ad.order_events(spark, d), found)
-    return encode.encode_events(described, ad.small_vocab(spark), [SEQ], 16).select(
+    return encode.encode_events(described, ad.small_vocab(spark), [SEQ], CUT_LENGTH).select(
         SEQ,
         "n_tokens",
         _joined("input_ids").alias("input_ids"),
@@ -531,7 +529,7 @@ QUERIES: dict[str, Query] = {
         event_clean, event_nulled, event_groups, event_numbers, group_offsets, prefix_groups,
         subjects_semi, subject_counts, label_clean, label_clean_dedupe, label_aligned, subject_label_lists, parallel_explode,
         extract_events, merge_cohort, finalize_events, union_diagonal, code_table, code_metadata,
-        code_metadata_empty, subject_splits, subject_shards, split_sizes, split_preview, split_filter,
+        subject_splits, subject_shards, split_sizes, split_preview, split_filter,
         code_describe, code_fallback, code_unresolved, code_unresolved_bare,
         event_text, text_rounded, number_text, digit_spaced, digit_runs, place_ids, document_numbers,
         encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded,

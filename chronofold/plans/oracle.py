@@ -9,7 +9,7 @@ from chronofold.functions.classify import (
     bucket_rules,
 )
 from chronofold.plans import adapters as ad
-from chronofold.plans.catalog import MAX_LENGTH, N_SHARDS, N_WORKERS, SHARD_BUDGET
+from chronofold.plans.catalog import CUT_LENGTH, MAX_LENGTH, N_SHARDS, N_WORKERS, SHARD_BUDGET, TAIL
 
 
 def quoted(text: str) -> str:
@@ -104,7 +104,7 @@ STREAM_CODE_ROWS = ", ".join(f"({quoted(c)}, {quoted(t)})" for c, t in ad.STREAM
 STREAM_CODES = f"codes(code, description) AS (VALUES {STREAM_CODE_ROWS})"
 CODE_TEXT = f"coalesce(nullif(description, ''), e.code)"
 
-ORDER_CODES = """used AS (SELECT code, count(*) AS n_rows FROM clean GROUP BY code),
+ORDER_CODES = f"""used AS (SELECT code, count(*) AS n_rows FROM clean GROUP BY code),
 parts AS (
   SELECT *, string_split(code, '//') AS segs,
          list_position(list_transform(string_split(code, '//'), lambda s: regexp_full_match(s, '[0-9]+')), true) AS ix
@@ -117,7 +117,7 @@ resolved AS (
          CASE WHEN p_name IS NOT NULL THEN 'items' WHEN s_name IS NOT NULL THEN 'lab_items'
               WHEN ix > 0 THEN 'none' ELSE 'plain' END AS resolution
   FROM parts
-  LEFT JOIN part ON p_partkey::VARCHAR = segs[ix] AND p_partkey % 2 = 0
+  LEFT JOIN part ON p_partkey::VARCHAR = segs[ix] AND p_size <= {ad.SMALL_PART}
   LEFT JOIN supplier ON s_suppkey::VARCHAR = segs[ix])"""
 
 
@@ -334,10 +334,10 @@ ORACLE_SQL: dict[str, str] = {
 FROM placed GROUP BY sample_id, (pos - 1) // 32""",
     "sample_tail": STREAM_SAMPLES
     + f"""SELECT sample_id, pos, seq, copy_no, {minutes_sql('tail_start', 'time')} AS minute FROM (
-  SELECT *, min(time) OVER (PARTITION BY sample_id) AS tail_start FROM placed WHERE pos > n_events - 20)""",
+  SELECT *, min(time) OVER (PARTITION BY sample_id) AS tail_start FROM placed WHERE pos > n_events - {TAIL})""",
     "sample_tail_orders": ORDER_SAMPLES
     + f"""SELECT sample_id, pos, seq, copy_no, {minutes_sql('tail_start', 'time')} AS minute FROM (
-  SELECT *, min(time) OVER (PARTITION BY sample_id) AS tail_start FROM placed WHERE pos > n_events - 20)""",
+  SELECT *, min(time) OVER (PARTITION BY sample_id) AS tail_start FROM placed WHERE pos > n_events - {TAIL})""",
     "event_clean": with_(STREAM_CLEAN)
     + "SELECT * FROM clean WHERE subject_id IS NOT NULL AND time IS NOT NULL",
     "event_nulled": with_(STREAM)
@@ -398,7 +398,6 @@ UNION ALL SELECT subject_id, code, NULL, numeric_value FROM clean""",
     "code_table": with_(ORDERS) + "SELECT code, count(*) AS n_rows FROM clean GROUP BY code",
     "code_metadata": with_(STREAM, STREAM_CODES)
     + "SELECT u.code, description FROM (SELECT DISTINCT code FROM ev) u LEFT JOIN codes c ON c.code = u.code",
-    "code_metadata_empty": "SELECT event_type AS code, event_type AS description FROM events WHERE false",
     "subject_splits": with_(ORDERS, ORDER_SUBJECTS, ORDER_SPLITS) + "SELECT * FROM splits",
     "subject_shards": with_(ORDERS, ORDER_SUBJECTS, ORDER_SPLITS)
     + f"SELECT subject_id, split, CAST({bucket_sql('subject_id', 'shard')} % {N_SHARDS} AS INTEGER) AS shard FROM splits",
@@ -437,7 +436,7 @@ FROM ev e LEFT JOIN codes c ON c.code = e.code""",
         ORDER_DESCRIBED,
         vocab_sql(),
         encoded_sql(
-            "described", [("code", "code_text"), ("numeric_value", round_piece_sql("numeric_value"))], 16
+            "described", [("code", "code_text"), ("numeric_value", round_piece_sql("numeric_value"))], CUT_LENGTH
         ),
     )
     + "SELECT seq, n_tokens, input_ids, type_ids, place_ids FROM encoded",

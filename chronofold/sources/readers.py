@@ -10,6 +10,7 @@ from chronofold.operators.extract import union_all
 from chronofold.schema import CODE, SEQ, SUBJECT, TIME, VALUE
 
 FORMATS = ("csv", "parquet")
+BROADCAST_FILES = 100_000
 FILE_BITS = 36  # rows of one file that a seq value can tell apart: 2^36
 
 
@@ -91,10 +92,12 @@ def with_seq(events: DataFrame) -> DataFrame:
     """
     if "_row" not in events.columns:
         return events.withColumn(SEQ, F.monotonically_increasing_id()).drop("_file")
-    # One row per input file: a small table however large the data.
+    # One row per input file: names only, as many as the driver lists for the scan anyway.
     ordinal = events.select("_file").distinct().select(
         "_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("bigint").alias("_file_no")
     )
+    if len(events.inputFiles()) <= BROADCAST_FILES:
+        ordinal = F.broadcast(ordinal)
     return (
         events.join(ordinal, "_file")
         .withColumn(SEQ, F.shiftleft("_file_no", FILE_BITS) + F.col("_row"))
