@@ -40,7 +40,12 @@ def align_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
     Stands for reading, for each event file, the label file at the same place: a subject lives in
     one split, and a label of that subject elsewhere is not used.
     """
-    return labels.join(events.select("split", SUBJECT).distinct(), ["split", SUBJECT], "left_semi")
+    homes = events.groupBy(SUBJECT).agg(F.collect_set("split").alias("_splits"))
+    return (
+        lookup_join(labels, homes, SUBJECT, F.xxhash64(PREDICTION_TIME))
+        .where(F.array_contains("_splits", F.col("split")))
+        .drop("_splits")
+    )
 
 
 def subject_label_lists(labels: DataFrame, part_size: int = LABEL_PART) -> DataFrame:

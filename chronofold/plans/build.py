@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.wordpiece import words_of
 from chronofold.operators import audit, codes, encode, events as ev, labels as lb, samples, shards, splits
+from chronofold.operators.skew import lookup_join
 from chronofold.schema import (
     BIRTH_CODE,
     CODE,
@@ -82,17 +83,21 @@ def build_samples(
     each = "rebase" if if_exists == "skip" else if_exists
 
     require(events, SUBJECT, TIME, CODE, SEQ)
-    if "split" not in events.columns:
-        events = splits.add_split(events)
+    given_split = "split" in events.columns
     clean = ev.clean_events(events, birth_code)
+    if "split" in labels.columns and not given_split:
+        labels = labels.drop("split")
     if "split" in labels.columns:
         labels = lb.align_labels(clean, labels)
     slim = clean.select(SUBJECT, TIME, SEQ)
     wanted = staged(lb.clean_labels(labels, label_column), "labels")
 
-    headers = staged(
-        lb.sample_headers(slim, wanted).join(subject_split(clean), SUBJECT), "headers"
-    )
+    numbered = lb.sample_headers(slim, wanted)
+    if given_split:
+        numbered = lookup_join(numbered, subject_split(clean), SUBJECT, F.xxhash64("sample_id"))
+    else:
+        numbered = splits.add_split(numbered)
+    headers = staged(numbered, "headers")
     n_workers = shards.workers_for(headers.count(), min_workers)
     assigned = shards.assign_shards(headers, n_workers, events_per_shard)
     stored = headers.join(assigned.select("sample_id", "shard"), "sample_id")

@@ -10,7 +10,7 @@ from chronofold.plans.build import build_samples, check_samples
 from chronofold.plans.extract_dataset import extract_dataset
 from chronofold.plans.profile_values import profile_values
 from chronofold.sources import readers
-from tests.helpers import rows_of
+from tests.helpers import events_df, labels_df, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +51,16 @@ def test_existing_output(spark, sf_dir, built):
         build_samples(*args)
 
 
+def test_splits_from_the_input_are_kept(spark, tmp_path):
+    events = events_df(spark, [(s, m, "A", 1.0, s * 10 + m, "tuning" if s == 1 else "train") for s in (1, 2) for m in (0, 1)], ", split string")
+    labels = labels_df(spark, [(1, 9, True, "tuning"), (2, 9, False, "train"), (2, 8, True, "tuning")], ", split string")
+    out = build_samples(events, labels, ad.small_vocab(spark), str(tmp_path / "out"), max_length=8, events_per_shard=1)
+    got = rows_of(spark.read.parquet(out.samples), "sample_id", "split", "n_events", "label")
+    assert got == [("1_1", "tuning", 2, 1), ("2_1", "train", 2, 0)]
+    assert check_samples(spark, out).where("not ok").count() == 0
+    assert spark.read.parquet(out.sample_events).count() == 4
+
+
 def test_nested_form(spark, sf_dir, built):
     events, labels = catalog._clean(spark, sf_dir), catalog._labels(spark, sf_dir)
     placed = samples.sample_positions(events, catalog._numbered(spark, sf_dir), labels)
