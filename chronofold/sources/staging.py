@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``; on a local master without one, a folder of the warehouse."""
     context = spark.sparkContext
     named = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -20,7 +19,7 @@ def staging_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="chronofold-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
