@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
-MAX_CACHED = 200_000  # entries of each cache; a full one is emptied and fills again
+MAX_CACHED = 1_000_000  # entries of each cache, about 150 bytes each; a full one is emptied and fills again
 
 # Pieces of Latin words, plain punctuation and single line ends. Both supported split patterns end a
 # piece at each of these borders, whatever stands around it, so the pieces can be encoded alone.
@@ -16,8 +17,10 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _POINTS = r".,;:!?*$%&#"
 _PLAIN = re.compile(rf" ?[{_LETTERS}]+(?:[{_POINTS}]+|\n(?=[{_LETTERS}{_POINTS}])|[{_LETTERS}]+)*")
 _PIECES = re.compile(rf" ?[{_LETTERS}]+|[{_POINTS}]+|\n")
+_WORD = re.compile(rf" ?[{_LETTERS}]+")
 # Elsewhere a text is cut before a single space between two visible characters.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_ODD = re.compile(r"^ | $| \s|\s ")
 
 
 class Encoder:
@@ -41,30 +44,45 @@ class Encoder:
         if len(self._chunks) > MAX_CACHED:
             self._chunks.clear()
         known = self._chunks
-        missing = {chunk for chunks in cut for chunk in chunks if chunk not in known}
+        missing = set(chain.from_iterable(cut)).difference(known)
         if missing:
             self._learn(missing)
-        return [b"".join([known[chunk] for chunk in chunks]) for chunks in cut]
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
 
     def _learn(self, chunks: set[str]) -> None:
         if len(self._pieces) > MAX_CACHED:
             self._pieces.clear()
         known = self._pieces
         cut = {chunk: _PIECES.findall(chunk) if _PLAIN.fullmatch(chunk) else [chunk] for chunk in chunks}
-        missing = list(dict.fromkeys(p for pieces in cut.values() for p in pieces if p not in known))
-        for i in range(0, len(missing), 1024):
-            some = missing[i : i + 1024]
-            for piece, found in zip(some, self._tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[piece] = np.asarray(found.ids, "<u4").tobytes()
+        missing = list(set(chain.from_iterable(cut.values())).difference(known))
+        words = [p for p in missing if _WORD.fullmatch(p)]
+        self._learn_words([p for p in words if p[0] == " "], "")
+        self._learn_words([p for p in words if p[0] != " "], "\n")
+        others = [p for p in missing if p not in known]
+        for piece, found in zip(others, self._tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
+            known[piece] = np.asarray(found.ids, "<u4").tobytes()
         for chunk, pieces in cut.items():
-            self._chunks[chunk] = b"".join([known[p] for p in pieces])
+            self._chunks[chunk] = b"".join(map(known.__getitem__, pieces))
+
+    def _learn_words(self, words: list[str], between: str) -> None:
+        """Words of letters, many in one text: the ids of a word are those that start inside it."""
+        for i in range(0, len(words), 1024):
+            some = words[i : i + 1024]
+            found = self._tokenizer.encode(between.join(some), add_special_tokens=False)
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            starts = np.cumsum(sizes + len(between)) - sizes - len(between)
+            at = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            word = np.searchsorted(starts, at, "right") - 1
+            inside = at < (starts + sizes)[word]  # else it belongs to what stands between
+            ids, first = np.asarray(found.ids, "<u4")[inside].tobytes(), np.searchsorted(word[inside], np.arange(len(some) + 1))
+            cuts = (4 * first).tolist()
+            self._pieces.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
 
 def _chunks_of(text: str) -> list[str]:
-    parts = text.split(" ")
-    if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-        return [parts[0], *[" " + p for p in parts[1:]]]
-    return _CUT.split(text) if text else []
+    if not text or _ODD.search(text):
+        return _CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
 
 
 _ENCODERS: dict[str, Encoder] = {}
