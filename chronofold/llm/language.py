@@ -112,16 +112,18 @@ def train_profiles(labelled: DataFrame) -> dict[str, np.ndarray]:
     return {k: v / max(np.linalg.norm(v), 1.0) for k, v in sorted(profiles.items())}
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` with lang_pred and score, from the whole text alone.
+def identify(
+    docs: DataFrame, profiles: dict[str, np.ndarray], pred: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """``docs`` with the columns ``pred`` and ``score``, from the whole text alone.
 
     The score is the cosine with the nearest prototype, 0 where it would be negative. ``und`` and 0 for null
     texts, texts without letters, and if there is no prototype. Ties go to the lang that sorts first.
-    A column named lang_pred or score is replaced; all rows and other columns stay.
+    Columns of these names are replaced; all rows and other columns stay.
     """
     names = list(profiles)
     table = np.array([profiles[n] for n in names]).reshape(len(names), DIMENSIONS)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in (pred, score)]
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +143,11 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
                 scores.append(float(min(max(near[best], 0.0), 1.0)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
+                [*batch.schema.names, pred, score],
             )
 
     bounded_batches(docs.sparkSession)
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(
-        run, schema.add("lang_pred", "string").add("score", "double")
+        run, schema.add(pred, "string").add(score, "double")
     )

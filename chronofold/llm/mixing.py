@@ -135,5 +135,6 @@ def in_mixture_order(docs: DataFrame, **options) -> DataFrame:
     the order of their names. This is the one shuffle of whole rows.
     """
     order = ["mix_slot", "mix_order", "doc_id"]
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    return mix(docs, **options).repartitionByRange(*order).sortWithinPartitions(*order).select(*kept)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), "doc_id", "source", "text")
+    placed = mix(whole, **options).select("_whole", *order)
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("_whole.*")

@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
-MIN_SCORE = 0.05  # cosine with the nearest language below which a document counts as none
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, no letter, or unlike every language known."""
+    """Drops documents without a language: no text, or no letter in it."""
     profiles = language.train_profiles(docs.where(~language.held_out(F.col("doc_id"))))
-    found = language.identify(docs, profiles)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    found = language.identify(docs, profiles, "_guess", "_cosine")
+    return found.where(F.col("_guess") != language.UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

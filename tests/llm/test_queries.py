@@ -1,0 +1,82 @@
+"""The registered queries: against DuckDB where SQL can express them, else against a plain computation."""
+
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+
+import __spark_entry__ as entry
+from chronofold.llm.oracle import ORACLE_SQL
+from chronofold.llm.queries import QUERIES
+from tests.llm.test_nearest import brute as nearest_by_hand
+from tests.llm.test_simhash import by_hand, classes
+from tests.llm.test_tokens import check_packed, expected_files
+
+TABLES = ("documents", "pages", "conversations")
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_against_sql(spark, sf_dir, name):
+    found = QUERIES[name](spark, sf_dir)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    columns = sorted(found.columns)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, found.select(*columns).collect()), key=str) == sorted(want, key=str)
+
+
+def test_mixing(spark, sf_dir, docs):
+    found = QUERIES["op1_mixing"](spark, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(i for i, *_ in docs)
+    assert all(r["mix_release"] <= r["mix_slot"] < r["mix_deadline"] for r in found)
+
+
+def test_simhash(spark, sf_dir, docs):
+    prints = [by_hand(t) for _, t, *_ in docs]
+    roots = classes(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    least = {r: min(i for (i, *_), q in zip(docs, roots, strict=True) if q == r) for r in set(roots)}
+    want = [(i, f"{p:016x}", least[r]) for (i, *_), p, r in zip(docs, prints, roots, strict=True)]
+    assert sorted(map(tuple, QUERIES["op2_simhash"](spark, sf_dir).collect())) == sorted(want)
+
+
+def test_packing(spark, sf_dir, docs):
+    check_packed(QUERIES["op4_packing"](spark, sf_dir).collect(), docs, "word_bpe_49k.json")
+
+
+def test_language(spark, sf_dir, docs):
+    lang = {i: x for i, _, x, _ in docs}
+    found = QUERIES["op5_language"](spark, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(lang)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found)
+    right = [r["lang_pred"] == lang[r["doc_id"]] for r in found if r["held_out"]]
+    assert np.mean(right) > 0.9
+
+
+def test_token_files(spark, sf_dir, docs):
+    found = sorted(map(tuple, QUERIES["op6_token_files"](spark, sf_dir).collect()), key=lambda r: r[1])
+    assert found == expected_files(docs, "byte_bpe_50k.json")
+
+
+def test_nearest(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    found = sorted(map(tuple, QUERIES["op8_nearest"](spark, sf_dir).collect()))
+    want = nearest_by_hand(rows, 50, 5)
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    assert [r[3] for r in found] == pytest.approx([r[3] for r in want], abs=1e-12)
+
+
+def test_tokenizers_stay_outside():
+    assert not public_tokenizers.path("word_bpe_49k.json").startswith("/root/repo")
