@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.functions.text import ALL_DIGITS_PATTERN
-from chronofold.operators.skew import ROWS_PER_TASK, lookup_join
-from chronofold.schema import CODE, CODE_SEPARATOR, SEQ
+from chronofold.operators.skew import lookup_join
+from chronofold.schema import CODE, CODE_SEPARATOR
 
 
 def code_segments(code: Column) -> Column:
@@ -29,6 +29,11 @@ def replace_segment(segments: Column, index: Column, text: Column) -> Column:
     )
 
 
+def one_per_key(table: DataFrame, key: str, value: str) -> DataFrame:
+    """``key`` and ``value``, each key once, so that a join to it cannot multiply rows."""
+    return table.groupBy(key).agg(F.max(value).alias(value))
+
+
 def resolve_codes(
     codes: DataFrame,
     metadata: DataFrame | None = None,
@@ -39,6 +44,8 @@ def resolve_codes(
 
     A non-empty description replaces the code. Otherwise, if both item dictionaries are given, the
     first all-digit segment of ``a//123//b`` is replaced by its label, the first dictionary first.
+    A key that comes twice in a table counts once, with the text that sorts last; give ``read_codes`` and
+    ``read_items``, which know the order of the rows, where the last row shall count.
     ``resolution`` is description, items, lab_items, none (a numeric segment was not found) or
     plain (there is no numeric segment).
     """
@@ -48,18 +55,14 @@ def resolve_codes(
         "_item", F.when(F.col("_index") > 0, F.get("_segments", (F.col("_index") - 1).cast("int")))
     )
     if metadata is not None:
-        described = metadata.where("description <> ''").select(CODE, "description")
+        described = one_per_key(metadata.where("description <> ''"), CODE, "description")
         out = out.join(described, CODE, "left")
     else:
         out = out.withColumn("description", F.lit(None).cast("string"))
     if items is not None and lab_items is not None:
-        out = out.join(
-            items.select(F.col("itemid").alias("_item"), F.col("label").alias("_label")), "_item", "left"
-        ).join(
-            lab_items.select(F.col("itemid").alias("_item"), F.col("label").alias("_lab_label")),
-            "_item",
-            "left",
-        )
+        for table, name in ((items, "_label"), (lab_items, "_lab_label")):
+            labelled = one_per_key(table, "itemid", "label").withColumnsRenamed({"itemid": "_item", "label": name})
+            out = out.join(labelled, "_item", "left")
     else:
         none = F.lit(None).cast("string")
         out = out.withColumn("_label", none).withColumn("_lab_label", none)
@@ -104,8 +107,6 @@ def unresolved_codes(
     )
 
 
-def describe_events(
-    events: DataFrame, resolved: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def describe_events(events: DataFrame, resolved: DataFrame) -> DataFrame:
     """Add the columns of ``resolved`` (one row per code) to the events."""
-    return lookup_join(events, resolved, CODE, F.xxhash64(SEQ), rows_per_task)
+    return lookup_join(events, resolved, CODE)

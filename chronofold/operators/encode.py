@@ -34,25 +34,20 @@ def load_vocab(vocab: DataFrame) -> dict[str, int]:
 
 
 def field_words(
-    events: DataFrame, keys: list[str], max_length: int, skip: list[str] | None = None
+    events: DataFrame, keys: list[str], max_length: int | None, skip: list[str] | None = None
 ) -> tuple[DataFrame, list[str]]:
     """``keys`` and one word list per rendered field (null where the field is), with the field names.
 
     In fields other than the code a digit run is one word, so that its digits stay together until
     they are numbered. Every word gives at least one token, so words past ``max_length`` in a field
-    lie behind the cut whatever comes before them and need not leave the JVM.
+    lie behind the cut whatever comes before them and need not leave the JVM. None: no cut.
     """
     fields = field_texts(events, skip)
-    lists = [
-        F.slice(
-            F.col("code_words")
-            if name == CODE and "code_words" in events.columns
-            else words_of(text, numbers=name != CODE),
-            1,
-            max_length,
-        ).alias(f"_words_{i}")
-        for i, (name, text) in enumerate(fields)
-    ]
+    lists = []
+    for i, (name, text) in enumerate(fields):
+        ready = name == CODE and "code_words" in events.columns
+        words = F.col("code_words") if ready else words_of(text, numbers=name != CODE)
+        lists.append((words if max_length is None else F.slice(words, 1, max_length)).alias(f"_words_{i}"))
     shown = F.coalesce(*[F.col(f"_words_{i}") for i in range(len(fields))]).isNotNull()
     return events.select(*keys, *lists).where(shown), [name for name, _ in fields]
 
@@ -86,6 +81,9 @@ class _Page:
         self.types[row[kept], at[kept]] = kind
         return at, kept
 
+    def _put_places(self, row: np.ndarray, at: np.ndarray, places: np.ndarray) -> None:
+        self.places[row, at] = places
+
     def add_name(self, shown: np.ndarray, ids: np.ndarray) -> None:
         rows = np.flatnonzero(shown)
         self._put(np.repeat(rows, len(ids)), np.tile(np.arange(len(ids)), len(rows)), np.tile(ids, len(rows)), TYPE_NAME)
@@ -119,9 +117,10 @@ class _Page:
             dots = np.bincount(run, weights=is_dot, minlength=len(word))[run]
             dot_index = np.zeros(len(word), dtype=np.int64)
             dot_index[run[is_dot]] = index[is_dot]
-            self.places[row[digit], at[digit]] = np.select(
+            places = np.select(
                 [dots == 0, dots == 1], [size + DOT_PLACE - index, dot_index[run] + DOT_PLACE - index], 0
             )
+            self._put_places(row[digit], at[digit], places)
 
     def finish(self) -> list[pa.Array]:
         rows, length = self.ids.shape
@@ -136,6 +135,39 @@ class _Page:
         ] + [pa.array((kept + 2).astype(np.int32))]
 
 
+class _Parts(_Page):
+    """A page whose rows go on in further rows instead of being cut."""
+
+    def __init__(self, rows: int, length: int, special: dict[str, int]):
+        super().__init__(rows, 2, special)
+        self.part_length = length
+        self.tokens: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
+        self.digits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def _put(self, row: np.ndarray, inside: np.ndarray, ids: np.ndarray, kind: int):
+        at = self.used[row] + inside
+        self.tokens.append((row, at, ids, kind))
+        return at, np.ones(len(row), dtype=bool)
+
+    def _put_places(self, row: np.ndarray, at: np.ndarray, places: np.ndarray) -> None:
+        self.digits.append((row, at, places))
+
+    def finish_parts(self) -> tuple[np.ndarray, np.ndarray, list[pa.Array]]:
+        """Row and number of each part, and the id lists."""
+        room = self.part_length - 2
+        parts = np.maximum(-(-self.used // room), 1)
+        owner, number = _ragged(parts)
+        page = _Page(len(owner), self.part_length, self.special)
+        first = _starts(parts)
+        for row, at, ids, kind in self.tokens:
+            to = first[row] + at // room, at % room + 1
+            page.ids[to], page.types[to] = ids, kind
+        for row, at, places in self.digits:
+            page.places[first[row] + at // room, at % room + 1] = places
+        page.used = np.minimum(self.used[owner] - number * room, room)
+        return owner, number, page.finish()
+
+
 def encode_events(
     events: DataFrame,
     vocab: DataFrame,
@@ -143,34 +175,43 @@ def encode_events(
     max_length: int = MAX_EVENT_LENGTH,
     lowercase: bool = False,
     skip: list[str] | None = None,
+    in_parts: bool = False,
 ) -> DataFrame:
     """``keys`` plus ``input_ids``, ``type_ids``, ``place_ids`` (SMALLINT lists) and ``n_tokens``.
 
     Text work is done in column expressions; only the piece lookup and the padding run on Arrow
     batches, where each distinct word of a batch is looked up once. The step is narrow: nothing is
     shuffled, and equal words need not meet. Events without any field to show are dropped.
+
+    An event is cut at ``max_length``. With ``in_parts`` it goes on in further rows instead, numbered by ``part``
+    from 0; digit places then count within the whole run.
     """
     table = load_vocab(vocab)
     special = {t: table[t] for t in (PAD, UNKNOWN, START, END)}
     dot = table.get(".", -1)
     shared = events.sparkSession.sparkContext.broadcast(table)
-    prepared, names = field_words(events, keys, max_length, skip)
+    prepared, names = field_words(events, keys, None if in_parts else max_length, skip)
     name_words = [split_words(n) for n in names]
+    part = ["part"] if in_parts else []
     outputs = ["input_ids", "type_ids", "place_ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look_up = Pieces(shared.value, lowercase)
         name_ids = [np.array([i for w in ws for i in look_up(w)], dtype=np.int64) for ws in name_words]
         for batch in batches:
-            page = _Page(batch.num_rows, max_length, special)
+            page = (_Parts if in_parts else _Page)(batch.num_rows, max_length, special)
             for i, name in enumerate(names):
                 column = batch.column(f"_words_{i}")
                 page.add_name(column.is_valid().to_numpy(zero_copy_only=False), name_ids[i])
                 page.add_words(column, look_up, dot, numbers=name != CODE)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys] + page.finish(), [*keys, *outputs]
-            )
+            columns = [batch.column(k) for k in keys]
+            if in_parts:
+                owner, number, lists = page.finish_parts()
+                columns = [c.take(pa.array(owner)) for c in columns] + [pa.array(number.astype(np.int32))]
+            else:
+                lists = page.finish()
+            yield pa.RecordBatch.from_arrays(columns + lists, [*keys, *part, *outputs])
 
     kept = ", ".join(f"`{k}` {prepared.schema[k].dataType.simpleString()}" for k in keys)
-    lists = ", ".join(f"{c} array<smallint>" for c in outputs[:3])
+    lists = ", ".join([*[f"{c} int" for c in part], *[f"{c} array<smallint>" for c in outputs[:3]]])
     return prepared.mapInArrow(run, f"{kept}, {lists}, n_tokens int")

@@ -109,10 +109,13 @@ def group_offsets(events: DataFrame) -> DataFrame:
     )
 
 
-def prefix_groups(events: DataFrame, n: int = DEBUG_GROUPS) -> DataFrame:
-    """The first ``n`` (subject, time) groups with their event counts (debug view)."""
+def prefix_groups(events: DataFrame, labels: DataFrame, n: int = DEBUG_GROUPS) -> DataFrame:
+    """The first ``n`` (subject, time) groups that some label reaches, with their event counts (debug view)."""
+    last = labels.groupBy(SUBJECT).agg(F.max("prediction_time").alias("_last"))
     return (
-        events.groupBy(SUBJECT, TIME)
+        events.join(last, SUBJECT)
+        .where(F.col(TIME) <= F.col("_last"))
+        .groupBy(SUBJECT, TIME)
         .agg(F.count(F.lit(1)).alias("n_events"))
         .orderBy(SUBJECT, TIME)
         .limit(n)

@@ -23,13 +23,19 @@ from chronofold.schema import (
     require,
 )
 
+MISSING_PART = "UNK"
 _COLUMN = re.compile(r"^\s*col\(\s*(.+?)\s*\)\s*$")
 
 
 def mapped_value(spec: Any) -> Column:
-    """``col(x)`` is a column, a list is its parts joined by ``//``, anything else a literal."""
+    """``col(x)`` is a column, a list is its parts joined by ``//``, anything else a literal.
+
+    A null part of a list stands as ``MISSING_PART``, so that codes keep their number of parts. A code that
+    is one null column stays null.
+    """
     if isinstance(spec, (list, tuple)):
-        return F.concat_ws(CODE_SEPARATOR, *[mapped_value(s).cast("string") for s in spec])
+        parts = [F.coalesce(mapped_value(s).cast("string"), F.lit(MISSING_PART)) for s in spec]
+        return F.concat_ws(CODE_SEPARATOR, *parts)
     named = _COLUMN.match(spec) if isinstance(spec, str) else None
     return F.col(named.group(1)) if named else F.lit(spec)
 
@@ -77,7 +83,7 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def subject_sharded(df: DataFrame, n_shards: int) -> DataFrame:
-    """Rows of a subject together: split and shard columns, hash-partitioned by both and subject."""
+    """Split and shard columns; the writer puts the rows of a subject together."""
     return df.withColumn("split", split_of(F.col(SUBJECT))).withColumn(
         "shard", shard_of(F.col(SUBJECT), n_shards)
     )
@@ -89,10 +95,16 @@ def merge_cohort(parts: list[DataFrame], n_shards: int) -> DataFrame:
 
 
 def code_metadata(events: DataFrame, sources: list[DataFrame] | None = None) -> DataFrame:
-    """Code descriptions of the codes in use; without metadata sources a typed, empty table."""
+    """Code descriptions of the codes in use, one row per code; without metadata sources a typed, empty table."""
     if not sources:
         return events.sparkSession.createDataFrame([], CODES_SCHEMA)
-    described = conform(union_all(sources), CODES_SCHEMA, keep_extra=False)
+    others = [c for c in CODES_SCHEMA.names if c != CODE]
+    described = (
+        conform(union_all(sources), CODES_SCHEMA, keep_extra=False)
+        .groupBy(CODE)
+        .agg(F.max(F.struct("description", *[c for c in others if c != "description"])).alias("_last"))
+        .select(CODE, "_last.*")
+    )
     used = events.select(CODE).where(F.col(CODE).isNotNull()).distinct()
     return used.join(described, CODE, "left").select(*CODES_SCHEMA.names)
 

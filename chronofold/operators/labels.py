@@ -42,7 +42,7 @@ def align_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
     """
     homes = events.groupBy(SUBJECT).agg(F.collect_set("split").alias("_splits"))
     return (
-        lookup_join(labels, homes, SUBJECT, F.xxhash64(PREDICTION_TIME))
+        lookup_join(labels, homes, SUBJECT)
         .where(F.array_contains("_splits", F.col("split")))
         .drop("_splits")
     )
@@ -83,7 +83,7 @@ def matched_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
     A label has an event exactly if its prediction time is not before that earliest event.
     """
     first = events.groupBy(SUBJECT).agg(F.min(TIME).alias("first_time"))
-    return lookup_join(labels, first, SUBJECT, F.xxhash64(PREDICTION_TIME, "label")).where(
+    return lookup_join(labels, first, SUBJECT).where(
         F.col("first_time") <= F.col(PREDICTION_TIME)
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chronofold.functions.clock import minutes_between
 from chronofold.operators.events import number_events
 from chronofold.operators.labels import PREDICTION_TIME
-from chronofold.operators.skew import ROWS_PER_TASK, grid_join, lookup_join
+from chronofold.operators.skew import ROWS_PER_TASK, grid_join
 from chronofold.schema import DEBUG_EVENTS, SEQ, SUBJECT, TIME
 
 SEQUENCE_PART = 1024
@@ -175,16 +175,12 @@ def sample_tail(
     )
 
 
-def attach_encoded(
-    rows: DataFrame, encoded: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def attach_encoded(rows: DataFrame, encoded: DataFrame) -> DataFrame:
     """Sample rows with the id lists of their events.
 
     Events are encoded once, before the fan-out; every sample row refers to them by ``seq``.
     """
-    return lookup_join(rows, encoded, SEQ, F.xxhash64("sample_id"), rows_per_task).where(
-        F.col("n_tokens").isNotNull()
-    )
+    return rows.join(encoded, SEQ).select(*rows.columns, *[c for c in encoded.columns if c != SEQ])
 
 
 def nested_samples(

@@ -5,47 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 2_000_000
-MAX_HEAVY_KEYS = 10_000
-BROADCAST_BYTES = 16 * 1024 * 1024
-
-
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows.
-
-    The limit only bounds what is broadcast. Keys beyond it stay in the plain path of the
-    callers, where each holds less than 1/10,000 of the rows, so no row is lost.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.where(F.col("_rows") > rows_per_task)
-        .orderBy(F.desc("_rows"), key)
-        .limit(MAX_HEAVY_KEYS)
-        .select(key)
-    )
+ROWS_PER_TASK = 20_000_000  # pairs of one key that one task may compare
 
 
 def _grid(
     key: str, left_keys: DataFrame | None, right_keys: DataFrame | None, rows_per_task: int
 ) -> DataFrame:
-    """Heavy keys with their numbers of left and right slices, ``_a`` and ``_b``."""
+    """Keys with more than ``rows_per_task`` pairs, with their numbers of left and right slices, ``_a`` and ``_b``.
+
+    The work of a key is the product of its rows on both sides, so that is what is divided. A side
+    that was not counted counts as one row.
+    """
     parts = [
         df.select(key, F.lit(is_left).alias("_l"), F.lit(1 - is_left).alias("_r"))
         for df, is_left in ((left_keys, 1), (right_keys, 0))
         if df is not None
     ]
-    counts = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).groupBy(key).agg(
-        F.sum("_l").alias("_l"), F.sum("_r").alias("_r")
+    rows = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).groupBy(key).agg(
+        F.greatest(F.sum("_l"), F.lit(1)).cast("double").alias("_l"),
+        F.greatest(F.sum("_r"), F.lit(1)).cast("double").alias("_r"),
     )
-
-    def slices(rows: str) -> Column:
-        return F.greatest(F.ceil(F.col(rows) / rows_per_task), F.lit(1)).cast("int")
-
+    cells = F.col("_l") * F.col("_r") / rows_per_task
+    # As square as both sides allow: each side is repeated once per slice of the other.
+    left = F.greatest(F.least(F.ceil(F.sqrt(cells * F.col("_l") / F.col("_r"))), F.col("_l")), F.lit(1))
     return (
-        counts.where((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task))
-        .orderBy(F.desc(F.col("_l") + F.col("_r")), key)
-        .limit(MAX_HEAVY_KEYS)
-        .select(key, slices("_l").alias("_a"), slices("_r").alias("_b"))
+        rows.where(cells > 1)
+        .withColumn("_a", left.cast("int"))
+        .select(key, "_a", F.greatest(F.ceil(cells / F.col("_a")), F.lit(1)).cast("int").alias("_b"))
     )
 
 
@@ -67,7 +53,8 @@ def grid_join(
     row the other way round, so every pair meets exactly once. ``slice_left`` and ``slice_right`` are
     hashes that spread the rows of one key. ``left_keys`` and ``right_keys`` are the tables keys are
     counted on, as cheap as can be; None for a side that cannot be heavy. Columns other than ``key``
-    must differ between the sides.
+    must differ between the sides. The grid has a row for each key with too many pairs for one task and is
+    joined like any other table: adaptive execution broadcasts it where it is small.
     """
     grid = _grid(key, left_keys, right_keys, rows_per_task)
 
@@ -80,8 +67,8 @@ def grid_join(
             F.when(F.col(n).isNull(), one).otherwise(F.sequence(F.lit(0), F.col(n) - 1))
         )
 
-    spread_left = left.join(F.broadcast(grid), key, "left").withColumn("_i", slice_of(slice_left, "_a"))
-    spread_right = right.join(F.broadcast(grid), key, "left").withColumn("_j", slice_of(slice_right, "_b"))
+    spread_left = left.join(grid, key, "left").withColumn("_i", slice_of(slice_left, "_a"))
+    spread_right = right.join(grid, key, "left").withColumn("_j", slice_of(slice_right, "_b"))
     # A side is repeated only if the other one can be heavy.
     repeat_left = copies_of("_b") if right_keys is not None else F.lit(0)
     repeat_right = copies_of("_a") if left_keys is not None else F.lit(0)
@@ -100,44 +87,11 @@ def grid_join(
     return spread_left.join(spread_right, on).drop("_i", "_j", "_key", "_ri", "_rj")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size estimate of the optimised plan; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread: Column,
-    rows_per_task: int = ROWS_PER_TASK,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join of a large table to a lookup with one row per key.
 
-    A lookup whose estimated size is within ``broadcast_bytes`` is broadcast. Otherwise the rows of
-    the heavy keys (at most 10,000 of them) are answered from a broadcast of just those keys, and
-    all other rows from a shuffle join, where AQE may still switch to a broadcast at run time.
+    Adaptive execution sees the real size of the lookup: it broadcasts a small one, and otherwise
+    splits the partitions of heavy keys.
     """
-    if estimated_bytes(lookup) <= broadcast_bytes:
-        return facts.join(F.broadcast(lookup), key, "left")
-
     values = [c for c in lookup.columns if c != key]
-    heavy = heavy_keys(facts, key, rows_per_task)
-    hot = lookup.join(F.broadcast(heavy), key, "left_semi").select(
-        key, F.struct(*values).alias("_hot")
-    )
-    cold = lookup.select(F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
-    # Answered rows get an unmatched, well spread join key, so they cause no hot partition.
-    open_key = F.when(
-        F.col("_hot").isNull() & F.col(key).isNotNull(),
-        F.concat(F.lit("k"), F.col(key).cast("string")),
-    ).otherwise(F.concat(F.lit("x"), spread.cast("string")))
-    joined = (
-        facts.join(F.broadcast(hot), key, "left")
-        .withColumn("_open", open_key)
-        .join(cold.withColumn("_key", F.concat(F.lit("k"), F.col("_key").cast("string"))),
-              F.col("_open") == F.col("_key"), "left")
-    )
-    picked = F.coalesce("_hot", "_cold")
-    return joined.select(*[F.col(c) for c in facts.columns], *[picked[c].alias(c) for c in values])
+    return facts.join(lookup, key, "left").select(*facts.columns, *values)

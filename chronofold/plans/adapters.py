@@ -18,8 +18,6 @@ STREAM_CODES = [
     ("view", "Page seen"),
 ]
 
-SMALL_PART = 25
-
 # Sample result texts, one of which each line item is given.
 RESULT_TEXTS = [
     "Negative", "See Comment", ">89", "Not Detected", "<0.2", "Nonreactive", "1+", "Trace", "...",
@@ -85,12 +83,23 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias(SUBJECT),
         F.col("o_orderdate").alias(TIME),
-        F.concat_ws("//", F.lit("LAB"), F.col("l_partkey").cast("string"), "l_returnflag").alias(CODE),
+        F.concat_ws("//", F.lit("LAB"), line_item(), "l_returnflag").alias(CODE),
         F.col("l_quantity").alias(VALUE),
         line_seq().alias(SEQ),
     )
 
 
+def line_item():
+    """The numeric segment of a line's code: mostly a part, for some lines a supplier, for some neither."""
+    supplier = F.concat(F.lit("0"), F.col("l_suppkey").cast("string"))
+    unknown = F.concat(F.lit("00"), F.col("l_partkey").cast("string"))
+    return (
+        F.when(F.col("l_linenumber") == 5, supplier)
+        .when(F.col("l_linenumber") == 6, unknown)
+        .otherwise(F.col("l_partkey").cast("string"))
+    )
+
+
 def line_seq():
     """A number per line item: order and line, then 22 bits from part, supplier and quantity."""
     tie = F.col("l_partkey") * 64 + F.col("l_suppkey") * 8191 + F.col("l_quantity").cast("bigint")
@@ -107,17 +116,16 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First dictionary: the smaller parts, so that the second one is asked too."""
-    return (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_size") <= SMALL_PART)
-        .select(F.col("p_partkey").cast("string").alias("itemid"), F.col("p_name").alias("label"))
+    """First dictionary: all parts."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("itemid"), F.col("p_name").alias("label")
     )
 
 
 def supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second dictionary: all suppliers, their numbers with a leading zero, unlike any part's."""
     return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("itemid"), F.col("s_name").alias("label")
+        F.concat(F.lit("0"), F.col("s_suppkey").cast("string")).alias("itemid"), F.col("s_name").alias("label")
     )
 
 

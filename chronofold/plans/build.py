@@ -94,7 +94,7 @@ def build_samples(
 
     numbered = lb.sample_headers(slim, wanted)
     if given_split:
-        numbered = lookup_join(numbered, subject_split(clean), SUBJECT, F.xxhash64("sample_id"))
+        numbered = lookup_join(numbered, subject_split(clean), SUBJECT)
     else:
         numbered = splits.add_split(numbered)
     headers = staged(numbered, "headers")

@@ -23,7 +23,6 @@ N_WORKERS = 4
 SHARD_BUDGET = 2000
 N_SHARDS = 8
 MAX_LENGTH = MAX_EVENT_LENGTH
-CUT_LENGTH = 16  # short enough to cut through events and their numbers
 TAIL = 20
 
 
@@ -150,7 +149,7 @@ def group_offsets(spark, d):
 
 
 def prefix_groups(spark, d):
-    return events.prefix_groups(ad.order_events(spark, d))
+    return events.prefix_groups(ad.order_events(spark, d), _order_labels(spark, d))
 
 
 def subjects_semi(spark, d):
@@ -173,9 +172,11 @@ def label_clean_dedupe(spark, d):
 
 
 def label_aligned(spark, d):
-    """Labels of the stream against events of two splits only."""
-    here = splits.add_split(_clean(spark, d)).where("split <> 'train'")
-    return labels.align_labels(here, splits.add_split(ad.stream_labels(spark, d)))
+    """Labels of the stream against its events; every seventh label lies in another split than its subject."""
+    placed = splits.add_split(ad.stream_labels(spark, d))
+    foreign = F.when(F.col("split") == "train", "tuning").otherwise("train")
+    placed = placed.withColumn("split", F.when(F.col("event_id") % 7 == 0, foreign).otherwise(F.col("split")))
+    return labels.align_labels(splits.add_split(_clean(spark, d)), placed)
 
 
 def subject_label_lists(spark, d):
@@ -222,7 +223,7 @@ def merge_cohort(spark, d):
 
 def finalize_events(spark, d):
     raw = ad.stream_events(spark, d).select(SUBJECT, CODE, TIME, VALUE, "props", SEQ)
-    return extract.finalize_events(raw.drop(VALUE)).select(
+    return extract.finalize_events(raw).select(
         SUBJECT, TIME, CODE, F.col(VALUE).cast("double").alias(VALUE), SEQ
     )
 
@@ -385,7 +386,7 @@ def encoded_events(spark, d):
 def encoded_events_orders(spark, d):
     found = _order_codes(spark, d).withColumn("code_words", words_of(F.col("code_text")))
     described = codes.describe_events(ad.order_events(spark, d), found)
-    return encode.encode_events(described, ad.small_vocab(spark), [SEQ], CUT_LENGTH).select(
+    return encode.encode_events(described, ad.small_vocab(spark), [SEQ], MAX_LENGTH).select(
         SEQ,
         "n_tokens",
         _joined("input_ids").alias("input_ids"),
@@ -395,10 +396,10 @@ def encoded_events_orders(spark, d):
 
 
 def encoded_documents(spark, d):
-    """Whole document texts through the encoder, cut to 128 ids at the end only."""
+    """Whole document texts through the encoder, in numbered parts of 128 ids."""
     docs = ad.table(spark, d, "documents").select(F.col("lang").alias(CODE), "text", F.col("doc_id").alias(SEQ))
-    return encode.encode_events(docs, ad.small_vocab(spark), [SEQ], 128).select(
-        SEQ, "n_tokens", _joined("input_ids").alias("input_ids"), _joined("place_ids").alias("place_ids")
+    return encode.encode_events(docs, ad.small_vocab(spark), [SEQ], 128, in_parts=True).select(
+        SEQ, "part", "n_tokens", _joined("input_ids").alias("input_ids"), _joined("place_ids").alias("place_ids")
     )
 
 
@@ -412,6 +413,16 @@ def sample_encoded(spark, d):
     return joined.select("sample_id", SEQ, "minute", _joined("input_ids").alias("input_ids"))
 
 
+def sample_nested(spark, d):
+    """The stored form of the samples: per event its three id lists, and the minutes, in parts of 64 events."""
+    placed = samples.sample_positions(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
+    nested = samples.nested_samples(placed, _encoded(spark, d), 64)
+    event = lambda ids: F.array_join(F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
+    return nested.select(
+        "sample_id", "part", "n_events", F.array_join(F.transform("hi", event), ";").alias("hi"), _joined("time").alias("time")
+    )
+
+
 # Result values
 
 def _counts(spark, d):
@@ -532,7 +543,7 @@ QUERIES: dict[str, Query] = {
         subject_splits, subject_shards, split_sizes, split_preview, split_filter,
         code_describe, code_fallback, code_unresolved, code_unresolved_bare,
         event_text, text_rounded, number_text, digit_spaced, digit_runs, place_ids, document_numbers,
-        encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded,
+        encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded, sample_nested,
         value_top50, value_classes, value_summary, value_examples, value_buckets, value_bucket_summary,
         value_bucket_examples, value_bucket_top50,
         shard_assign, shard_running, worker_balance, audit_rows, audit_units, audit_output, audit_splits,

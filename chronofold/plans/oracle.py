@@ -9,7 +9,7 @@ from chronofold.functions.classify import (
     bucket_rules,
 )
 from chronofold.plans import adapters as ad
-from chronofold.plans.catalog import CUT_LENGTH, MAX_LENGTH, N_SHARDS, N_WORKERS, SHARD_BUDGET, TAIL
+from chronofold.plans.catalog import MAX_LENGTH, N_SHARDS, N_WORKERS, SHARD_BUDGET, TAIL
 
 
 def quoted(text: str) -> str:
@@ -51,7 +51,8 @@ lab AS (
   GROUP BY ALL)"""
 ORDERS = f"""clean AS (
   SELECT o_custkey AS subject_id, o_orderdate AS time,
-         'LAB//' || l_partkey || '//' || l_returnflag AS code, l_quantity AS numeric_value, {SEQ_SQL} AS seq
+         'LAB//' || CASE l_linenumber WHEN 5 THEN '0' || l_suppkey WHEN 6 THEN '00' || l_partkey ELSE l_partkey::VARCHAR END
+         || '//' || l_returnflag AS code, l_quantity AS numeric_value, {SEQ_SQL} AS seq
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 lab AS (
   SELECT subject_id, prediction_time, label, CAST(count(*) AS INTEGER) AS copies FROM (
@@ -117,8 +118,8 @@ resolved AS (
          CASE WHEN p_name IS NOT NULL THEN 'items' WHEN s_name IS NOT NULL THEN 'lab_items'
               WHEN ix > 0 THEN 'none' ELSE 'plain' END AS resolution
   FROM parts
-  LEFT JOIN part ON p_partkey::VARCHAR = segs[ix] AND p_size <= {ad.SMALL_PART}
-  LEFT JOIN supplier ON s_suppkey::VARCHAR = segs[ix])"""
+  LEFT JOIN part ON p_partkey::VARCHAR = segs[ix]
+  LEFT JOIN supplier ON '0' || s_suppkey = segs[ix])"""
 
 
 def strip_zeros(text: str) -> str:
@@ -258,6 +259,14 @@ encoded AS (
   FROM lists)"""
 
 
+def encoded_parts_sql(base: str, fields: list[tuple[str, str]], length: int) -> str:
+    """As ``encoded_sql``, but ids beyond the length go on in further parts."""
+    whole = encoded_sql(base, fields, length).replace(f" WHERE tok <= {length} - 2", "")
+    whole = whole.replace("SELECT seq, count(*) AS k,", f"SELECT seq, (tok - 1) // {length - 2} AS part, count(*) AS k,")
+    whole = whole.replace("FROM placed_tokens GROUP BY seq)", "FROM placed_tokens GROUP BY ALL)")
+    return whole.replace("SELECT seq, CAST(k + 2", "SELECT seq, CAST(part AS INTEGER) AS part, CAST(k + 2")
+
+
 STREAM_DESCRIBED = f"""described AS (
   SELECT e.*, {CODE_TEXT} AS code_text FROM clean e LEFT JOIN codes c ON c.code = e.code)"""
 STREAM_FIELDS = [
@@ -358,7 +367,9 @@ GROUP BY ALL""",
   CAST(coalesce(sum(n_events) OVER (PARTITION BY subject_id ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS group_start
 FROM (SELECT subject_id, time, count(*) AS n_events FROM clean GROUP BY ALL)""",
     "prefix_groups": with_(ORDERS)
-    + "SELECT subject_id, time, count(*) AS n_events FROM clean GROUP BY ALL ORDER BY subject_id, time LIMIT 5000",
+    + """SELECT subject_id, time, count(*) AS n_events FROM clean c
+WHERE EXISTS (SELECT 1 FROM lab l WHERE l.subject_id = c.subject_id AND l.prediction_time >= c.time)
+GROUP BY ALL ORDER BY subject_id, time LIMIT 5000""",
     "subjects_semi": with_(STREAM_CLEAN)
     + """SELECT subject_id, seq, code FROM clean
 WHERE subject_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 100)""",
@@ -369,7 +380,7 @@ WHERE subject_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AN
     + "SELECT subject_id, prediction_time, label, 1 AS copies FROM lab",
     "label_aligned": f"""SELECT * FROM (
   SELECT user_id AS subject_id, ts AS prediction_time, value > 100 AS boolean_value, event_id, {split_sql('user_id')} AS split
-  FROM events WHERE event_type = 'purchase') WHERE split <> 'train'
+  FROM events WHERE event_type = 'purchase') WHERE event_id % 7 <> 0
   AND subject_id IN (SELECT user_id FROM events WHERE event_type <> 'signup')""",
     "subject_label_lists": with_(ORDERS, LISTED)
     + f"""SELECT subject_id, place // 8 AS part,
@@ -391,7 +402,7 @@ UNION ALL SELECT c_custkey, NULL, 'SEGMENT//' || c_mktsegment, NULL, NULL FROM c
     UNION SELECT subject_id, time, code, CAST(numeric_value AS FLOAT), NULL FROM clean))
 GROUP BY ALL""",
     "finalize_events": with_(STREAM)
-    + "SELECT subject_id, time, code, CAST(NULL AS DOUBLE) AS numeric_value, seq FROM ev",
+    + "SELECT subject_id, time, code, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, seq FROM ev",
     "union_diagonal": with_(STREAM, ORDERS)
     + """SELECT subject_id, code, props, CAST(NULL AS DOUBLE) AS numeric_value FROM ev
 UNION ALL SELECT subject_id, code, NULL, numeric_value FROM clean""",
@@ -436,7 +447,7 @@ FROM ev e LEFT JOIN codes c ON c.code = e.code""",
         ORDER_DESCRIBED,
         vocab_sql(),
         encoded_sql(
-            "described", [("code", "code_text"), ("numeric_value", round_piece_sql("numeric_value"))], CUT_LENGTH
+            "described", [("code", "code_text"), ("numeric_value", round_piece_sql("numeric_value"))], MAX_LENGTH
         ),
     )
     + "SELECT seq, n_tokens, input_ids, type_ids, place_ids FROM encoded",
@@ -444,15 +455,20 @@ FROM ev e LEFT JOIN codes c ON c.code = e.code""",
         "docs AS (SELECT doc_id AS seq, lang AS code_text, text FROM documents)",
         f"rounded AS (SELECT seq, code_text, CASE WHEN regexp_matches(text, '\\.\\d') THEN {rounded_sql('text')} ELSE text END AS text FROM docs)",
         vocab_sql(),
-        encoded_sql("rounded", [("code", "code_text"), ("text", "text")], 128),
+        encoded_parts_sql("rounded", [("code", "code_text"), ("text", "text")], 128),
     )
-    + "SELECT seq, n_tokens, input_ids, place_ids FROM encoded",
+    + "SELECT seq, part, n_tokens, input_ids, place_ids FROM encoded",
     "token_counts": with_(*STREAM_ENCODED)
     + "SELECT n_tokens, count(*) AS n_rows FROM encoded GROUP BY n_tokens",
     "sample_encoded": with_(
         STREAM_CLEAN, HEADERS, MEMBERS, *STREAM_ENCODED[1:]
     )
     + "SELECT sample_id, seq, minute, input_ids FROM members JOIN encoded USING (seq)",
+    "sample_nested": with_(STREAM_CLEAN, HEADERS, MEMBERS, *STREAM_ENCODED[1:])
+    + """SELECT sample_id, (pos - 1) // 64 AS part, CAST(count(*) AS INTEGER) AS n_events,
+  string_agg(input_ids || '|' || type_ids || '|' || place_ids, ';' ORDER BY pos) AS hi,
+  string_agg(minute::VARCHAR, ',' ORDER BY pos) AS time
+FROM placed JOIN encoded USING (seq) GROUP BY ALL""",
     "value_top50": with_(result_values_sql())
     + "SELECT raw, count FROM counts ORDER BY count DESC, raw LIMIT 50",
     "value_classes": CLASSED + "SELECT raw, count, category FROM classed",

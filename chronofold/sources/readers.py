@@ -29,11 +29,16 @@ def _has_files(spark: SparkSession, root: str, suffix: str) -> bool:
     hadoop_path, fs = _path(spark, root)
     files = fs.listFiles(hadoop_path, True)
     while files.hasNext():
-        if files.next().getPath().getName().endswith("." + suffix):
+        if files.next().getPath().getName().lower().endswith("." + suffix):
             return True
     return False
 
 
+def _any_case(suffix: str) -> str:
+    """File-name pattern for a suffix in upper or lower case."""
+    return "*." + "".join(f"[{c}{c.upper()}]" for c in suffix)
+
+
 def discover_format(spark: SparkSession, root: str) -> str:
     """``csv`` or ``parquet``: a directory with any CSV file below it counts as CSV only."""
     if not path_exists(spark, root):
@@ -63,7 +68,7 @@ def read_table(
     ``_file`` and, for Parquet, ``_row`` (place within the file).
     """
     kind = discover_format(spark, root)
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _any_case(kind))
     if schema is not None:
         reader = reader.schema(schema)
     if kind == "csv":

@@ -52,3 +52,10 @@ def test_events_keep_null_codes(spark):
     resolved = codes.resolve_codes(codes.code_table(events), None, items, lab)
     got = {r.seq: r.code_text for r in codes.describe_events(events, resolved).collect()}
     assert got == {1: "X//First", 2: None}
+
+
+def test_repeated_keys_do_not_multiply(spark):
+    meta = spark.createDataFrame([("A", "one"), ("A", "two"), ("A", ""), ("B", None)], "code string, description string")
+    items = spark.createDataFrame([("7", "x"), ("7", "y")], "itemid string, label string")
+    got = codes.resolve_codes(used(spark, "A", "B", "X//7"), meta, items, items)
+    assert rows_of(got, "code", "code_text") == [("A", "two"), ("B", "B"), ("X//7", "X//y")]

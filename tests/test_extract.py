@@ -67,3 +67,15 @@ def test_rendered_columns_skip_names_with_id(spark):
     df = spark.createDataFrame([(1, "A", 1.0, 2, 3, "x", 1)], "subject_id int, code string, numeric_value double, hadm_id int, width int, text string, seq int")
     assert rendered_columns(df) == ["code", "numeric_value", "text"]
     assert rendered_columns(df, skip=["hadm_id"]) == ["code", "numeric_value", "width", "text"]
+
+
+def test_null_code_parts_keep_their_place(spark):
+    raw = spark.createDataFrame([(1, "a", None), (1, None, "a"), (1, None, None)], "subject_id bigint, x string, y string")
+    mapped = extract.map_events(raw, {"code": ["L", "col(x)", "col(y)"]})
+    assert sorted(r.code for r in mapped.collect()) == ["L//UNK//UNK", "L//UNK//a", "L//a//UNK"]
+
+
+def test_code_metadata_has_one_row_per_code(spark):
+    events = spark.createDataFrame([("A",), ("A",), ("B",)], "code string")
+    two = [spark.createDataFrame([("A", d)], "code string, description string") for d in ("one", "two")]
+    assert sorted(map(tuple, extract.code_metadata(events, two).select("code", "description").collect())) == [("A", "two"), ("B", None)]

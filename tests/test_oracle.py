@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from chronofold.plans.catalog import QUERIES
+from chronofold.plans.oracle import ORACLE_SQL
 
 duckdb = pytest.importorskip("duckdb")
 TABLES = (
@@ -20,13 +22,14 @@ def duck(sf_dir):
 
 
 def test_every_query_has_an_equivalent():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert QUERIES.items() <= entry.queries().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf_dir, name):
-    got = entry.queries()[name](spark, sf_dir).toPandas()
-    con = duck.execute(entry.oracle_sql()[name])
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    con = duck.execute(ORACLE_SQL[name])
     columns = [c[0] for c in con.description]
     expected = con.fetchall()
     assert sorted(got.columns) == sorted(columns)

@@ -9,7 +9,7 @@ from chronofold.operators import events as ev
 from chronofold.operators import labels as lb
 from chronofold.operators import samples as sm
 from chronofold.operators.running import running_totals
-from chronofold.operators.skew import lookup_join
+from chronofold.operators.skew import _grid, grid_join, lookup_join
 from tests.helpers import at, events_df, labels_df, rows_of
 
 
@@ -177,20 +177,32 @@ def test_label_lists_explode_back(spark):
     assert rows_of(back, "subject_id", "cohort_end", "cohort_label") == rows_of(labels, "subject_id", "prediction_time", "label")
 
 
-@pytest.mark.parametrize("rows_per_task", [2, 1000])
-def test_lookup_join_heavy_path_equals_plain_join(spark, rows_per_task):
+def test_lookup_join_keeps_columns_and_rows(spark):
     facts = spark.createDataFrame([(i, None if i % 11 == 0 else ("hot" if i % 3 else f"k{i}")) for i in range(100)], "seq int, code string")
     lookup = spark.createDataFrame([("hot", 1, None), ("k3", 2, "b"), ("k6", None, "c")], "code string, a int, b string")
-    plain = facts.join(lookup, "code", "left")
-    got = lookup_join(facts, lookup, "code", F.xxhash64("seq"), rows_per_task, broadcast_bytes=0)
-    key = lambda df: sorted(map(repr, df.select("seq", "code", "a", "b").collect()))
-    assert key(got) == key(plain)
+    got = lookup_join(facts, lookup, "code")
+    assert got.columns == ["seq", "code", "a", "b"]
+    values = {"hot": (1, None), "k3": (2, "b"), "k6": (None, "c")}
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((r.seq, r.code, *values.get(r.code, (None, None)))) for r in facts.collect())
+
+
+def test_pairs_of_one_key_are_spread_by_their_number(spark):
+    rows = 60
+    left = spark.range(rows).selectExpr("if(id < 50, 1L, id) as key", "id as l")
+    right = spark.range(rows).selectExpr("if(id < 50, 1L, id) as key", "id as r")
+    budget = 100
+    joined = grid_join(left, right, "key", F.lit(True), F.xxhash64("l"), F.xxhash64("r"), left, right, budget)
+    assert joined.count() == 50 * 50 + 10
+    (grid,) = _grid("key", left, right, budget).collect()  # 50 rows a side, 2,500 pairs
+    assert grid.key == 1 and grid._a * grid._b >= 25 and grid._a <= 50 and grid._b <= 50
+    assert 50 / grid._a * 50 / grid._b <= budget
 
 
 def test_keep_subjects_and_prefix(spark):
     df = events_df(spark, [(s, m, "A", 1.0, s * 10 + m) for s in (1, 2, 3) for m in (0, 1)])
     assert rows_of(ev.keep_subjects(df, df.where("subject_id <> 2")), "subject_id") == [(1,), (1,), (3,), (3,)]
-    assert rows_of(ev.prefix_groups(df, 3), "subject_id", "n_events") == [(1, 1), (1, 1), (2, 1)]
+    labels = labels_df(spark, [(1, 0, True), (2, 5, True), (2, 0, False), (3, 0, True), (4, 9, True)])
+    assert rows_of(ev.prefix_groups(df, labels, 3), "subject_id", "n_events") == [(1, 1), (2, 1), (2, 1)]
 
 
 def test_align_labels(spark):

@@ -152,3 +152,10 @@ def test_event_time_of_string_columns(spark, tmp_path):
     path.write_text("subject_id,time,code,numeric_value\n1,2024-01-01T00:05:00,A,2\n")
     row = readers.read_events(spark, str(path), "subject_id bigint, time string, code string, numeric_value double").first()
     assert row.time == at(5)
+
+
+def test_suffixes_in_upper_case_are_read(spark, tmp_path):
+    (tmp_path / "X.CSV").write_text("subject_id,code\n1,A\n2,B\n")
+    assert readers.discover_format(spark, str(tmp_path)) == "csv"
+    assert readers.read_table(spark, str(tmp_path)).count() == 2
+    assert readers.read_table(spark, str(tmp_path / "X.CSV")).count() == 2
