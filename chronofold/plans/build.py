@@ -21,7 +21,7 @@ from chronofold.schema import (
     TIME,
     require,
 )
-from chronofold.sources.staging import staged
+from chronofold.sources.staging import clears_staging, staged
 from chronofold.sources.writers import is_complete, write_manifest, write_mode, write_samples, write_table
 
 
@@ -39,6 +39,10 @@ class SampleTables:
     def sample_events(self) -> str:
         return f"{self.root}/sample_events"
 
+    @property
+    def nested_samples(self) -> str:
+        return f"{self.root}/nested_samples"
+
     @property
     def encoded_events(self) -> str:
         return f"{self.root}/encoded_events"
@@ -52,6 +56,7 @@ class SampleTables:
         return f"{self.root}/unresolved_codes"
 
 
+@clears_staging
 def build_samples(
     events: DataFrame,
     labels: DataFrame,
@@ -68,11 +73,12 @@ def build_samples(
     events_per_shard: int = EVENTS_PER_SHARD,
     if_exists: str = "error",
 ) -> SampleTables:
-    """Write samples, sample events, encoded events, manifest and unresolved codes below ``root``.
+    """Write samples, sample events, encoded events, nested samples, manifest and unresolved codes below ``root``.
 
     ``events`` carries ``seq`` and, optionally, ``split``; without it subjects are split by hash.
-    Every step that others read is written first, so nothing is computed twice and a lost executor
-    costs only its own tasks.
+    The input is read once, to write the cleaned events that all steps read; so ``seq`` is one number per event
+    however the input is split. Every step that others read is written first, so nothing is computed twice and a
+    lost executor costs only its own tasks.
     """
     out = SampleTables(root)
     spark = events.sparkSession
@@ -84,7 +90,7 @@ def build_samples(
 
     require(events, SUBJECT, TIME, CODE, SEQ)
     given_split = "split" in events.columns
-    clean = ev.clean_events(events, birth_code)
+    clean = staged(ev.clean_events(events, birth_code), "clean")
     if "split" in labels.columns and not given_split:
         labels = labels.drop("split")
     if "split" in labels.columns:
@@ -121,9 +127,14 @@ def build_samples(
         encode.encode_events(described, vocab, [SEQ], max_length, lowercase), out.encoded_events, None, each
     )
 
+    placed = samples.sample_positions(slim, spark.read.parquet(out.samples), wanted)
+    nested = samples.nested_samples(placed, spark.read.parquet(out.encoded_events))
+    named = spark.read.parquet(out.samples).select("sample_id", SUBJECT, "label", "split", "shard")
+    write_table(nested.join(named, "sample_id"), out.nested_samples, ["split"], each)
+
     # Last, so that its success mark stands for the whole output.
     write_manifest(
-        spark.read.parquet(out.samples).select("sample_id", "n_events", "split", "shard"), out.manifest, root, each
+        spark.read.parquet(out.samples).select("sample_id", "n_events", "split", "shard"), out.manifest, f"{out.sample_events}/split=", each
     )
     return out
 

@@ -464,8 +464,8 @@ def value_bucket_examples(spark, d):
 
 
 def value_bucket_top50(spark, d):
-    counts = profile.classify(_counts(spark, d), bucket(F.col("raw")), "bucket")
-    return profile.top_values(counts, "raw").select(F.col("raw").alias("raw_value_exact"), "bucket", "count")
+    top = profile.top_values(_counts(spark, d), "raw")
+    return top.select(F.col("raw").alias("raw_value_exact"), bucket(F.col("raw")).alias("bucket"), "count")
 
 
 # Shards and audits

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import extract, splits
 from chronofold.schema import EVENT_SCHEMA, SPLITS_SCHEMA, SUBJECT
-from chronofold.sources.staging import staged
-from chronofold.sources.writers import write_dataset_metadata, write_event_shards, write_table
+from chronofold.sources.writers import shard_raw, write_dataset_metadata, write_event_shards, write_table
 
 
 def extract_dataset(
@@ -22,17 +21,26 @@ def extract_dataset(
     n_shards: int = 1,
     code_sources: list[DataFrame] | None = None,
     if_exists: str = "error",
+    raw_rows_per_file: int | None = None,
 ) -> str:
     """Write ``data`` and ``metadata`` below ``root``.
 
-    Mapping, merging, splitting and final typing are one lineage; only the merged events are staged,
-    because data, splits and codes are all written from them.
+    Mapping, merging, splitting and final typing are one lineage, written once; splits, the map of subjects to
+    shards and codes are derived from what was written. With ``raw_rows_per_file`` the sources are first written below
+    ``raw`` in files of that size and read from there, so that one large file becomes many tasks.
     """
     spark = next(iter(sources.values())).sparkSession
+    if raw_rows_per_file is not None:
+        for source, df in sources.items():
+            shard_raw(df, f"{root}/raw/{source}", raw_rows_per_file, if_exists)
+        sources = {source: spark.read.parquet(f"{root}/raw/{source}") for source in sources}
     mapped = extract.extract_events(sources, config)
-    merged = staged(extract.merge_cohort([mapped], n_shards), "merged")
-    final = extract.finalize_events(merged, EVENT_SCHEMA)
+    final = extract.finalize_events(extract.merge_cohort([mapped], n_shards), EVENT_SCHEMA)
     write_event_shards(final, f"{root}/data", if_exists)
+    merged = spark.read.parquet(f"{root}/data")
+    write_table(
+        splits.subject_shards(merged, n_shards), f"{root}/metadata/subject_shards.parquet", None, if_exists
+    )
     write_table(
         splits.subject_splits(merged).select(*[F.col(f.name).cast(f.dataType) for f in SPLITS_SCHEMA.fields]),
         f"{root}/metadata/subject_splits.parquet",

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.classify import bucket, category
 from chronofold.operators import profile
-from chronofold.sources.staging import staged
+from chronofold.sources.staging import clears_staging, staged
 from chronofold.sources.writers import write_mode
 
 
+@clears_staging
 def profile_values(values: DataFrame, root: str, if_exists: str = "error") -> dict[str, str]:
     """Profile a ``raw`` column, and by (raw, meta) if there is a ``meta`` column.
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +25,33 @@ def staging_root(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
+_job: ContextVar[str | None] = ContextVar("_job", default=None)
+
+
+def clears_staging(job: Callable) -> Callable:
+    """For jobs that write all they return: what they stage goes to one folder, which is deleted at the end.
+
+    The job's first argument is a DataFrame.
+    """
+
+    @wraps(job)
+    def run(first: DataFrame, *args, **options):
+        spark = first.sparkSession
+        folder = f"{staging_root(spark)}/job-{uuid.uuid4().hex}"
+        token = _job.set(folder)
+        try:
+            return job(first, *args, **options)
+        finally:
+            _job.reset(token)
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    return run
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the staging folder and read it back."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_job.get() or staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

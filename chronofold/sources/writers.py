@@ -69,9 +69,11 @@ def write_samples(sample_rows: DataFrame, path: str, if_exists: str = "error") -
     write_table(rows, path, ["split", "shard"], if_exists)
 
 
-def write_manifest(manifest: DataFrame, path: str, root: str, if_exists: str = "error") -> None:
+def write_manifest(manifest: DataFrame, path: str, prefix: str, if_exists: str = "error") -> None:
     """Tab-separated manifest: per split a header line with its directory, then one line a sample.
 
+    ``prefix`` and the name of a split make the path of its directory.
+
     Range-partitioned by split, shard and sample, so the part files in name order are the manifest
     in order and no task holds all of it.
     """
@@ -87,7 +89,7 @@ def write_manifest(manifest: DataFrame, path: str, root: str, if_exists: str = "
         F.lit(0).alias("_kind"),
         F.lit("").alias("shard"),
         F.lit("").alias("sample_id"),
-        F.concat(F.lit(root.rstrip("/") + "/"), F.col("split")).alias("value"),
+        F.concat(F.lit(prefix), F.col("split")).alias("value"),
     )
     order = ["split", "_kind", "shard", "sample_id"]
     (

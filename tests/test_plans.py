@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chronofold.operators import samples
+from chronofold.operators import audit, samples
 from chronofold.plans import adapters as ad
 from chronofold.plans import catalog
 from chronofold.plans.build import build_samples, check_samples
@@ -28,8 +28,8 @@ def test_built_samples_equal_the_queries(spark, sf_dir, built):
     assert rows_of(stored, "sample_id", "seq", "minute") == rows_of(
         catalog.QUERIES["sample_events"](spark, sf_dir), "sample_id", "seq", "minute"
     )
-    audit = check_samples(spark, built)
-    assert audit.where("not ok").count() == 0 and audit.count() > 3
+    checked = check_samples(spark, built)
+    assert checked.where("not ok").count() == 0 and checked.count() > 3
 
 
 def test_built_encoding_has_one_row_per_event(spark, built):
@@ -39,6 +39,29 @@ def test_built_encoding_has_one_row_per_event(spark, built):
     assert seqs.join(encoded, "seq", "left_anti").count() == 0
 
 
+def test_built_nested_samples(spark, built):
+    expected = {r.sample_id: (r.n_events, r.label) for r in spark.read.parquet(built.samples).collect()}
+    total = {}
+    for r in spark.read.parquet(built.nested_samples).collect():
+        assert len(r.hi) == len(r.time) == r.n_events and len(r.hi[0]) == 3
+        total[r.sample_id] = (total.get(r.sample_id, (0, 0))[0] + r.n_events, r.label)
+    assert total == expected
+
+
+def test_manifest_headers_name_directories(spark, built):
+    lines = [r.value for r in spark.read.text(built.manifest).collect()]
+    headers = [line for line in lines if "\t" not in line]
+    assert headers and all(readers.path_exists(spark, h) for h in headers)
+
+
+def test_audit_sees_a_missing_shard(spark, built):
+    rows = spark.read.parquet(built.sample_events)
+    gone = rows.select("split", "shard").first()
+    kept = rows.where((F.col("split") != gone.split) | (F.col("shard") != gone.shard))
+    bad = audit.audit_output(kept, spark.read.parquet(built.samples)).where("not ok").collect()
+    assert [(r.split, r.shard) for r in bad] == [(gone.split, gone.shard)]
+
+
 def test_minutes_start_at_zero_and_never_fall(spark, built):
     rows = spark.read.parquet(built.sample_events)
     assert rows.groupBy("sample_id").agg(F.min("minute").alias("m")).where("m <> 0").count() == 0
@@ -78,12 +101,16 @@ def test_extraction_writes_data_and_metadata(spark, sf_dir, tmp_path):
     root = str(tmp_path / "out")
     config = {"orders": {"subject_id_col": "o_custkey", "placed": {"code": ["ORDER", "col(o_orderpriority)"], "time": "col(o_orderdate)", "numeric_value": "col(o_totalprice)"}}}
     orders = ad.table(spark, sf_dir, "orders")
-    extract_dataset({"orders": orders}, config, root, "SYNTHETIC", "1.0", n_shards=2)
+    extract_dataset({"orders": orders}, config, root, "SYNTHETIC", "1.0", n_shards=2, raw_rows_per_file=400)
+    assert len(spark.read.parquet(f"{root}/raw/orders").inputFiles()) > 1
     data = spark.read.parquet(f"{root}/data")
     assert data.columns == ["subject_id", "time", "code", "numeric_value", "split", "shard"]
     assert data.count() == orders.count()
     splits = spark.read.parquet(f"{root}/metadata/subject_splits.parquet")
     assert splits.count() == orders.select("o_custkey").distinct().count()
+    shards = spark.read.parquet(f"{root}/metadata/subject_shards.parquet")
+    assert shards.count() == splits.count()
+    assert data.join(shards, ["subject_id", "split", "shard"], "left_anti").count() == 0
     codes = spark.read.parquet(f"{root}/metadata/codes.parquet")
     assert codes.count() == 0 and codes.columns == ["code", "description", "parent_codes"]
     described = readers.read_dataset_metadata(spark, f"{root}/metadata/dataset.json").first()

@@ -134,7 +134,7 @@ def test_manifest_layout(spark, tmp_path):
     path = str(tmp_path / "manifest")
     manifest = spark.createDataFrame([("1_1", 3, "train", "b"), ("2_1", 4, "train", "a"), ("3_1", 5, "tuning", "a")],
                                      "sample_id string, n_events bigint, split string, shard string")
-    writers.write_manifest(manifest, path, "/out")
+    writers.write_manifest(manifest, path, "/out/")
     lines = [line for f in sorted((tmp_path / "manifest" / "split=train").glob("*.txt")) for line in f.read_text().splitlines()]
     assert lines == ["/out/train", "2_1\t4\ta", "1_1\t3\tb"]
 
@@ -159,3 +159,16 @@ def test_suffixes_in_upper_case_are_read(spark, tmp_path):
     assert readers.discover_format(spark, str(tmp_path)) == "csv"
     assert readers.read_table(spark, str(tmp_path)).count() == 2
     assert readers.read_table(spark, str(tmp_path / "X.CSV")).count() == 2
+
+
+def test_a_job_clears_what_it_staged(spark):
+    seen = []
+
+    @staging.clears_staging
+    def job(df):
+        seen.extend(staging.staged(df, "part").inputFiles())
+        return df.count()
+
+    assert job(spark.range(3)) == 3
+    assert seen and not any(readers.path_exists(spark, f) for f in seen)
+    assert "/job-" not in staging.staged(spark.range(1), "part").inputFiles()[0]
