@@ -16,6 +16,7 @@ from chronofold.operators import audit, codes, encode, events, extract, labels,
 from chronofold.plans import adapters as ad
 from chronofold.schema import CODE, MAX_EVENT_LENGTH, SEQ, SUBJECT, TIME, VALUE
 from chronofold.sources.readers import file_preview, split_from_path
+from chronofold.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -508,7 +509,7 @@ def audit_units(spark, d):
 def audit_output(spark, d):
     manifest = _assigned(spark, d).select("sample_id", "split", "shard", "n_events")
     rows = samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
-    stored = rows.join(manifest.select("sample_id", "split", "shard"), "sample_id")
+    stored = staged(rows.join(manifest.select("sample_id", "split", "shard"), "sample_id"), "audited")
     return audit.audit_output(stored, manifest)
 
 
