@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches
+from chronofold.llm.batches import bounded_batches, frugal
 
 DIMENSIONS = 1024
 SYMBOLS = 64
@@ -100,7 +100,7 @@ def train_profiles(labelled: DataFrame) -> dict[str, np.ndarray]:
     bounded_batches(labelled.sparkSession)
     parts = labelled.where("lang is not null").select(F.col("lang").cast("string"), F.col("text").cast("string"))
     sums = (
-        parts.mapInArrow(run, "lang string, vector array<bigint>")
+        parts.mapInArrow(frugal(run), "lang string, vector array<bigint>")
         .select("lang", F.posexplode("vector").alias("place", "value"))
         .groupBy("lang", "place")
         .agg(F.sum("value").alias("value"))
@@ -149,5 +149,5 @@ def identify(
     bounded_batches(docs.sparkSession)
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(
-        run, schema.add(pred, "string").add(score, "double")
+        frugal(run), schema.add(pred, "string").add(score, "double")
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches
+from chronofold.llm.batches import bounded_batches, frugal
 from chronofold.sources.staging import staged
 
 BLOCK = 4_096  # vectors of a block, on average
@@ -116,7 +116,7 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5, block: int = BLO
     found = (
         pairs.select("q_ids", "q_vectors", "c_ids", "c_vectors")
         .repartition(max(8, min(parts * query_parts, 4096)))
-        .mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+        .mapInArrow(frugal(run), "query_id bigint, vec_id bigint, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(

@@ -13,8 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches
-from chronofold.llm.tokens import encoder
+from chronofold.llm.batches import bounded_batches, frugal
+from chronofold.llm.tokens import MAX_CACHED, encoder
 
 TIERS = (4096, 2048, 1024, 512)
 END_ID = 2
@@ -124,7 +124,12 @@ class Packer:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID, group_tokens: int = GROUP_TOKENS
+    docs: DataFrame,
+    tokenizer: str,
+    tiers: tuple[int, ...] = TIERS,
+    end_id: int = END_ID,
+    group_tokens: int = GROUP_TOKENS,
+    cached_pieces: int = MAX_CACHED,
 ) -> DataFrame:
     """One row per piece: where its ids stand in the document and in the packed sequence.
 
@@ -135,7 +140,7 @@ def pack_documents(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, cached_pieces).encode
         packer = Packer(tiers, group_tokens)
         base = TaskContext.get().partitionId() << 40
         tail = np.array([end_id], "<u4").tobytes()
@@ -162,4 +167,4 @@ def pack_documents(
 
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, SCHEMA)
+    return narrow.mapInArrow(frugal(run), SCHEMA)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches
+from chronofold.llm.batches import bounded_batches, frugal
 from chronofold.llm.graph import components
 from chronofold.sources.staging import staged
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, fp bigint")
+    return narrow.mapInArrow(frugal(run), "doc_id bigint, fp bigint")
 
 
 class _Forest:
@@ -186,7 +186,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, block: int = BL
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["a", "b"])
 
     bounded_batches(spark)
-    return work.mapInArrow(run, "a bigint, b bigint")
+    return work.mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -310,7 +310,7 @@ def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: floa
 
     bounded_batches(docs.sparkSession)
     narrow = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = staged(narrow.mapInArrow(prints, "doc_id bigint, n bigint, fp binary"), "prints")
+    made = staged(narrow.mapInArrow(frugal(prints), "doc_id bigint, n bigint, fp binary"), "prints")
     nodes = staged(
         made.groupBy("n", "fp").agg(F.min("doc_id").alias("first_id"))
         .withColumn("bin", F.floor(F.log(F.greatest("n", F.lit(1))) / -math.log(similarity)).cast("int")),
@@ -326,7 +326,7 @@ def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: floa
         "blocks",
     )
     work = _meetings(blocks, sizes, 1).select("same", "ids", "ids_b", "sizes", "sizes_b", "fps", "fps_b")
-    roots = components(work.mapInArrow(run, "a bigint, b bigint"))
+    roots = components(work.mapInArrow(frugal(run), "a bigint, b bigint"))
     rooted = staged(
         nodes.join(roots.withColumnRenamed("node", "first_id"), "first_id", "left").select(
             "n", "fp", "first_id", F.coalesce("root", "first_id").alias("root")

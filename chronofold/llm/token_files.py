@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches
+from chronofold.llm.batches import bounded_batches, frugal
 from chronofold.llm.tokens import encoder
 from chronofold.sources.staging import staged
 
@@ -108,7 +108,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> D
 
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    return narrow.mapInArrow(frugal(run), "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def _planes(ids: bytes) -> bytes:
@@ -138,7 +138,7 @@ def id_counts(encoded: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
     bounded_batches(encoded.sparkSession)
-    return encoded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("ids").mapInArrow(frugal(run), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -183,7 +183,7 @@ def write_token_files(
         encoded.repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id", "n_tokens", "ids")
         .select("doc_id", "ids")
-        .mapInArrow(run, "block binary")
+        .mapInArrow(frugal(run), "block binary")
     )
     blocks.select(F.col("block").cast("string").alias("value")).write.text(f"{folder}/files")
 
@@ -214,7 +214,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     bounded_batches(spark)
     files = spark.read.format("binaryFile").load(f"{folder}/files").where("length > 0").select("path", "content")
-    rows = staged(files.mapInArrow(run, "path string, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"), "read")
+    rows = staged(files.mapInArrow(frugal(run), "path string, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"), "read")
     # One row per file, whose names sort in the order of the ranges.
     before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("path").agg(F.sum("n_tokens").alias("n")).select(

@@ -9,60 +9,62 @@ from itertools import chain
 
 import numpy as np
 
-MAX_CACHED = 1_000_000  # entries of each cache, about 150 bytes each; a full one is emptied and fills again
+MAX_CACHED = 500_000  # pieces, about 200 bytes each; a full cache is emptied and fills again
+MAX_PIECE = 64  # characters of a piece that is kept
 
-# Pieces of Latin words, plain punctuation and single line ends. Both supported split patterns end a
-# piece at each of these borders, whatever stands around it, so the pieces can be encoded alone.
+# Where the supported split patterns part a text whatever else stands in it: a word of Latin letters, with
+# the space before it, between spaces, line ends and plain points; a run of plain points likewise; a single line end
+# between visible characters. All else goes as a whole up to the next single space between visible characters.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _POINTS = r".,;:!?*$%&#"
-_PLAIN = re.compile(rf" ?[{_LETTERS}]+(?:[{_POINTS}]+|\n(?=[{_LETTERS}{_POINTS}])|[{_LETTERS}]+)*")
-_PIECES = re.compile(rf" ?[{_LETTERS}]+|[{_POINTS}]+|\n")
+_PIECES = re.compile(
+    rf" ?[{_LETTERS}]++(?=[ \n{_POINTS}]|\Z)"
+    rf"| ?[{_POINTS}]++(?=[ \n{_LETTERS}]|\Z)"
+    rf"|\n(?=[{_LETTERS}{_POINTS}])"
+    r"|\s*\S+(?:(?! \S)\s+(?:\S+|\Z))*|\s+"
+)
 _WORD = re.compile(rf" ?[{_LETTERS}]+")
-# Elsewhere a text is cut before a single space between two visible characters.
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-_ODD = re.compile(r"^ | $| \s|\s ")
 
 
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids. Exactly what ``encode(text)`` gives for the whole text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, max_cached: int = MAX_CACHED) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._chunks: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}
+        self._max_cached = max_cached
 
     @property
     def size(self) -> int:
         return self._tokenizer.get_vocab_size()
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        cut = [_chunks_of(text) for text in texts]
-        if len(self._chunks) > MAX_CACHED:
-            self._chunks.clear()
-        known = self._chunks
+        cut = [_PIECES.findall(text) for text in texts]
+        if len(self._known) > self._max_cached:
+            self._known.clear()
+        known = self._known
         missing = set(chain.from_iterable(cut)).difference(known)
         if missing:
             self._learn(missing)
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self._pieces) > MAX_CACHED:
-            self._pieces.clear()
-        known = self._pieces
-        cut = {chunk: _PIECES.findall(chunk) if _PLAIN.fullmatch(chunk) else [chunk] for chunk in chunks}
-        missing = list(set(chain.from_iterable(cut.values())).difference(known))
-        words = [p for p in missing if _WORD.fullmatch(p)]
+        made = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for piece in missing:
+            if len(piece) > MAX_PIECE:
+                del known[piece]
+        return made
+
+    def _learn(self, pieces: set[str]) -> None:
+        words = [p for p in pieces if len(p) <= MAX_PIECE and _WORD.fullmatch(p)]
         self._learn_words([p for p in words if p[0] == " "], "")
         self._learn_words([p for p in words if p[0] != " "], "\n")
-        others = [p for p in missing if p not in known]
-        for piece, found in zip(others, self._tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
-            known[piece] = np.asarray(found.ids, "<u4").tobytes()
-        for chunk, pieces in cut.items():
-            self._chunks[chunk] = b"".join(map(known.__getitem__, pieces))
+        others = list(pieces.difference(words))
+        for i in range(0, len(others), 256):
+            some = others[i : i + 256]
+            for piece, found in zip(some, self._tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                self._known[piece] = np.asarray(found.ids, "<u4").tobytes()
 
     def _learn_words(self, words: list[str], between: str) -> None:
         """Words of letters, many in one text: the ids of a word are those that start inside it."""
@@ -76,20 +78,14 @@ class Encoder:
             inside = at < (starts + sizes)[word]  # else it belongs to what stands between
             ids, first = np.asarray(found.ids, "<u4")[inside].tobytes(), np.searchsorted(word[inside], np.arange(len(some) + 1))
             cuts = (4 * first).tolist()
-            self._pieces.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+            self._known.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
 
-def _chunks_of(text: str) -> list[str]:
-    if not text or _ODD.search(text):
-        return _CUT.split(text)
-    return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker; its caches stay from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, max_cached: int = MAX_CACHED) -> Encoder:
+    """The encoder of this Python worker; its cache stays from task to task."""
+    if (path, max_cached) not in _ENCODERS:
+        _ENCODERS[path, max_cached] = Encoder(path, max_cached)
+    return _ENCODERS[path, max_cached]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
+CACHED_PIECES = 100_000  # about 20 MB per Python worker: earlier stages have filled the executors' heaps
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cached_pieces=CACHED_PIECES)
 
 
 STAGES = [

@@ -30,9 +30,8 @@ def test_pieces_encode_like_whole_texts(name):
         assert np.frombuffer(found, "<u4").tolist() == whole(text), repr(text)
 
 
-def test_full_caches_change_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_CACHED", 2)
-    encoder = tokens.Encoder(public_tokenizers.path(FILES[0]))
+def test_full_caches_change_nothing():
+    encoder = tokens.Encoder(public_tokenizers.path(FILES[0]), 2)
     texts = ["one two three", "two three four", "one two three"]
     assert [encoder.encode([t])[0] for t in texts] == tokens.Encoder(public_tokenizers.path(FILES[0])).encode(texts)
 
