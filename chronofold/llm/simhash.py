@@ -24,6 +24,7 @@ WIDE_WORDS = 5
 SIMILARITY = 0.8
 BITS = 1_024
 WIDE_BLOCK = 4_096  # fingerprints of a block: 512 KB
+EXACT_DOCS, EXACT_SHINGLES = 4_096, 2_000_000  # of the texts that meet at once
 
 
 def fingerprint(text: str, width: int = SHINGLE_WORDS) -> int:
@@ -215,8 +216,8 @@ def wide_radius(similarity: float, bits: int = BITS) -> int:
     return int(bits * share + 1.65 * math.sqrt(bits * share * (1 - share)))
 
 
-def wide_fingerprint(text: str, width: int, bits: int = BITS) -> tuple[int, bytes]:
-    """Number of distinct word shingles and a fingerprint of ``bits`` bits of their set."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """The set of XXH64 hashes of the word shingles, sorted."""
     import xxhash
 
     hash_of = xxhash.xxh64_intdigest
@@ -229,7 +230,12 @@ def wide_fingerprint(text: str, width: int, bits: int = BITS) -> tuple[int, byte
         ends = np.cumsum(sizes + 1) - 1
         starts = (ends - sizes)[: len(words) - width + 1].tolist()
         found = [hash_of(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
-    hashes = np.unique(np.array(found, "<u8"))
+    return np.unique(np.array(found, "<u8"))
+
+
+def wide_fingerprint(text: str, width: int, bits: int = BITS) -> tuple[int, bytes]:
+    """Number of distinct word shingles and a fingerprint of ``bits`` bits of their set."""
+    hashes = shingle_hashes(text, width)
     counts = np.zeros(bits, np.int64)
     for i in range(0, len(hashes), 16_384):
         part = hashes[i : i + 16_384]
@@ -281,11 +287,84 @@ def wide_links(
     return order_a[pairs[:, 0]], order_b[pairs[:, 1] - shift]
 
 
+def exact_links(
+    ids: np.ndarray, sets: list[np.ndarray], ids_b: np.ndarray | None, sets_b: list[np.ndarray] | None, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of links that connect all pairs with a Jaccard similarity of at least ``similarity``, and no others.
+
+    Pairs within ``sets``, or between ``sets`` and ``sets_b``. Every pair is counted whose sizes allow the similarity and that
+    is not connected yet.
+    """
+    same = ids_b is None
+    if not same:
+        ids, sets = np.concatenate([ids, ids_b]), [*sets, *sets_b]
+    second = np.zeros(len(sets), bool)
+    if not same:
+        second[len(sets) - len(sets_b) :] = True
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    ids, second, sets = ids[order], second[order], [sets[k] for k in order.tolist()]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    starts, marked = ends - sizes, np.zeros(len(numbers), bool)
+    forest = _Forest(len(sets))
+    for i in range(int(np.searchsorted(sizes, 1)), len(sets)):
+        top = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, "right"))
+        others = np.arange(i + 1, top)
+        others = others[(forest.parent[others] != forest.parent[i]) & (same | (second[others] != second[i]))]
+        if not len(others):
+            continue
+        own = numbers[starts[i] : ends[i]]
+        marked[own] = True
+        common = np.array([np.count_nonzero(marked[numbers[a:b]]) for a, b in zip(starts[others].tolist(), ends[others].tolist(), strict=True)])
+        marked[own] = False
+        near = others[common + 1e-9 >= similarity * (sizes[i] + sizes[others] - common)]
+        forest.add(np.full(len(near), i), near)
+    pairs = np.array(forest.links, np.int64).reshape(-1, 2)
+    return ids[pairs[:, 0]], ids[pairs[:, 1]]
+
+
+def verified_links(docs: DataFrame, groups: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` by exact similarity within groups (``node``, ``root``, ``n`` shingles) of documents.
+
+    The texts of a group meet in one row; of a group that exceeds ``EXACT_DOCS`` or ``EXACT_SHINGLES``, in parts, each
+    beside itself and every other.
+    """
+    members = staged(groups.groupBy("node", "root").agg(F.sum("n").alias("n")), "members")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / EXACT_DOCS), F.ceil(F.sum("n") / EXACT_SHINGLES), F.lit(1))
+    cut = staged(
+        members.join(members.groupBy("root").agg(parts.cast("int").alias("parts")), "root")
+        .select(F.col("node").alias("doc_id"), "root", "parts", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")),
+        "cut",
+    )
+
+    def blocks_of(cut: DataFrame) -> DataFrame:
+        rows = docs.join(cut, "doc_id").groupBy("root", "parts", "part").agg(F.collect_set(F.struct("doc_id", "text")).alias("rows"))
+        return rows.select("root", "parts", "part", F.col("rows.doc_id").alias("ids"), F.col("rows.text").alias("texts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, ids_b = (None if batch.column(c)[k].as_py() is None else batch.column(c)[k].values.to_numpy() for c in (0, 2))
+                sets, sets_b = ([shingle_hashes(t or "", width) for t in batch.column(c)[k].as_py() or ()] for c in (1, 3))
+                x, y = exact_links(ids, sets, ids_b, sets_b, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("ids_b", "array<bigint>"), ("texts_b", "array<string>"))]
+    work = blocks_of(cut).select("ids", "texts", *none)
+    if not (large := cut.where("parts > 1")).isEmpty():
+        blocks = staged(blocks_of(large), "blocks")
+        left = blocks.withColumn("part_b", F.explode(F.sequence("part", "parts"))).where("part_b > part and part_b < parts")
+        right = blocks.select("root", F.col("part").alias("part_b"), F.col("ids").alias("ids_b"), F.col("texts").alias("texts_b"))
+        work = work.unionByName(left.join(right, ["root", "part_b"]).select("ids", "texts", "ids_b", "texts_b").repartition(256))
+    return work.mapInArrow(frugal(run), "a bigint, b bigint")
+
+
 def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id and component_id of documents whose sets of word shingles are as similar as ``similarity``, or linked by such.
 
-    The similarity is estimated from fingerprints of 1,024 bits; 19 of 20 pairs at the bound are found, more above it, and
-    few below 0.7. Blocks hold documents with alike counts of shingles and meet their own and the next bin, as sets whose sizes
+    Fingerprints of 1,024 bits only propose groups; a link counts if the Jaccard similarity of the sets of 64-bit shingle hashes
+    is at least ``similarity``. 19 of 20 pairs at the bound are proposed, more above it. Blocks hold documents with alike counts of shingles and meet their own and the next bin, as sets whose sizes
     differ more cannot be that similar. Rows with a null id are left out; rows of one id are one document.
     """
 
@@ -326,7 +405,9 @@ def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: floa
         "blocks",
     )
     work = _meetings(blocks, sizes, 1).select("same", "ids", "ids_b", "sizes", "sizes_b", "fps", "fps_b")
-    roots = components(work.mapInArrow(frugal(run), "a bigint, b bigint"))
+    proposed = components(work.mapInArrow(frugal(run), "a bigint, b bigint"))
+    groups = proposed.join(nodes.select(F.col("first_id").alias("node"), "n"), "node")
+    roots = components(verified_links(narrow, groups, width, similarity))
     rooted = staged(
         nodes.join(roots.withColumnRenamed("node", "first_id"), "first_id", "left").select(
             "n", "fp", "first_id", F.coalesce("root", "first_id").alias("root")

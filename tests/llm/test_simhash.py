@@ -139,3 +139,26 @@ def test_similar_documents_go_and_others_stay(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.one_of_each(empty(spark)).count() == 0
+
+
+def at_similarity(rng, common, left, right):
+    """Two texts of five-word shingles, of which ``common`` are shared: ``left`` and ``right`` words follow a shared start."""
+    words = [f"v{rng.randrange(10**9)}" for _ in range(common + 4)]
+    return [" ".join([*words, *(f"v{rng.randrange(10**9)}" for _ in range(n))]) for n in (left, right)]
+
+
+@pytest.mark.parametrize("docs_at_once", [simhash.EXACT_DOCS, 2])
+def test_only_pairs_at_the_similarity_are_linked(spark, monkeypatch, docs_at_once):
+    monkeypatch.setattr(simhash, "EXACT_DOCS", docs_at_once)
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):  # 0.78, 0.75 and 0.72: below the similarity
+        for j, (common, left, right) in enumerate([(390, 55, 55), (300, 50, 50), (360, 70, 70)]):
+            for i, text in enumerate(at_similarity(rng, common, left, right)):
+                rows.append((1000 * j + 2 * k + i, text, "en", "a"))
+    for k in range(60):  # 0.86, and a chain of three
+        a, b = at_similarity(rng, 360, 30, 30)
+        rows += [(5000 + 3 * k, a, "en", "a"), (5001 + 3 * k, b, "en", "a"), (5002 + 3 * k, b + " end", "en", "a")]
+    found = dict(simhash.similar_documents(documents(spark, rows)).collect())
+    for i, component in found.items():
+        assert component == (i if i < 5000 else i - (i - 5000) % 3)
