@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -210,10 +211,39 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = R
     )
 
 
-def wide_radius(similarity: float, bits: int = BITS) -> int:
-    """Differing bits up to which fingerprints of sets with a Jaccard similarity of ``similarity`` fall in 19 of 20 cases."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + 1.65 * math.sqrt(bits * share * (1 - share)))
+def _majority(n: int, kept: int) -> np.ndarray:
+    """For 0 to ``kept`` set bits among the kept hashes of ``n``: the probability that over half of all ``n`` are set."""
+    rest = np.array([math.comb(n - kept, k) for k in range(n - kept + 1)]) / 2.0 ** (n - kept)
+    return np.array([sum(rest[max(0, n // 2 + 1 - k) :]) for k in range(kept + 1)])
+
+
+@lru_cache
+def _shares(similarity: float) -> list[float]:
+    """By the shingles of the smaller set, up to 40: the largest share of bits in which sets of the similarity are expected
+    to differ, over that and all larger sizes. The share swings with parity and falls towards the arc cosine, so the last
+    sizes bound all beyond."""
+    worst = []
+    for a in range(1, 41):
+        worst.append(math.acos(2 * similarity / (1 + similarity)) / math.pi)
+        for b in range(a, int(a / similarity + 1e-9) + 1):
+            least = math.ceil(similarity * (a + b) / (1 + similarity) - 1e-9)
+            for kept in range(least, min(a, least + 1) + 1):
+                of_kept = np.array([math.comb(kept, k) for k in range(kept + 1)]) / 2.0**kept
+                x, y = _majority(a, kept), _majority(b, kept)
+                worst[-1] = max(worst[-1], float(of_kept @ (x * (1 - y) + y * (1 - x))))
+    last = max(worst[23:])
+    return [max([last, *worst[k:]]) for k in range(len(worst))]
+
+
+@lru_cache(maxsize=4096)
+def wide_radius(similarity: float, bits: int = BITS, size: int = 40) -> int:
+    """Differing bits that fingerprints of sets of ``size`` shingles or more, as similar as that, exceed in less than one of 10^8 cases."""
+    share = _shares(similarity)[min(max(size, 1), 40) - 1]
+    log = [math.lgamma(bits + 1) - math.lgamma(k + 1) - math.lgamma(bits - k + 1) for k in range(bits + 1)]
+    tail, k = 0.0, bits
+    while k and (tail := tail + math.exp(log[k] + k * math.log(share) + (bits - k) * math.log1p(-share))) < 1e-8:
+        k -= 1
+    return k
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -255,17 +285,15 @@ def wide_links(
     """Positions in ``a`` and in ``b`` (or ``a``) of links that connect all pairs within ``wide_radius`` and the size bound.
 
     ``a`` holds one fingerprint a row. Pairs of tiles are skipped where the counts of shingles differ too much for the
-    similarity. The first 64 bits are compared for all pairs, the others where those differ in few enough bits (three
-    standard deviations above what the similarity gives).
+    similarity. The first 128 bits are compared for all pairs, the others where those lie within the ``wide_radius`` of
+    128 bits, so that less than two of 10^8 pairs of the similarity are missed.
     """
     bits = a.shape[1] * 64
-    radius, share = wide_radius(similarity, bits), math.acos(2 * similarity / (1 + similarity)) / math.pi
-    first_radius = int(64 * share + 3 * math.sqrt(64 * share * (1 - share)))
     same = b is None
     b, size_b = (a, size_a) if same else (b, size_b)
     order_a, order_b = np.argsort(size_a, kind="stable"), np.argsort(size_b, kind="stable")
     a, size_a, b, size_b = a[order_a], size_a[order_a], b[order_b], size_b[order_b]
-    first_a, first_b = a[:, 0].copy(), b[:, 0].copy()
+    (first_a, next_a), (first_b, next_b) = (x[:, :2].T.copy() for x in (a, b))
     shift = 0 if same else len(a)
     forest = _Forest(len(a) + (0 if same else len(b)))
     for i in range(0, len(a), TILE):
@@ -273,15 +301,17 @@ def wide_links(
         for j in range(i if same else 0, len(b), TILE):
             if size_b[j] > high or size_b[min(j + TILE, len(b)) - 1] < low:
                 continue
-            near = np.bitwise_count(first_a[i : i + TILE, None] ^ first_b[None, j : j + TILE]) <= first_radius
-            rows, cols = _where(near, i, j)
+            smallest = min(int(min(size_a[i], size_b[j])), 40)
+            near = np.bitwise_count(first_a[i : i + TILE, None] ^ first_b[None, j : j + TILE])
+            near += np.bitwise_count(next_a[i : i + TILE, None] ^ next_b[None, j : j + TILE])
+            rows, cols = _where(near <= wide_radius(similarity, 128, smallest), i, j)
             new = forest.parent[rows] != forest.parent[cols + shift]
             rows, cols = rows[new], cols[new]
             if len(rows):
                 x, y = size_a[rows], size_b[cols]
                 left = np.minimum(x, y) >= similarity * np.maximum(x, y)
                 rows, cols = rows[left], cols[left]
-                left = np.bitwise_count(a[rows] ^ b[cols]).sum(1, dtype=np.int64) <= radius
+                left = np.bitwise_count(a[rows] ^ b[cols]).sum(1, dtype=np.int64) <= wide_radius(similarity, bits, smallest)
                 forest.add(rows[left], cols[left] + shift)
     pairs = np.array(forest.links, np.int64).reshape(-1, 2)
     return order_a[pairs[:, 0]], order_b[pairs[:, 1] - shift]
@@ -364,7 +394,7 @@ def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: floa
     """doc_id and component_id of documents whose sets of word shingles are as similar as ``similarity``, or linked by such.
 
     Fingerprints of 1,024 bits only propose groups; a link counts if the Jaccard similarity of the sets of 64-bit shingle hashes
-    is at least ``similarity``. 19 of 20 pairs at the bound are proposed, more above it. Blocks hold documents with alike counts of shingles and meet their own and the next bin, as sets whose sizes
+    is at least ``similarity``. Less than two of 10^8 such pairs are not proposed. Blocks hold documents with alike counts of shingles and meet their own and the next bin, as sets whose sizes
     differ more cannot be that similar. Rows with a null id are left out; rows of one id are one document.
     """
 

@@ -162,3 +162,23 @@ def test_only_pairs_at_the_similarity_are_linked(spark, monkeypatch, docs_at_onc
     found = dict(simhash.similar_documents(documents(spark, rows)).collect())
     for i, component in found.items():
         assert component == (i if i < 5000 else i - (i - 5000) % 3)
+
+
+@pytest.mark.parametrize(("common", "left", "right"), [(4, 0, 1), (5, 0, 1), (6, 0, 1), (12, 0, 3), (8, 1, 1), (22, 2, 3), (400, 50, 50), (400, 0, 100)])
+def test_fingerprints_propose_all_pairs_at_the_similarity(common, left, right):
+    rng = random.Random(10)
+    made = [[simhash.wide_fingerprint(t, 5) for t in at_similarity(rng, common, left, right)] for _ in range(400)]
+    prints = [np.array([np.frombuffer(p[k][1], "<u8") for p in made]) for k in (0, 1)]
+    sizes = [np.array([p[k][0] for p in made]) for k in (0, 1)]
+    assert common / (common + left + right) >= simhash.SIMILARITY
+    x, y = simhash.wide_links(prints[0], sizes[0], prints[1], sizes[1], simhash.SIMILARITY)
+    parent = list(range(800))  # links connect each pair, if not directly
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in zip(x.tolist(), y.tolist(), strict=True):
+        parent[root(400 + b)] = root(a)
+    assert all(root(k) == root(400 + k) for k in range(400))
