@@ -78,3 +78,30 @@ def test_awkward_rows(spark):
     assert laid.columns == docs.columns
     assert sorted(map(str, laid.collect())) == sorted(map(str, docs.collect()))
     assert mixing.mix(empty(spark)).count() == 0 and mixing.in_mixture_order(empty(spark)).count() == 0
+
+
+def test_the_schedule_follows_the_exact_weights_over_long_runs():
+    for others in (4, 19, 254):
+        weights, done = [others] + [1] * others, [0] * (others + 1)
+        last = -1
+        for i, k, release, deadline, slot in mixing.schedule(weights, [15_000] + [15_000 // others] * others):
+            assert k == done[i] and release <= slot < deadline and slot > last
+            done[i], last = k + 1, slot
+            if slot < 29_000:
+                assert abs(Fraction(slot + 1, 2) - done[0]) < 1
+        assert done[0] == 15_000
+
+
+def test_streams_end_and_the_others_go_on():
+    found = list(mixing.schedule([5, 3, 2], [2, 30, 7]))
+    assert len(found) == 39 and all(release <= slot < deadline for *_, release, deadline, slot in found)
+
+
+def test_target_weights_hold_in_the_table(spark):
+    rows = [(k, "x" * 100, "en", "big" if k < 2000 else f"s{k % 40}") for k in range(4000)]
+    weights = {"big": 0.5} | {f"s{k}": 0.5 / 40 for k in range(40)}
+    found = mixing.mix(documents(spark, rows), weights, block_chars=100).collect()
+    big = sorted(r["mix_slot"] for r in found if r["mix_stream"] == "big")
+    assert next(r["mix_weight"] for r in found if r["mix_stream"] == "big") == pytest.approx(0.5, abs=1e-12)
+    for n, slot in enumerate(big):
+        assert abs(0.5 * (slot + 1) - (n + 1)) <= 1
