@@ -105,3 +105,22 @@ def test_target_weights_hold_in_the_table(spark):
     assert next(r["mix_weight"] for r in found if r["mix_stream"] == "big") == pytest.approx(0.5, abs=1e-12)
     for n, slot in enumerate(big):
         assert abs(0.5 * (slot + 1) - (n + 1)) <= 1
+
+
+def test_every_source_has_its_own_stream(spark):
+    rows = [(k, "x" * 10 * (1 + k % 3), "en", f"s{k % 300}") for k in range(1200)]
+    rows += [(5000 + k, "y" * 50, "en", "(other)" if k % 2 else None) for k in range(10)]
+    weights = {f"s{k}": 1.0 for k in range(299)} | {"s299": 300.0, None: 2.0}
+    found = mixing.mix(documents(spark, rows), weights, block_chars=20).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(r[0] for r in rows)
+    assert all(r["mix_stream"] == r["source"] for r in found)
+    weight = {r["mix_stream"]: r["mix_weight"] for r in found}
+    assert len(weight) == 302
+    total = 299 + 300 + 2 + 1
+    for s, w in weight.items():
+        assert w == pytest.approx((weights.get(s, 1.0)) / total)
+    sizes = {s: 40 * (1 + k % 3) for k, s in enumerate(f"s{k}" for k in range(300))}
+    whole = sum(n**0.5 for n in sizes.values())
+    own = mixing.mix(documents(spark, rows[:1200])).collect()
+    for r in own:
+        assert r["mix_weight"] == pytest.approx(sizes[r["source"]] ** 0.5 / whole)
