@@ -124,3 +124,30 @@ def test_every_source_has_its_own_stream(spark):
     own = mixing.mix(documents(spark, rows[:1200])).collect()
     for r in own:
         assert r["mix_weight"] == pytest.approx(sizes[r["source"]] ** 0.5 / whole)
+
+
+def test_blocks_are_runs_of_measured_text(spark):
+    rng = random.Random(14)
+    rows = [(k, "x" * rng.randint(1, 400), "en", "a") for k in range(800)]
+    rows += [(1000 + k, "y" * 50_000, "en", "long") for k in range(10)]
+    rows += [(None if k % 2 else 7, f"{k:06}" * 10, "en", "one id") for k in range(2000)]
+    rows += [(9, "z" * 100, "en", "copies")] * 500
+    block = 1000
+    found = mixing.mix(documents(spark, rows).repartition(5), block_chars=block).collect()
+    assert len(found) == len(rows)
+    for source in ("a", "long", "one id", "copies"):
+        own = sorted((r["mix_order"], r["mix_block"], len(r["text"])) for r in found if r["source"] == source)
+        at, blocks = 0, []
+        for _, k, n in own:
+            blocks.append((k, at // block))
+            at += n
+        if source != "copies":
+            assert all(k == want for k, want in blocks)
+        else:
+            assert {k for k, _ in blocks} == set(range(50)) and max(map([k for k, _ in blocks].count, range(50))) < 40
+    slots = {r["mix_stream"]: {} for r in found}
+    for r in found:
+        assert r["mix_release"] <= r["mix_slot"] < r["mix_deadline"]
+        slots[r["mix_stream"]][r["mix_block"]] = r["mix_slot"]
+    every = [s for own in slots.values() for s in own.values()]
+    assert len(every) == len(set(every))
