@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +125,48 @@ class Packer:
         return rows
 
 
+SPLIT_BITS, COUNT_BITS = 17, 26  # of a sequence_id by files: splits of a file, sequences of a split; the rest numbers the files
+
+
+def _file_places(docs: DataFrame) -> tuple[dict[str, int], int] | None:
+    """Place of each file of ``docs`` in the order of the numbers in their names, and the least length of a split.
+
+    None if the rows do not come straight from files of distinct names.
+    """
+    try:
+        docs.select("_metadata.file_name", "_metadata.file_block_start")
+    except AnalysisException:
+        return None
+    names = [path.rsplit("/", 1)[-1] for path in docs.inputFiles()]
+    if len(set(names)) < len(names):
+        return None
+    ordered = sorted(names, key=lambda n: [(int(x), "") if x.isdecimal() else (-1, x) for x in re.split(r"([0-9]+)", n)])
+    if len(ordered) >> 63 - SPLIT_BITS - COUNT_BITS:
+        raise ValueError("too many files to number")
+    spark = docs.sparkSession
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    lengths = [to_bytes(spark.conf.get(f"spark.sql.files.{c}")) for c in ("maxPartitionBytes", "openCostInBytes")]
+    return {name: k for k, name in enumerate(ordered)}, max(1, min(lengths))
+
+
+def _runs(batch: pa.RecordBatch, by_file: bool) -> Iterator[tuple[tuple[str, int] | None, pa.RecordBatch]]:
+    """Slices of at most 256 rows, each of one file and split."""
+    edges = [0, batch.num_rows]
+    if by_file and batch.num_rows:
+        keys = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
+        edges = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+    for low, high in zip(edges, edges[1:], strict=False):
+        for i in range(low, high, 256):
+            yield (keys[low] if by_file else None), batch.slice(i, min(256, high - i))
+
+
+def _file_base(source: tuple[str, int], places: dict[str, int], split: int) -> int:
+    name, start = source
+    if start // split >> SPLIT_BITS:
+        raise ValueError(f"too many splits of {name} to number")
+    return (places[name] << SPLIT_BITS | start // split) << COUNT_BITS
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -130,6 +174,7 @@ def pack_documents(
     end_id: int = END_ID,
     group_tokens: int = GROUP_TOKENS,
     cached_pieces: int = MAX_CACHED,
+    by_file: bool = False,
 ) -> DataFrame:
     """One row per piece: where its ids stand in the document and in the packed sequence.
 
@@ -137,12 +182,16 @@ def pack_documents(
     again alike. Null texts count as empty and hold the end id alone; null doc_ids stay null; repeated
     rows are packed as they come; an empty table gives no row. ``sequence_id`` and ``step_group`` carry the
     task's partition in the upper bits. Cutting is free, so no sequence is padded: its length is a power of two.
+
+    Spark reads files by size. With ``by_file`` each file (each split of a large one) is a stream of its own and the upper bits
+    number the files by their names, so that ``sequence_id`` follows the order in which the rows were written, but for the
+    few step groups that wait in a stream. Rows that do not come straight from files are packed by task.
     """
+    files = _file_places(docs) if by_file else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, cached_pieces).encode
-        packer = Packer(tiers, group_tokens)
-        base = TaskContext.get().partitionId() << 40
+        packer, base, read = Packer(tiers, group_tokens), TaskContext.get().partitionId() << 40, None
         tail = np.array([end_id], "<u4").tobytes()
 
         def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -154,9 +203,12 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                rows: list[tuple] = []
+            for source, part in _runs(batch, files is not None):
+                if source != read:
+                    if rows := packer.finish():
+                        yield table(rows)
+                    packer, base, read = Packer(tiers, group_tokens), _file_base(source, *files), source
+                rows = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
                     rows += packer.add(doc_id, ids + tail)
@@ -166,5 +218,6 @@ def pack_documents(
             yield table(rows)
 
     bounded_batches(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    of_file = [F.col(f"_metadata.{c}") for c in ("file_name", "file_block_start")] if files else []
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *of_file)
     return narrow.mapInArrow(frugal(run), SCHEMA)

@@ -29,14 +29,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps all documents, laid out in the order of the mixture, which the packing stage reads them in."""
+    """Keeps all documents, laid out in the order of the mixture, which the packing stage numbers its sequences in."""
     return mixing.in_mixture_order(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences numbered in the order of the mixture, which the names of the files carry."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cached_pieces=CACHED_PIECES)
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cached_pieces=CACHED_PIECES, by_file=True)
 
 
 STAGES = [

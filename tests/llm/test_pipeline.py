@@ -1,6 +1,8 @@
+import random
 import re
 
 import corpus_pipeline
+import pytest
 from chronofold.llm import language, simhash
 from pyspark.sql import functions as F
 from tests.llm.cases import documents, empty
@@ -68,3 +70,33 @@ def test_awkward_documents(spark):
 def test_constants():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
     assert (simhash.WIDE_WORDS, simhash.SIMILARITY, language.UNKNOWN) == (5, 0.8, "und")
+
+
+def test_packed_sequences_follow_the_mixture(spark, tmp_path):
+    rng = random.Random(15)
+    # Source b ends half-way and packs small on disk, so the late files are the largest and are read first.
+    rows = [(k, " ".join(f"w{rng.randrange(10**9)}" for _ in range(1000)), "en", "a") for k in range(600)]
+    rows += [(1000 + k, "the red house " * 700, "en", "b") for k in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laid = corpus_pipeline.mixing.in_mixture_order(documents(spark, rows), weights={"a": 0.5, "b": 0.5}, block_chars=50_000)
+        laid.write.parquet(str(tmp_path / "mixed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    docs = spark.read.parquet(str(tmp_path / "mixed"))
+    file_of = {r["doc_id"]: r["file_name"] for r in docs.select("doc_id", "_metadata.file_name").collect()}
+    assert len(set(file_of.values())) > 2
+    packed = corpus_pipeline.pack(spark, docs, "").collect()
+    check_packed(packed, [(i, t) for i, t, *_ in rows], corpus_pipeline.TOKENIZER)
+    packed.sort(key=lambda r: (r["sequence_id"], r["offset"]))
+    names = [file_of[r["doc_id"]] for r in packed]
+    assert names == sorted(names)
+    chars = {i: len(t) for i, t, *_ in rows}
+    texts = {i: s for i, _, _, s in rows}
+    whole = sum(chars.values())
+    done, at_b = 0.0, 0.0
+    for r in packed:  # while both sources last, half of each prefix is of b
+        n = chars[r["doc_id"]] * r["length"] / r["doc_tokens"]
+        done, at_b = done + n, at_b + (n if texts[r["doc_id"]] == "b" else 0)
+        if 0.3 * whole < done < 0.5 * whole:
+            assert 0.3 < at_b / done < 0.7
