@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,27 @@ def components(links: DataFrame) -> DataFrame:
 
 def _between(links: DataFrame, a: str, b: str) -> DataFrame:
     return links.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+class Forest:
+    """Links of one task, kept only if they join two trees."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def add(self, left: np.ndarray, right: np.ndarray) -> None:
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            x, y = self.root(a), self.root(b)
+            if x != y:
+                self.parent[y] = x
+                self.links.append((a, b))
+        while (self.parent != (up := self.parent[self.parent])).any():
+            self.parent = up

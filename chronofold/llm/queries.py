@@ -9,7 +9,21 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import chat, exact_dedup, language, mixing, nearest, packing, secret_scan, simhash, token_files, urls
+from chronofold.llm import (
+    centroids,
+    chat,
+    exact_dedup,
+    language,
+    mixing,
+    nearest,
+    packing,
+    pivot_index,
+    prefix_trie,
+    secret_scan,
+    simhash,
+    token_files,
+    urls,
+)
 from chronofold.sources.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,10 +115,22 @@ def op10_secrets(spark, d):
     return secret_scan.scan_secrets(_table(spark, d, "documents"))
 
 
+def op11_pivot_index(spark, d):
+    return pivot_index.near_copies(_table(spark, d, "embeddings"))
+
+
+def op12_centroids(spark, d):
+    return centroids.cluster_vectors(_table(spark, d, "embeddings"))
+
+
+def op13_prefix_trie(spark, d):
+    return prefix_trie.prefix_trie(_table(spark, d, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_simhash, op3_urls, op4_packing, op5_language, op6_token_files, op7_exact_dedup, op8_nearest,
-        op9_chat, op10_secrets,
+        op9_chat, op10_secrets, op11_pivot_index, op12_centroids, op13_prefix_trie,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.batches import bounded_batches, frugal
-from chronofold.llm.graph import components
+from chronofold.llm.graph import Forest, components
 from chronofold.sources.staging import staged
 
 SHINGLE_WORDS = 4
@@ -63,30 +63,6 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     return narrow.mapInArrow(frugal(run), "doc_id bigint, fp bigint")
 
 
-class _Forest:
-    """Links of one pair of blocks, kept only if they join two trees."""
-
-    def __init__(self, n: int) -> None:
-        self.parent = np.arange(n)
-        self.links: list[tuple[int, int]] = []
-
-    def root(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def add(self, left: np.ndarray, right: np.ndarray) -> None:
-        for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            x, y = self.root(a), self.root(b)
-            if x != y:
-                self.parent[y] = x
-                self.links.append((a, b))
-        while (self.parent != (up := self.parent[self.parent])).any():
-            self.parent = up
-
-
 def _where(near: np.ndarray, row: int, col: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of the true entries of a tile that starts at ``row`` and ``col``."""
     rows, cols = np.divmod(np.flatnonzero(near), near.shape[1])
@@ -120,7 +96,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) -> tup
     same = b is None
     b, low_b, high_b = (a, low_a, high_a) if same else _sorted(b)
     shift = 0 if same else len(a)
-    forest = _Forest(len(a) + (0 if same else len(b)))
+    forest = Forest(len(a) + (0 if same else len(b)))
     for i, (low, high) in enumerate(zip(low_a, high_a, strict=True)):
         apart = np.maximum(np.maximum(low - high_b, low_b - high), 0).sum(1)
         left = a[i * TILE : (i + 1) * TILE, None]
@@ -295,7 +271,7 @@ def wide_links(
     a, size_a, b, size_b = a[order_a], size_a[order_a], b[order_b], size_b[order_b]
     (first_a, next_a), (first_b, next_b) = (x[:, :2].T.copy() for x in (a, b))
     shift = 0 if same else len(a)
-    forest = _Forest(len(a) + (0 if same else len(b)))
+    forest = Forest(len(a) + (0 if same else len(b)))
     for i in range(0, len(a), TILE):
         low, high = size_a[i] * similarity, size_a[min(i + TILE, len(a)) - 1] / similarity
         for j in range(i if same else 0, len(b), TILE):
@@ -337,7 +313,7 @@ def exact_links(
     numbers = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else np.zeros(0, np.int64)
     ends = np.cumsum(sizes)
     starts, marked = ends - sizes, np.zeros(len(numbers), bool)
-    forest = _Forest(len(sets))
+    forest = Forest(len(sets))
     for i in range(int(np.searchsorted(sizes, 1)), len(sets)):
         top = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, "right"))
         others = np.arange(i + 1, top)

@@ -11,10 +11,11 @@ import __spark_entry__ as entry
 from chronofold.llm.oracle import ORACLE_SQL
 from chronofold.llm.queries import QUERIES
 from tests.llm.test_nearest import brute as nearest_by_hand
+from tests.llm.test_pivot_index import brute as links_by_hand
 from tests.llm.test_simhash import by_hand, classes
 from tests.llm.test_tokens import check_packed, expected_files
 
-TABLES = ("documents", "pages", "conversations")
+TABLES = ("documents", "pages", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def docs(spark, sf_dir):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -78,5 +79,10 @@ def test_nearest(spark, sf_dir):
     assert [r[3] for r in found] == pytest.approx([r[3] for r in want], abs=1e-12)
 
 
+def test_pivot_index(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    assert sorted(map(tuple, QUERIES["op11_pivot_index"](spark, sf_dir).collect())) == sorted(links_by_hand(rows))
+
+
 def test_tokenizers_stay_outside():
     assert not public_tokenizers.path("word_bpe_49k.json").startswith("/root/repo")
