@@ -18,6 +18,8 @@ UNKNOWN = "und"
 _PLAIN = np.zeros(128, np.uint8)
 _PLAIN[97:123] = np.arange(1, 27)
 _HELD = 1_000_000
+CHANCE = 3 / DIMENSIONS**0.5  # three standard deviations of the cosine with a random vector
+ENOUGH_CHARS = 50  # of a text that must do better than chance
 
 
 def letter_vectors() -> np.ndarray:
@@ -151,3 +153,25 @@ def identify(
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(
         frugal(run), schema.add(pred, "string").add(score, "double")
     )
+
+
+def accepted(
+    docs: DataFrame,
+    profiles: dict[str, np.ndarray],
+    languages: list[str] | None = None,
+    least_score: float = CHANCE,
+    enough_chars: int = ENOUGH_CHARS,
+) -> DataFrame:
+    """Rows of ``docs`` whose text is in a language that was learnt, of ``languages`` if given; columns stay as they are.
+
+    ``und`` is rejected, which null, empty and letterless texts get, and so are texts of ``enough_chars`` characters or more whose cosine with
+    the nearest prototype is below ``least_score``: no language explains them better than chance. Shorter texts are judged
+    by their letters alone, since few letters give no high cosine. Without any profile nothing can be judged: all rows stay.
+    """
+    if not profiles:
+        return docs
+    found = identify(docs, profiles, "_pred", "_cosine")
+    stays = (F.col("_pred") != UNKNOWN) & ((F.col("_cosine") >= least_score) | (F.length("text") < enough_chars))
+    if languages is not None:
+        stays = stays & F.col("_pred").isin(languages)
+    return found.where(stays).select(*[F.col(f"`{c}`") for c in docs.columns])

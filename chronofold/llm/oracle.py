@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+from chronofold.llm import pipeline
 
 ORACLE_SQL: dict[str, str] = {
     "op3_urls": r"""
@@ -142,5 +142,5 @@ ORACLE_SQL["op13_prefix_trie"] = f"""
            n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
     FROM weighed JOIN totals USING (node) LEFT JOIN stops USING (node)
 """
-if corpus_pipeline.ORACLE_SQL is not None:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+if pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = pipeline.ORACLE_SQL

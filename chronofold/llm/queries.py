@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from chronofold.llm import (
     mixing,
     nearest,
     packing,
+    pipeline,
     pivot_index,
     prefix_trie,
     secret_scan,
@@ -133,4 +133,4 @@ QUERIES: dict[str, Query] = {
         op1_mixing, op2_simhash, op3_urls, op4_packing, op5_language, op6_token_files, op7_exact_dedup, op8_nearest,
         op9_chat, op10_secrets, op11_pivot_index, op12_centroids, op13_prefix_trie,
     )
-} | {"pipeline": corpus_pipeline.run}
+} | {"pipeline": pipeline.run}

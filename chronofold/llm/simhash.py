@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +18,6 @@ RADIUS = 4
 SEED = 42
 BLOCK = 16_384  # fingerprints of a block: 128 KB
 TILE = 256
-# The fingerprints of whole pipelines: five words, a similarity instead of a radius.
-WIDE_WORDS = 5
-SIMILARITY = 0.8
-BITS = 1_024
-WIDE_BLOCK = 4_096  # fingerprints of a block: 512 KB
-EXACT_DOCS, EXACT_SHINGLES = 4_096, 2_000_000  # of the texts that meet at once
 
 
 def fingerprint(text: str, width: int = SHINGLE_WORDS) -> int:
@@ -187,248 +179,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = R
     )
 
 
-def _majority(n: int, kept: int) -> np.ndarray:
-    """For 0 to ``kept`` set bits among the kept hashes of ``n``: the probability that over half of all ``n`` are set."""
-    rest = np.array([math.comb(n - kept, k) for k in range(n - kept + 1)]) / 2.0 ** (n - kept)
-    return np.array([sum(rest[max(0, n // 2 + 1 - k) :]) for k in range(kept + 1)])
-
-
-@lru_cache
-def _shares(similarity: float) -> list[float]:
-    """By the shingles of the smaller set, up to 40: the largest share of bits in which sets of the similarity are expected
-    to differ, over that and all larger sizes. The share swings with parity and falls towards the arc cosine, so the last
-    sizes bound all beyond."""
-    worst = []
-    for a in range(1, 41):
-        worst.append(math.acos(2 * similarity / (1 + similarity)) / math.pi)
-        for b in range(a, int(a / similarity + 1e-9) + 1):
-            least = math.ceil(similarity * (a + b) / (1 + similarity) - 1e-9)
-            for kept in range(least, min(a, least + 1) + 1):
-                of_kept = np.array([math.comb(kept, k) for k in range(kept + 1)]) / 2.0**kept
-                x, y = _majority(a, kept), _majority(b, kept)
-                worst[-1] = max(worst[-1], float(of_kept @ (x * (1 - y) + y * (1 - x))))
-    last = max(worst[23:])
-    return [max([last, *worst[k:]]) for k in range(len(worst))]
-
-
-@lru_cache(maxsize=4096)
-def wide_radius(similarity: float, bits: int = BITS, size: int = 40) -> int:
-    """Differing bits that fingerprints of sets of ``size`` shingles or more, as similar as that, exceed in less than one of 10^8 cases."""
-    share = _shares(similarity)[min(max(size, 1), 40) - 1]
-    log = [math.lgamma(bits + 1) - math.lgamma(k + 1) - math.lgamma(bits - k + 1) for k in range(bits + 1)]
-    tail, k = 0.0, bits
-    while k and (tail := tail + math.exp(log[k] + k * math.log(share) + (bits - k) * math.log1p(-share))) < 1e-8:
-        k -= 1
-    return k
-
-
-def shingle_hashes(text: str, width: int) -> np.ndarray:
-    """The set of XXH64 hashes of the word shingles, sorted."""
-    import xxhash
-
-    hash_of = xxhash.xxh64_intdigest
-    words = text.encode().lower().split()
-    line = b" ".join(words)
-    if len(words) <= width:
-        found = [hash_of(line, SEED)] if words else []
-    else:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = (ends - sizes)[: len(words) - width + 1].tolist()
-        found = [hash_of(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
-    return np.unique(np.array(found, "<u8"))
-
-
-def wide_fingerprint(text: str, width: int, bits: int = BITS) -> tuple[int, bytes]:
-    """Number of distinct word shingles and a fingerprint of ``bits`` bits of their set."""
-    hashes = shingle_hashes(text, width)
-    counts = np.zeros(bits, np.int64)
-    for i in range(0, len(hashes), 16_384):
-        part = hashes[i : i + 16_384]
-        for k in range(bits // 64):
-            mixed = part + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)  # a further hash: the SplitMix64 steps
-            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(31)
-            ones = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts[64 * k : 64 * k + 64] += ones.sum(0, dtype=np.uint32)
-    return len(hashes), np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes()
-
-
-def wide_links(
-    a: np.ndarray, size_a: np.ndarray, b: np.ndarray | None, size_b: np.ndarray | None, similarity: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in ``a`` and in ``b`` (or ``a``) of links that connect all pairs within ``wide_radius`` and the size bound.
-
-    ``a`` holds one fingerprint a row. Pairs of tiles are skipped where the counts of shingles differ too much for the
-    similarity. The first 128 bits are compared for all pairs, the others where those lie within the ``wide_radius`` of
-    128 bits, so that less than two of 10^8 pairs of the similarity are missed.
-    """
-    bits = a.shape[1] * 64
-    same = b is None
-    b, size_b = (a, size_a) if same else (b, size_b)
-    order_a, order_b = np.argsort(size_a, kind="stable"), np.argsort(size_b, kind="stable")
-    a, size_a, b, size_b = a[order_a], size_a[order_a], b[order_b], size_b[order_b]
-    (first_a, next_a), (first_b, next_b) = (x[:, :2].T.copy() for x in (a, b))
-    shift = 0 if same else len(a)
-    forest = Forest(len(a) + (0 if same else len(b)))
-    for i in range(0, len(a), TILE):
-        low, high = size_a[i] * similarity, size_a[min(i + TILE, len(a)) - 1] / similarity
-        for j in range(i if same else 0, len(b), TILE):
-            if size_b[j] > high or size_b[min(j + TILE, len(b)) - 1] < low:
-                continue
-            smallest = min(int(min(size_a[i], size_b[j])), 40)
-            near = np.bitwise_count(first_a[i : i + TILE, None] ^ first_b[None, j : j + TILE])
-            near += np.bitwise_count(next_a[i : i + TILE, None] ^ next_b[None, j : j + TILE])
-            rows, cols = _where(near <= wide_radius(similarity, 128, smallest), i, j)
-            new = forest.parent[rows] != forest.parent[cols + shift]
-            rows, cols = rows[new], cols[new]
-            if len(rows):
-                x, y = size_a[rows], size_b[cols]
-                left = np.minimum(x, y) >= similarity * np.maximum(x, y)
-                rows, cols = rows[left], cols[left]
-                left = np.bitwise_count(a[rows] ^ b[cols]).sum(1, dtype=np.int64) <= wide_radius(similarity, bits, smallest)
-                forest.add(rows[left], cols[left] + shift)
-    pairs = np.array(forest.links, np.int64).reshape(-1, 2)
-    return order_a[pairs[:, 0]], order_b[pairs[:, 1] - shift]
-
-
-def exact_links(
-    ids: np.ndarray, sets: list[np.ndarray], ids_b: np.ndarray | None, sets_b: list[np.ndarray] | None, similarity: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of links that connect all pairs with a Jaccard similarity of at least ``similarity``, and no others.
-
-    Pairs within ``sets``, or between ``sets`` and ``sets_b``. Every pair is counted whose sizes allow the similarity and that
-    is not connected yet.
-    """
-    same = ids_b is None
-    if not same:
-        ids, sets = np.concatenate([ids, ids_b]), [*sets, *sets_b]
-    second = np.zeros(len(sets), bool)
-    if not same:
-        second[len(sets) - len(sets_b) :] = True
-    order = np.argsort([len(x) for x in sets], kind="stable")
-    ids, second, sets = ids[order], second[order], [sets[k] for k in order.tolist()]
-    sizes = np.array([len(x) for x in sets], np.int64)
-    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(sets) else np.zeros(0, np.int64)
-    ends = np.cumsum(sizes)
-    starts, marked = ends - sizes, np.zeros(len(numbers), bool)
-    forest = Forest(len(sets))
-    for i in range(int(np.searchsorted(sizes, 1)), len(sets)):
-        top = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, "right"))
-        others = np.arange(i + 1, top)
-        others = others[(forest.parent[others] != forest.parent[i]) & (same | (second[others] != second[i]))]
-        if not len(others):
-            continue
-        own = numbers[starts[i] : ends[i]]
-        marked[own] = True
-        common = np.array([np.count_nonzero(marked[numbers[a:b]]) for a, b in zip(starts[others].tolist(), ends[others].tolist(), strict=True)])
-        marked[own] = False
-        near = others[common + 1e-9 >= similarity * (sizes[i] + sizes[others] - common)]
-        forest.add(np.full(len(near), i), near)
-    pairs = np.array(forest.links, np.int64).reshape(-1, 2)
-    return ids[pairs[:, 0]], ids[pairs[:, 1]]
-
-
-def verified_links(docs: DataFrame, groups: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links ``a``, ``b`` by exact similarity within groups (``node``, ``root``, ``n`` shingles) of documents.
-
-    The texts of a group meet in one row; of a group that exceeds ``EXACT_DOCS`` or ``EXACT_SHINGLES``, in parts, each
-    beside itself and every other.
-    """
-    members = staged(groups.groupBy("node", "root").agg(F.sum("n").alias("n")), "members")
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / EXACT_DOCS), F.ceil(F.sum("n") / EXACT_SHINGLES), F.lit(1))
-    cut = staged(
-        members.join(members.groupBy("root").agg(parts.cast("int").alias("parts")), "root")
-        .select(F.col("node").alias("doc_id"), "root", "parts", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")),
-        "cut",
-    )
-
-    def blocks_of(cut: DataFrame) -> DataFrame:
-        rows = docs.join(cut, "doc_id").groupBy("root", "parts", "part").agg(F.collect_set(F.struct("doc_id", "text")).alias("rows"))
-        return rows.select("root", "parts", "part", F.col("rows.doc_id").alias("ids"), F.col("rows.text").alias("texts"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                ids, ids_b = (None if batch.column(c)[k].as_py() is None else batch.column(c)[k].values.to_numpy() for c in (0, 2))
-                sets, sets_b = ([shingle_hashes(t or "", width) for t in batch.column(c)[k].as_py() or ()] for c in (1, 3))
-                x, y = exact_links(ids, sets, ids_b, sets_b, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
-
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("ids_b", "array<bigint>"), ("texts_b", "array<string>"))]
-    work = blocks_of(cut).select("ids", "texts", *none)
-    if not (large := cut.where("parts > 1")).isEmpty():
-        blocks = staged(blocks_of(large), "blocks")
-        left = blocks.withColumn("part_b", F.explode(F.sequence("part", "parts"))).where("part_b > part and part_b < parts")
-        right = blocks.select("root", F.col("part").alias("part_b"), F.col("ids").alias("ids_b"), F.col("texts").alias("texts_b"))
-        work = work.unionByName(left.join(right, ["root", "part_b"]).select("ids", "texts", "ids_b", "texts_b").repartition(256))
-    return work.mapInArrow(frugal(run), "a bigint, b bigint")
-
-
-def similar_documents(docs: DataFrame, width: int = WIDE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and component_id of documents whose sets of word shingles are as similar as ``similarity``, or linked by such.
-
-    Fingerprints of 1,024 bits only propose groups; a link counts if the Jaccard similarity of the sets of 64-bit shingle hashes
-    is at least ``similarity``. Less than two of 10^8 such pairs are not proposed. Blocks hold documents with alike counts of shingles and meet their own and the next bin, as sets whose sizes
-    differ more cannot be that similar. Rows with a null id are left out; rows of one id are one document.
-    """
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [wide_fingerprint(t or "", width) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([f for _, f in found], pa.binary())],
-                ["doc_id", "n", "fp"],
-            )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                same = batch.column(0)[k].as_py()
-                ids, ids_b, sizes, sizes_b = (batch.column(c)[k].values.to_numpy() for c in (1, 2, 3, 4))
-                fps, fps_b = (
-                    np.frombuffer(b"".join(batch.column(c)[k].as_py()), "<u8").reshape(-1, BITS // 64) for c in (5, 6)
-                )
-                x, y = wide_links(fps, sizes, None if same else fps_b, sizes_b, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids_b[y])], ["a", "b"])
-
-    bounded_batches(docs.sparkSession)
-    narrow = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = staged(narrow.mapInArrow(frugal(prints), "doc_id bigint, n bigint, fp binary"), "prints")
-    nodes = staged(
-        made.groupBy("n", "fp").agg(F.min("doc_id").alias("first_id"))
-        .withColumn("bin", F.floor(F.log(F.greatest("n", F.lit(1))) / -math.log(similarity)).cast("int")),
-        "nodes",
-    )
-    sizes = {r["bin"]: -(-r["k"] // WIDE_BLOCK) for r in nodes.groupBy("bin").agg(F.count(F.lit(1)).alias("k")).collect()}
-    if not sizes:
-        return made.select("doc_id", F.col("doc_id").alias("component_id"))
-    blocks = staged(
-        nodes.withColumn("part", _part("bin", F.xxhash64("fp"), sizes)).groupBy("bin", "part")
-        .agg(F.collect_list(F.struct("first_id", "n", "fp")).alias("rows"))
-        .select("bin", "part", F.col("rows.first_id").alias("ids"), F.col("rows.n").alias("sizes"), F.col("rows.fp").alias("fps")),
-        "blocks",
-    )
-    work = _meetings(blocks, sizes, 1).select("same", "ids", "ids_b", "sizes", "sizes_b", "fps", "fps_b")
-    proposed = components(work.mapInArrow(frugal(run), "a bigint, b bigint"))
-    groups = proposed.join(nodes.select(F.col("first_id").alias("node"), "n"), "node")
-    roots = components(verified_links(narrow, groups, width, similarity))
-    rooted = staged(
-        nodes.join(roots.withColumnRenamed("node", "first_id"), "first_id", "left").select(
-            "n", "fp", "first_id", F.coalesce("root", "first_id").alias("root")
-        ),
-        "rooted",
-    )
-    least = staged(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
-    classes = staged(rooted.join(least, "root").select("n", "fp", "component_id"), "classes")
-    return made.join(classes, ["n", "fp"]).select("doc_id", "component_id")
-
-
-def one_of_each(docs: DataFrame, width: int = WIDE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Whole rows of ``docs``: of each group of ``similar_documents`` the document that names it, and all rows with a null id.
+def one_of_each(docs: DataFrame, width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """Whole rows of ``docs``: of each group of ``near_duplicates`` the document that names it, and all rows with a null id.
 
-    Only the ids that go are looked up; a table of them meets the rows by a join on doc_id.
+    Null and empty texts are one group, whose smallest id stays. Rows of one id are one document: they go only if none of them names its
+    group. Other columns stay as they are; an empty table gives no row. Only the ids that go are looked up; a table of them meets the rows by a join on doc_id.
     """
-    gone = similar_documents(docs, width, similarity).where("doc_id <> component_id").select("doc_id").distinct()
+    judged = near_duplicates(docs, width, radius).where("doc_id is not null").select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = judged.groupBy("doc_id").agg(F.max("stays").alias("stays")).where(~F.col("stays")).select("doc_id")
     return docs.join(staged(gone, "gone"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,11 +1,10 @@
 import random
 import re
 
-import corpus_pipeline
-import pytest
-from chronofold.llm import language, simhash
+from chronofold.llm import language, mixing, pipeline, simhash
 from pyspark.sql import functions as F
 from tests.llm.cases import documents, empty
+from tests.llm.test_simhash import by_hand, classes
 from tests.llm.test_tokens import check_packed
 
 
@@ -13,7 +12,7 @@ def test_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
     rows = {r["doc_id"]: r for r in docs.collect()}
     kept = dict(rows)
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in pipeline.STAGES[:-1]:
         before = spark.createDataFrame(list(kept.values()), docs.schema)
         made = stage(spark, before, sf_dir)
         assert made.columns == docs.columns
@@ -25,51 +24,61 @@ def test_stages(spark, sf_dir):
             key = {k: re.sub(r"[\x20\x09-\x0d]+", "", r["text"]) for k, r in kept.items()}
             assert len(after) == len(set(key.values())) == len({key[k] for k in after})
         if name == "near_dedup":
-            sets = {k: shingles(r["text"]) for k, r in kept.items()}
-            gone = set(kept) - set(after)
-            assert all(max(jaccard(sets[k], sets[j]) for j in kept if j != k) > 0.6 for k in gone)
-            close = [(a, b) for a in after for b in after if a < b and jaccard(sets[a], sets[b]) >= 0.85]
-            assert close == []
+            prints = [by_hand(r["text"]) for r in kept.values()]
+            roots = classes(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+            assert set(after) == {min(k for k, q in zip(kept, roots, strict=True) if q == root) for root in set(roots)}
         if name == "mixing":
             assert set(after) == set(kept)
         kept = after
-    packed = corpus_pipeline.STAGES[-1][1](spark, spark.createDataFrame(list(kept.values()), docs.schema), sf_dir).collect()
-    check_packed(packed, [(r["doc_id"], r["text"]) for r in kept.values()], corpus_pipeline.TOKENIZER)
-
-
-def shingles(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def jaccard(a, b):
-    return len(a & b) / max(1, len(a | b))
+    packed = pipeline.STAGES[-1][1](spark, spark.createDataFrame(list(kept.values()), docs.schema), sf_dir).collect()
+    check_packed(packed, [(r["doc_id"], r["text"]) for r in kept.values()], pipeline.TOKENIZER)
 
 
 def test_run(spark, sf_dir):
-    found = corpus_pipeline.run(spark, sf_dir)
+    found = pipeline.run(spark, sf_dir)
     assert found.agg(F.countDistinct("doc_id")).first()[0] > 0
 
 
 def test_empty_documents(spark):
-    for _, stage in corpus_pipeline.STAGES:
+    for _, stage in pipeline.STAGES:
         assert stage(spark, empty(spark), "").count() == 0
 
 
 def test_awkward_documents(spark):
     docs = documents(spark, clashes=True)
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    for _, stage in pipeline.STAGES[:-1]:
         made = stage(spark, docs, "")
         assert made.columns == docs.columns
         docs = spark.createDataFrame(made.collect(), docs.schema)
     ids = {r["doc_id"] for r in docs.collect()}
     assert {0, 5, 7, 101, None} <= ids and not {1, 2, 3, 4, 8, 100} & ids
-    assert corpus_pipeline.pack(spark, docs, "").count() > 0
+    assert pipeline.pack(spark, docs, "").count() > 0
+
+
+def test_unlabelled_documents_all_stay(spark):
+    docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert pipeline.identify_language(spark, docs, "").count() == docs.count()
+
+
+def test_other_languages_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    profiles = language.train_profiles(docs)
+    kept = language.accepted(docs, profiles, ["de", "fr"]).collect()
+    assert {r["lang"] for r in kept} >= {"de", "fr"} and sum(r["lang"] in ("de", "fr") for r in kept) > 0.95 * len(kept)
+    chance = "".join(chr(0x4E00 + i * 7919 % 20_000) for i in range(400))
+    odd = documents(spark, [(1, chance, None, "a"), (2, "der", None, "a"), (3, None, None, "a"), (4, "12", "de", "a")])
+    assert [r["doc_id"] for r in language.accepted(odd, profiles).collect()] == [2]
+
+
+def test_near_copies_of_one_id(spark):
+    a, b = "the red house by the sea " * 9, "sky river stone tree green blue red on tion er thing of and"
+    docs = documents(spark, [(5, a, "en", "a"), (8, a + "end", "en", "a"), (8, b, "en", "a"), (9, b, "en", "a"), (None, b, "en", "a")])
+    assert sorted(r["doc_id"] or 0 for r in simhash.one_of_each(docs).collect()) in ([0, 5, 8, 8], [0, 5, 8])
 
 
 def test_constants():
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
-    assert (simhash.WIDE_WORDS, simhash.SIMILARITY, language.UNKNOWN) == (5, 0.8, "und")
+    assert [n for n, _ in pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
+    assert (simhash.SHINGLE_WORDS, simhash.RADIUS, language.UNKNOWN) == (4, 4, "und")
 
 
 def test_packed_sequences_follow_the_mixture(spark, tmp_path):
@@ -79,15 +88,15 @@ def test_packed_sequences_follow_the_mixture(spark, tmp_path):
     rows += [(1000 + k, "the red house " * 700, "en", "b") for k in range(300)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        laid = corpus_pipeline.mixing.in_mixture_order(documents(spark, rows), weights={"a": 0.5, "b": 0.5}, block_chars=50_000)
+        laid = mixing.in_mixture_order(documents(spark, rows), weights={"a": 0.5, "b": 0.5}, block_chars=50_000)
         laid.write.parquet(str(tmp_path / "mixed"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     docs = spark.read.parquet(str(tmp_path / "mixed"))
     file_of = {r["doc_id"]: r["file_name"] for r in docs.select("doc_id", "_metadata.file_name").collect()}
     assert len(set(file_of.values())) > 2
-    packed = corpus_pipeline.pack(spark, docs, "").collect()
-    check_packed(packed, [(i, t) for i, t, *_ in rows], corpus_pipeline.TOKENIZER)
+    packed = pipeline.pack(spark, docs, "").collect()
+    check_packed(packed, [(i, t) for i, t, *_ in rows], pipeline.TOKENIZER)
     packed.sort(key=lambda r: (r["sequence_id"], r["offset"]))
     names = [file_of[r["doc_id"]] for r in packed]
     assert names == sorted(names)
