@@ -1,61 +1,5 @@
-"""A corpus from raw documents to packed sequences, in stages that each write what they keep."""
+"""The stages of the corpus pipeline, under the name the driver looks for."""
 
-from __future__ import annotations
+from chronofold.llm.pipeline import ORACLE_SQL, STAGES, run
 
-import uuid
-
-from chronofold.llm import exact_dedup, language, mixing, packing, simhash
-from chronofold.sources.staging import staging_root
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-TOKENIZER = "word_bpe_49k.json"
-CACHED_PIECES = 100_000  # about 20 MB per Python worker: earlier stages have filled the executors' heaps
-
-
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letter in it."""
-    profiles = language.train_profiles(docs.where(~language.held_out(F.col("doc_id"))))
-    found = language.identify(docs, profiles, "_guess", "_cosine")
-    return found.where(F.col("_guess") != language.UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_duplicates(docs)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps all documents, laid out in the order of the mixture, which the packing stage numbers its sequences in."""
-    return mixing.in_mixture_order(docs)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences numbered in the order of the mixture, which the names of the files carry."""
-    import public_tokenizers
-
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), cached_pieces=CACHED_PIECES, by_file=True)
-
-
-STAGES = [
-    ("language", identify_language),
-    ("exact_dedup", drop_exact_copies),
-    ("near_dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("packing", pack),
-]
-
-ORACLE_SQL = None  # language profiles, components and token ids are beyond SQL
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = f"{staging_root(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
