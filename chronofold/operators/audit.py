@@ -39,12 +39,16 @@ def shard_counts(sample_rows: DataFrame) -> DataFrame:
 
 def audit_output(sample_rows: DataFrame, manifest: DataFrame) -> DataFrame:
     """Stored rows against the manifest per split and shard; ``ok`` when both counts agree."""
+    return audit_counts(shard_counts(sample_rows), manifest)
+
+
+def audit_counts(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Samples and events found per split and shard against the manifest's."""
     promised = manifest.groupBy("split", "shard").agg(
         F.count(F.lit(1)).alias("manifest_samples"), F.sum("n_events").alias("manifest_events")
     )
     return (
-        shard_counts(sample_rows)
-        .join(promised, ["split", "shard"], "full")
+        found.join(promised, ["split", "shard"], "full")
         .na.fill(0)
         .withColumn(
             "ok",

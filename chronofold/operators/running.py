@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions.clock import hour_number
+from chronofold.sources.staging import staged
 
 SLOT = "_slot"
 
@@ -55,3 +56,31 @@ def running_totals(
 
 def _or_zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0))
+
+
+def ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` sorted by ``order`` over all tasks and written: ``_row`` grows in that order, ``_range`` numbers the tasks.
+
+    ``order`` should tell rows apart, so that ranges can be cut anywhere.
+    """
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return staged(rows.withColumn("_row", F.monotonically_increasing_id()), "ranged").withColumn("_range", F.shiftright("_row", 33))
+
+
+def range_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key, in the order of ``ranged``.
+
+    A window runs over one range of a key; what came in earlier ranges is one row per key and range.
+    """
+    earlier = (Window.unboundedPreceding, -1)
+    here = Window.partitionBy(*keys, "_range").orderBy("_row").rowsBetween(*earlier)
+    ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(*earlier)
+    totals = (
+        rows.groupBy(*keys, "_range").agg(*[F.sum(m).alias(m) for m in measures])
+        .select(*keys, "_range", *[_or_zero(F.sum(m).over(ranges)).alias(f"_{m}_ranges") for m in measures])
+    )
+    return (
+        rows.select("*", *[_or_zero(F.sum(m).over(here)).alias(f"_{m}_rows") for m in measures])
+        .join(totals, [*keys, "_range"])
+        .select(*rows.columns, *[(F.col(f"_{m}_ranges") + F.col(f"_{m}_rows")).cast("bigint").alias(f"{m}_before") for m in measures])
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofold.functions.wordpiece import words_of
-from chronofold.operators import audit, codes, encode, events as ev, labels as lb, samples, shards, splits
+from chronofold.operators import audit, codes, encode, events as ev, labels as lb, samples, shards, splits, store
 from chronofold.operators.skew import lookup_join
 from chronofold.schema import (
     BIRTH_CODE,
@@ -22,7 +22,19 @@ from chronofold.schema import (
     require,
 )
 from chronofold.sources.staging import clears_staging, staged
-from chronofold.sources.writers import is_complete, write_manifest, write_mode, write_samples, write_table
+from chronofold.sources.writers import (
+    is_complete,
+    read_event_blocks,
+    write_event_blocks,
+    write_manifest,
+    write_mode,
+    write_samples,
+    write_table,
+)
+
+EVENTS_PER_BUCKET = 500_000
+# Forms in which every sample holds all its events, which grow with events times labels.
+EXPANDED = ("sample_events", "nested_samples")
 
 
 @dataclass
@@ -35,6 +47,10 @@ class SampleTables:
     def samples(self) -> str:
         return f"{self.root}/samples"
 
+    @property
+    def event_blocks(self) -> str:
+        return f"{self.root}/event_blocks"
+
     @property
     def sample_events(self) -> str:
         return f"{self.root}/sample_events"
@@ -69,11 +85,14 @@ def build_samples(
     label_column: str = LABEL_COLUMN,
     max_length: int = MAX_EVENT_LENGTH,
     lowercase: bool = False,
-    min_workers: int = 1,
     events_per_shard: int = EVENTS_PER_SHARD,
     if_exists: str = "error",
+    expanded: tuple[str, ...] = (),
 ) -> SampleTables:
-    """Write samples, sample events, encoded events, nested samples, manifest and unresolved codes below ``root``.
+    """Write samples, event blocks, manifest and unresolved codes below ``root``, and what ``expanded`` asks for.
+
+    Samples are headers and share the encoded events of their subject, which are stored once, in blocks; ``read_samples`` lays them out.
+    ``expanded`` may name ``sample_events`` (a row per sample and event, with encoded events beside it) and ``nested_samples`` (lists per sample).
 
     ``events`` carries ``seq`` and, optionally, ``split``; without it subjects are split by hash.
     The input is read once, to write the cleaned events that all steps read; so ``seq`` is one number per event
@@ -81,6 +100,8 @@ def build_samples(
     lost executor costs only its own tasks.
     """
     out = SampleTables(root)
+    if unknown := set(expanded) - set(EXPANDED):
+        raise ValueError(f"expanded may hold {EXPANDED}, not {sorted(unknown)}")
     spark = events.sparkSession
     mode = write_mode(if_exists)
     if mode == "ignore" and is_complete(spark, out.manifest):
@@ -104,17 +125,10 @@ def build_samples(
     else:
         numbered = splits.add_split(numbered)
     headers = staged(numbered, "headers")
-    n_workers = shards.workers_for(headers.count(), min_workers)
-    assigned = shards.assign_shards(headers, n_workers, events_per_shard)
+    assigned = shards.assign_shards(headers, events_per_shard)
     stored = headers.join(assigned.select("sample_id", "shard"), "sample_id")
     write_table(stored, out.samples, ["split"], each)
 
-    ready = spark.read.parquet(out.samples).withColumn(
-        "n_slices", F.ceil(F.col("n_events") / events_per_shard).cast("int")
-    )
-    rows = samples.sample_events(slim, ready, wanted, carry=["split", "shard", "n_slices"])
-    write_samples(rows, out.sample_events, each)
-
     used = codes.code_table(clean)
     resolved = staged(codes.resolve_codes(used, codes_metadata, items, lab_items), "codes")
     write_table(
@@ -123,18 +137,24 @@ def build_samples(
     described = codes.describe_events(
         clean.drop("split"), resolved.withColumn("code_words", words_of(F.col("code_text")))
     )
-    write_table(
-        encode.encode_events(described, vocab, [SEQ], max_length, lowercase), out.encoded_events, None, each
-    )
-
-    placed = samples.sample_positions(slim, spark.read.parquet(out.samples), wanted)
-    nested = samples.nested_samples(placed, spark.read.parquet(out.encoded_events))
-    named = spark.read.parquet(out.samples).select("sample_id", SUBJECT, "label", "split", "shard")
-    write_table(nested.join(named, "sample_id"), out.nested_samples, ["split"], each)
+    encoded = staged(encode.encode_events(described, vocab, [SEQ], max_length, lowercase), "encoded")
+    n_buckets = -(-max(1, encoded.count()) // EVENTS_PER_BUCKET)
+    write_event_blocks(store.event_blocks(slim, encoded), out.event_blocks, n_buckets, each)
+
+    if "sample_events" in expanded:
+        ready = spark.read.parquet(out.samples).withColumn(
+            "n_slices", F.ceil(F.col("n_events") / events_per_shard).cast("int")
+        )
+        rows = samples.sample_events(slim, ready, wanted, carry=["split", "shard", "n_slices"])
+        write_samples(rows, out.sample_events, each)
+        write_table(encoded, out.encoded_events, None, each)
+    if "nested_samples" in expanded:
+        named = spark.read.parquet(out.samples).select("sample_id", SUBJECT, "label", "split", "shard")
+        write_table(read_samples(spark, out).join(named, "sample_id"), out.nested_samples, ["split"], each)
 
     # Last, so that its success mark stands for the whole output.
     write_manifest(
-        spark.read.parquet(out.samples).select("sample_id", "n_events", "split", "shard"), out.manifest, f"{out.sample_events}/split=", each
+        spark.read.parquet(out.samples).select("sample_id", "n_events", "split", "shard"), out.manifest, f"{out.samples}/split=", each
     )
     return out
 
@@ -144,7 +164,14 @@ def subject_split(events: DataFrame) -> DataFrame:
     return events.groupBy(SUBJECT).agg(F.min("split").alias("split"))
 
 
-def check_samples(spark, out: SampleTables) -> DataFrame:
-    """Stored sample rows against the sample table, per split and shard."""
-    rows = spark.read.parquet(out.sample_events)
-    return audit.audit_output(rows, spark.read.parquet(out.samples))
+def read_samples(spark: SparkSession, out: SampleTables, chosen: DataFrame | None = None) -> DataFrame:
+    """Stored samples laid out: sample_id, part, hi, time, n_events; of all, or of the rows of ``samples`` that were ``chosen``."""
+    headers = spark.read.parquet(out.samples) if chosen is None else chosen
+    return store.expand_samples(headers, read_event_blocks(spark, out.event_blocks))
+
+
+def check_samples(spark: SparkSession, out: SampleTables) -> DataFrame:
+    """Stored events of the samples against the sample table, per split and shard."""
+    headers = spark.read.parquet(out.samples)
+    found = store.stored_counts(headers, read_event_blocks(spark, out.event_blocks))
+    return audit.audit_counts(found, headers)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,15 +13,15 @@ from chronofold.functions import text as text_fn
 from chronofold.functions.classify import bucket, category
 from chronofold.functions.clock import second_text
 from chronofold.functions.wordpiece import words_of
-from chronofold.operators import audit, codes, encode, events, extract, labels, profile, render, samples, shards, splits
+from chronofold.operators import audit, codes, encode, events, extract, labels, profile, render, samples, shards, splits, store
 from chronofold.plans import adapters as ad
 from chronofold.schema import CODE, MAX_EVENT_LENGTH, SEQ, SUBJECT, TIME, VALUE
 from chronofold.sources.readers import file_preview, split_from_path
-from chronofold.sources.staging import staged
+from chronofold.sources.staging import staged, staging_root
+from chronofold.sources.writers import read_event_blocks, write_event_blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-N_WORKERS = 4
 SHARD_BUDGET = 2000
 N_SHARDS = 8
 MAX_LENGTH = MAX_EVENT_LENGTH
@@ -424,6 +425,17 @@ def sample_nested(spark, d):
     )
 
 
+def sample_store(spark, d):
+    """``sample_nested`` by way of the stored form: headers, and blocks of events by subject."""
+    path = f"{staging_root(spark)}/event-blocks-{uuid.uuid4().hex}"
+    write_event_blocks(store.event_blocks(_clean(spark, d), _encoded(spark, d), 64), path, 8)
+    found = store.expand_samples(staged(_headers(spark, d), "headers"), read_event_blocks(spark, path), 64)
+    event = lambda ids: F.array_join(F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
+    return found.select(
+        "sample_id", "part", "n_events", F.array_join(F.transform("hi", event), ";").alias("hi"), _joined("time").alias("time")
+    )
+
+
 # Result values
 
 def _counts(spark, d):
@@ -476,19 +488,22 @@ def _split_headers(spark, d):
 
 
 def _assigned(spark, d):
-    return shards.assign_shards(_split_headers(spark, d), N_WORKERS, SHARD_BUDGET)
+    return shards.assign_shards(_split_headers(spark, d), SHARD_BUDGET)
 
 
 def shard_assign(spark, d):
-    return _assigned(spark, d)
+    return _assigned(spark, d).drop("shard_offset")
 
 
 def shard_running(spark, d):
-    return shards.running_events(_headers(spark, d), N_WORKERS)
+    """Where the events of each sample lie in its shard."""
+    return _assigned(spark, d).select(
+        "split", "shard", "sample_id", "n_events", "shard_offset", (F.col("shard_offset") + F.col("n_events")).alias("running_events")
+    )
 
 
-def worker_balance(spark, d):
-    return shards.worker_balance(_headers(spark, d), N_WORKERS)
+def shard_balance(spark, d):
+    return shards.shard_balance(_assigned(spark, d), SHARD_BUDGET)
 
 
 def audit_rows(spark, d):
@@ -544,10 +559,10 @@ QUERIES: dict[str, Query] = {
         subject_splits, subject_shards, split_sizes, split_preview, split_filter,
         code_describe, code_fallback, code_unresolved, code_unresolved_bare,
         event_text, text_rounded, number_text, digit_spaced, digit_runs, place_ids, document_numbers,
-        encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded, sample_nested,
+        encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded, sample_nested, sample_store,
         value_top50, value_classes, value_summary, value_examples, value_buckets, value_bucket_summary,
         value_bucket_examples, value_bucket_top50,
-        shard_assign, shard_running, worker_balance, audit_rows, audit_units, audit_output, audit_splits,
+        shard_assign, shard_running, shard_balance, audit_rows, audit_units, audit_output, audit_splits,
         file_preview_rows, output_names,
     )
 }

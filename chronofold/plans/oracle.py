@@ -9,7 +9,7 @@ from chronofold.functions.classify import (
     bucket_rules,
 )
 from chronofold.plans import adapters as ad
-from chronofold.plans.catalog import MAX_LENGTH, N_SHARDS, N_WORKERS, SHARD_BUDGET, TAIL
+from chronofold.plans.catalog import MAX_LENGTH, N_SHARDS, SHARD_BUDGET, TAIL
 
 
 def quoted(text: str) -> str:
@@ -84,21 +84,18 @@ STREAM_SAMPLES = with_(STREAM_CLEAN, HEADERS, MEMBERS)
 ORDER_SAMPLES = with_(ORDERS, HEADERS, MEMBERS)
 
 ASSIGNED = f"""dealt AS (
-  SELECT sample_id, n_events, {split_sql('subject_id')} AS split,
-         CAST({bucket_sql('subject_id', 'worker')} % {N_WORKERS} AS INTEGER) AS worker, subject_id, sample_no
-  FROM headers),
+  SELECT sample_id, n_events, {split_sql('subject_id')} AS split, subject_id, sample_no FROM headers),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY split, worker ORDER BY subject_id, sample_no) AS rn FROM dealt),
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY subject_id, sample_no) AS rn FROM dealt),
 packed AS (
-  SELECT split, worker, rn, sample_id, n_events, 0 AS shard_seq, n_events AS fill FROM ranked WHERE rn = 1
+  SELECT split, rn, sample_id, n_events, 0 AS shard_seq, n_events AS fill FROM ranked WHERE rn = 1
   UNION ALL
-  SELECT r.split, r.worker, r.rn, r.sample_id, r.n_events,
+  SELECT r.split, r.rn, r.sample_id, r.n_events,
          CASE WHEN p.fill + r.n_events > {SHARD_BUDGET} OR p.fill >= {SHARD_BUDGET} THEN p.shard_seq + 1 ELSE p.shard_seq END,
          CASE WHEN p.fill + r.n_events > {SHARD_BUDGET} OR p.fill >= {SHARD_BUDGET} THEN r.n_events ELSE p.fill + r.n_events END
-  FROM packed p JOIN ranked r ON r.split = p.split AND r.worker = p.worker AND r.rn = p.rn + 1),
+  FROM packed p JOIN ranked r ON r.split = p.split AND r.rn = p.rn + 1),
 assigned AS (
-  SELECT sample_id, split, worker, shard_seq,
-         printf('worker-%03d-shard-%04d', worker, shard_seq) AS shard, n_events FROM packed)"""
+  SELECT sample_id, split, shard_seq, printf('shard-%04d', shard_seq) AS shard, n_events, fill FROM packed)"""
 STREAM_ASSIGNED = with_(STREAM_CLEAN, HEADERS, ASSIGNED)
 
 STREAM_CODE_ROWS = ", ".join(f"({quoted(c)}, {quoted(t)})" for c, t in ad.STREAM_CODES)
@@ -491,18 +488,12 @@ GROUP BY c.bucket""",
     + "SELECT bucket, raw AS example, CAST(rank AS INTEGER) AS rank FROM examples WHERE rank <= 10",
     "value_bucket_top50": with_(result_values_sql())
     + f"SELECT raw AS raw_value_exact, {BUCKET} AS bucket, count FROM counts ORDER BY count DESC, raw LIMIT 50",
-    "shard_assign": STREAM_ASSIGNED + "SELECT * FROM assigned",
-    "shard_running": with_(STREAM_CLEAN, HEADERS)
-    + f"""SELECT worker, sample_id, n_events, running_events - n_events AS n_events_before, running_events FROM (
-  SELECT *, CAST(sum(n_events) OVER (PARTITION BY worker ORDER BY prediction_time, subject_id, sample_no
-                                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_events
-  FROM (SELECT *, CAST({bucket_sql('subject_id', 'worker')} % {N_WORKERS} AS INTEGER) AS worker FROM headers))""",
-    "worker_balance": with_(STREAM_CLEAN, HEADERS)
-    + f"""SELECT w.worker, count(DISTINCT subject_id) AS subjects, count(sample_id) AS samples,
-  CAST(coalesce(sum(n_events), 0) AS BIGINT) AS events
-FROM (SELECT CAST(i AS INTEGER) AS worker FROM range({N_WORKERS}) t(i)) w
-LEFT JOIN headers h ON CAST({bucket_sql('subject_id', 'worker')} % {N_WORKERS} AS INTEGER) = w.worker
-GROUP BY w.worker""",
+    "shard_assign": STREAM_ASSIGNED + "SELECT sample_id, split, shard_seq, shard, n_events FROM assigned",
+    "shard_running": STREAM_ASSIGNED
+    + "SELECT split, shard, sample_id, n_events, fill - n_events AS shard_offset, fill AS running_events FROM assigned",
+    "shard_balance": STREAM_ASSIGNED
+    + f"""SELECT split, shard, count(*) AS samples, CAST(sum(n_events) AS BIGINT) AS events, CAST(sum(n_events) AS DOUBLE) / {SHARD_BUDGET} AS fill
+FROM assigned GROUP BY split, shard""",
     "audit_rows": "\nUNION ALL ".join(
         f"SELECT '{t}' AS file, count(*) AS n_rows FROM {t}"
         for t in ("events", "orders", "lineitem", "customer", "part", "supplier")
@@ -521,3 +512,4 @@ FROM assigned GROUP BY split, shard""",
     ),
     "output_names": "SELECT 'events' AS name, count(*) AS n_rows FROM events",
 }
+ORACLE_SQL["sample_store"] = ORACLE_SQL["sample_nested"]

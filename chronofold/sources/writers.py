@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofold.operators.store import BLOCK
 from chronofold.schema import SUBJECT, TIME
 from chronofold.sources.readers import path_exists
 
@@ -69,6 +72,45 @@ def write_samples(sample_rows: DataFrame, path: str, if_exists: str = "error") -
     write_table(rows, path, ["split", "shard"], if_exists)
 
 
+def _block_table(path: str) -> str:
+    """A name for the table at ``path`` in the session's catalog, which alone keeps the layout of its files."""
+    return f"event_blocks_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+
+
+def write_event_blocks(blocks: DataFrame, path: str, n_buckets: int, if_exists: str = "error") -> None:
+    """Event blocks in ``n_buckets`` files by subject and block, sorted by these, and the number beside them."""
+    spark, mode, table = blocks.sparkSession, write_mode(if_exists), _block_table(path)
+    if path_exists(spark, path) and mode != "overwrite":
+        if mode == "ignore":
+            return
+        raise FileExistsError(f"{path} exists already")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (
+        blocks.repartition(n_buckets, SUBJECT, BLOCK)
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(n_buckets, SUBJECT, BLOCK)
+        .sortBy(SUBJECT, BLOCK)
+        .saveAsTable(table)
+    )
+    spark.createDataFrame([(n_buckets,)], "n_buckets int").coalesce(1).write.mode("overwrite").json(f"{path}_layout")
+
+
+def read_event_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Event blocks as they lie: a join by subject and block reads them bucket by bucket, without moving them.
+
+    Works in a session that did not write them: the layout is declared anew over the files.
+    """
+    table, n = _block_table(path), spark.read.schema("n_buckets int").json(f"{path}_layout").first()[0]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet "
+        f"CLUSTERED BY ({SUBJECT}, {BLOCK}) SORTED BY ({SUBJECT}, {BLOCK}) INTO {n} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def write_manifest(manifest: DataFrame, path: str, prefix: str, if_exists: str = "error") -> None:
     """Tab-separated manifest: per split a header line with its directory, then one line a sample.
 

@@ -3,13 +3,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chronofold.operators import audit, samples
+from chronofold.operators import audit, samples, store
 from chronofold.plans import adapters as ad
 from chronofold.plans import catalog
-from chronofold.plans.build import build_samples, check_samples
+from chronofold.plans.build import build_samples, check_samples, read_samples
 from chronofold.plans.extract_dataset import extract_dataset
 from chronofold.plans.profile_values import profile_values
-from chronofold.sources import readers
+from chronofold.sources import readers, writers
 from tests.helpers import events_df, labels_df, rows_of
 
 
@@ -19,7 +19,7 @@ def built(spark, sf_dir, tmp_path_factory):
     return build_samples(
         ad.stream_events(spark, sf_dir), ad.stream_labels(spark, sf_dir), ad.small_vocab(spark), root,
         codes_metadata=ad.stream_codes(spark), birth_code=ad.STREAM_BIRTH, max_length=16,
-        min_workers=2, events_per_shard=300, if_exists="rebase",
+        events_per_shard=300, if_exists="rebase", expanded=("sample_events", "nested_samples"),
     )
 
 
@@ -54,6 +54,15 @@ def test_manifest_headers_name_directories(spark, built):
     assert headers and all(readers.path_exists(spark, h) for h in headers)
 
 
+def test_check_sees_missing_blocks(spark, built):
+    headers, blocks = spark.read.parquet(built.samples), writers.read_event_blocks(spark, built.event_blocks)
+    gone = blocks.orderBy("subject_id").first().subject_id
+    found = store.stored_counts(headers, blocks.where(blocks.subject_id != gone))
+    bad = audit.audit_counts(found, headers).where("not ok").collect()
+    hit = headers.where(headers.subject_id == gone).select("split", "shard").distinct().collect()
+    assert hit and {(r.split, r.shard) for r in bad} == {(r.split, r.shard) for r in hit}
+
+
 def test_audit_sees_a_missing_shard(spark, built):
     rows = spark.read.parquet(built.sample_events)
     gone = rows.select("split", "shard").first()
@@ -81,7 +90,8 @@ def test_splits_from_the_input_are_kept(spark, tmp_path):
     got = rows_of(spark.read.parquet(out.samples), "sample_id", "split", "n_events", "label")
     assert got == [("1_1", "tuning", 2, 1), ("2_1", "train", 2, 0)]
     assert check_samples(spark, out).where("not ok").count() == 0
-    assert spark.read.parquet(out.sample_events).count() == 4
+    assert sorted((r.sample_id, r.part, r.n_events, r.time) for r in read_samples(spark, out).collect()) == [("1_1", 0, 2, [0, 1]), ("2_1", 0, 2, [0, 1])]
+    assert not readers.path_exists(spark, out.sample_events) and not readers.path_exists(spark, out.nested_samples)
 
 
 def test_nested_form(spark, sf_dir, built):

@@ -1,11 +1,10 @@
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from chronofold.operators import audit, shards, splits
-from chronofold.operators.shards import _greedy_shards
+from chronofold.operators.running import range_totals, ranged
 
 
 def by_hand(sizes, budget):
@@ -18,19 +17,6 @@ def by_hand(sizes, budget):
     return numbers
 
 
-@pytest.mark.parametrize("seed", range(20))
-def test_greedy_fill_over_pages(seed):
-    rng = random.Random(seed)
-    budget = rng.choice([1, 5, 20, 100])
-    rows = [(w, rng.randint(1, 30)) for w in sorted(rng.randint(0, 3) for _ in range(200))]
-    df = pd.DataFrame(rows, columns=["worker", "n_events"])
-    cuts = sorted(rng.sample(range(1, 200), 7))
-    pages = [df.iloc[a:b].reset_index(drop=True) for a, b in zip([0, *cuts], [*cuts, 200])]
-    got = pd.concat(list(_greedy_shards(iter(pages), ["worker"], budget)))
-    for worker, part in got.groupby("worker"):
-        assert part["shard_seq"].tolist() == by_hand(part["n_events"].tolist(), budget)
-
-
 def samples_df(spark, n=60):
     rows = [(i % 7, i // 7 + 1, f"{i % 7}_{i // 7 + 1}", (i * 13) % 50 + 1) for i in range(n)]
     return splits.add_split(
@@ -38,29 +24,43 @@ def samples_df(spark, n=60):
     )
 
 
-def test_shards_keep_the_budget_and_every_sample(spark):
-    samples = samples_df(spark)
-    got = shards.assign_shards(samples, 2, 40)
-    assert sorted(r.sample_id for r in got.collect()) == sorted(r.sample_id for r in samples.collect())
-    sums = got.groupBy("split", "worker", "shard_seq").agg(F.sum("n_events").alias("s"), F.count("*").alias("c"))
-    assert sums.where("s > 40 and c > 1").count() == 0
-    assert got.where("shard not rlike '^worker-[0-9]{3}-shard-[0-9]{4}$'").count() == 0
-
-
-def test_a_subject_stays_with_one_worker_unless_it_is_too_large(spark):
-    samples = samples_df(spark)
-    per_subject = lambda k: (
-        samples.withColumn("w", shards.worker_of(3, k)).groupBy("subject_id").agg(F.countDistinct("w").alias("n")).agg(F.max("n")).first()[0]
-    )
-    assert per_subject(1000) == 1
-    assert per_subject(4) == 3
-    assert shards.workers_for(10, 2, 3) == 4
-
-
-def test_worker_balance_names_idle_workers(spark):
-    got = shards.worker_balance(samples_df(spark, 1), 5)
-    assert got.count() == 5
-    assert got.where("subjects = 0").count() == 4
+@pytest.mark.parametrize(("seed", "budget", "tasks"), [(1, 20, 1), (2, 100, 7), (3, 1, 3), (4, 5000, 7)])
+def test_same_as_filling_one_after_the_other(spark, seed, budget, tasks):
+    rng = random.Random(seed)
+    rows = [(s, k + 1, f"{s}_{k + 1}", rng.choice([1, 1, 2, rng.randint(1, 40), rng.randint(1, 400)]), "ab"[s % 2])
+            for s in range(12) for k in range(rng.randint(1, 60))]
+    rows += [(99, k + 1, f"99_{k + 1}", 1, "c") for k in range(300)]
+    samples = spark.createDataFrame(rows, "subject_id bigint, sample_no bigint, sample_id string, n_events bigint, split string")
+    got = {r.sample_id: r for r in shards.assign_shards(samples.repartition(tasks), budget).collect()}
+    assert len(got) == len(rows)
+    for split in "abc":
+        mine = [r for r in sorted(rows) if r[4] == split]
+        numbers = by_hand([r[3] for r in mine], budget)
+        assert [got[r[2]].shard_seq for r in mine] == numbers
+        for i, r in enumerate(mine):
+            assert got[r[2]].shard_offset == sum(x[3] for x, n in zip(mine[:i], numbers, strict=False) if n == numbers[i])
+            assert got[r[2]].shard == f"shard-{numbers[i]:04d}"
+
+
+def test_no_samples(spark):
+    assert shards.assign_shards(samples_df(spark).limit(0), 5).count() == 0
+
+
+def test_ranges_of_one_key(spark):
+    df = spark.range(0, 5000, 1, 5).select((F.col("id") % 2).alias("k"), "id", F.lit(3).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = ranged(df, ["k", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows.select("_range").distinct().count() > 1
+    got = range_totals(rows, ["k"], ["n"]).collect()
+    assert len(got) == 5000 and all(r.n_before == r.id // 2 * 3 for r in got)
+
+
+def test_shard_balance(spark):
+    got = shards.shard_balance(shards.assign_shards(samples_df(spark), 40), 40)
+    assert got.where("fill > 1 and samples > 1").count() == 0 and got.agg(F.sum("samples")).first()[0] == 60
 
 
 def test_each_subject_has_one_split_and_shard(spark):
