@@ -33,3 +33,8 @@ def second_text(time: Column) -> Column:
 def hour_number(time: Column) -> Column:
     """Hours since 1970."""
     return F.datediff(day_of(time), F.lit("1970-01-01").cast("date")) * 24 + F.hour(time)
+
+
+def micros_of_hour(time: Column) -> Column:
+    """Microseconds since the full hour."""
+    return F.minute(time).cast("bigint") * 60_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import io
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.schema import CODE
+from chronofold.sources.readers import any_case, list_files
+from chronofold.sources.staging import staged
+
+EMPTY_BYTES = 16 * 1024 * 1024
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
@@ -18,6 +27,49 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     )
 
 
+def file_rows(spark: SparkSession, root: str) -> DataFrame:
+    """``file``, ``format``, ``bytes``, ``n_rows`` and ``readable`` of every Parquet and CSV file below ``root``, those without rows included (but not files of no byte, which Spark does not list).
+
+    Parquet rows are counted by a scan without columns, which reads footers and no data page; lines of CSV by a scan of
+    text, less the header. A Parquet file that yields no row is looked at once more: if its footer says so it is empty, else it is unreadable
+    and ``n_rows`` is null. A file that holds no rows is small: one beyond ``EMPTY_BYTES`` that yields none counts as unreadable unopened.
+    """
+    counted = {
+        "parquet": spark.read.schema("_none int").option("ignoreCorruptFiles", True),
+        "csv": spark.read.schema("value string"),
+    }
+    found = []
+    for kind, reader in counted.items():
+        files = list_files(spark, root, kind).withColumn("format", F.lit(kind))
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", any_case(kind))
+        rows = rows_per_file(reader.parquet(root) if kind == "parquet" else reader.text(root))
+        less = 0 if kind == "parquet" else 1
+        found.append(files.join(rows.withColumn("n_rows", F.greatest(F.col("n_rows") - less, F.lit(0))), "file", "left"))
+    parquet, csv = found
+    empty = parquet.where(F.col("n_rows").isNull() & (F.col("bytes") <= EMPTY_BYTES)).select("file")
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", any_case("parquet"))
+    small = content.load(root).where(F.col("length") <= EMPTY_BYTES).select(F.col("path").alias("file"), "content")
+    checked = small.join(staged(empty, "empty"), "file").select("file", _says_empty("content").alias("_empty"))
+    parquet = parquet.join(checked, "file", "left").withColumn(
+        "n_rows", F.when(F.col("n_rows").isNull() & F.coalesce("_empty", F.lit(False)), 0).otherwise(F.col("n_rows"))
+    )
+    every = parquet.drop("_empty").unionByName(csv.withColumn("n_rows", F.coalesce("n_rows", F.lit(0))))
+    return every.select("file", "format", "bytes", F.col("n_rows").cast("bigint").alias("n_rows"), F.col("n_rows").isNotNull().alias("readable"))
+
+
+@F.pandas_udf(T.BooleanType())
+def _says_empty(content: pd.Series) -> pd.Series:
+    """Whether bytes are a Parquet file whose footer counts no row."""
+
+    def empty(file: bytes) -> bool:
+        try:
+            return pq.ParquetFile(io.BytesIO(file)).metadata.num_rows == 0
+        except (pa.ArrowInvalid, OSError):
+            return False
+
+    return content.map(empty)
+
+
 def work_units(events: DataFrame) -> DataFrame:
     """Number of codes: list lengths summed, or non-null codes in the one-code-per-row layout."""
     if isinstance(events.schema[CODE].dataType, T.ArrayType):

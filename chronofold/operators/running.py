@@ -1,9 +1,9 @@
 """Running totals per key that never put a whole key into one task.
 
 A window over ``partitionBy(subject)`` sorts all rows of a subject in one task. Here a running
-total is the sum of two parts: earlier hours of the key, from a table with one row per hour, and
-earlier rows of the same hour. A subject with a third of all rows is thus spread over as many
-tasks as it has hours.
+total is the sum of two parts: earlier slots of the key, from a table with one row per slot, and
+earlier rows of the same slot. A slot is an hour, and a part of an hour where one holds too many rows: its
+quantiles, from a sketch of the times, cut it evenly however the rows lie in it.
 """
 
 from __future__ import annotations
@@ -11,10 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.functions.clock import hour_number
+from chronofold.functions.clock import hour_number, micros_of_hour
 from chronofold.sources.staging import staged
 
 SLOT = "_slot"
+SLOT_BITS = 20  # room for the parts of an hour in a slot number
+ROWS_PER_SLOT = 1_000_000
+PARTS = 1024  # of one hour at most
+SKETCH_SIZE = 4096  # ranks are off by about a tenth of a part
+_CUTS = "_cuts"
 
 
 def running_totals(
@@ -24,27 +29,32 @@ def running_totals(
     measures: list[str],
     tie_break: list[str] | None = None,
     totals_from: DataFrame | None = None,
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key.
 
-    Rows should already be few per (keys, time). ``totals_from`` may give finer rows with the same
-    sums: hour totals are then taken from them in one small map-side aggregation instead of from
-    the result of the shuffles that made ``df``. The hour number stays in the result as ``_slot``;
-    rows come out hash-partitioned by keys and hour.
+    Rows should already be few per (keys, time): a slot ends only between times. ``totals_from`` may give finer rows with the same
+    sums: slot totals are then taken from them in one small map-side aggregation instead of from
+    the result of the shuffles that made ``df``. The slot number stays in the result as ``_slot``;
+    rows come out hash-partitioned by keys and slot. Totals per hour are written first; only if one of them counts more than
+    ``rows_per_slot`` rows, the hours concerned are cut at quantiles of their times.
     """
-    hour = hour_number(F.col(time)).alias(SLOT)
     earlier = (Window.unboundedPreceding, -1)
+    finer = df if totals_from is None else totals_from
+    totals = [F.sum(m).alias(m) for m in measures]
+    hour = F.shiftleft(hour_number(F.col(time)).cast("bigint"), SLOT_BITS)
+    counted = staged(finer.groupBy(*keys, hour.alias(SLOT)).agg(*totals, F.count(F.lit(1)).alias("_n")), "slots")
+    placed = df.withColumn(SLOT, hour)
+    crowded = counted.where(F.col("_n") > rows_per_slot).select(*keys, SLOT, "_n")
+    if not crowded.isEmpty():
+        cuts = staged(_quantiles(finer.withColumn(SLOT, hour), crowded, keys, time, rows_per_slot), "cuts")
+        placed = _cut(placed, cuts, keys, time)
+        counted = _cut(finer.withColumn(SLOT, hour), cuts, keys, time).groupBy(*keys, SLOT).agg(*totals)
     over_slots = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(*earlier)
-    slots = (
-        (df if totals_from is None else totals_from)
-        .groupBy(*keys, hour)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, SLOT, *[_or_zero(F.sum(m).over(over_slots)).alias(f"_{m}_slots") for m in measures])
-    )
+    slots = counted.select(*keys, SLOT, *[_or_zero(F.sum(m).over(over_slots)).alias(f"_{m}_slots") for m in measures])
     in_slot = Window.partitionBy(*keys, SLOT).orderBy(time, *(tie_break or [])).rowsBetween(*earlier)
     return (
-        df.withColumn(SLOT, hour)
-        .select("*", *[_or_zero(F.sum(m).over(in_slot)).alias(f"_{m}_rows") for m in measures])
+        placed.select("*", *[_or_zero(F.sum(m).over(in_slot)).alias(f"_{m}_rows") for m in measures])
         .join(slots, [*keys, SLOT])
         .select(
             *df.columns,
@@ -54,6 +64,25 @@ def running_totals(
     )
 
 
+def _quantiles(rows: DataFrame, crowded: DataFrame, keys: list[str], time: str, rows_per_slot: int) -> DataFrame:
+    """Per crowded hour the times, as microseconds of the hour, that part its rows evenly; sketches are merged, rows do not meet."""
+    step = F.greatest(F.floor(F.lit(PARTS) / F.ceil(F.col("_n") / rows_per_slot)), F.lit(1))
+    ranks = F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)])
+    return (
+        rows.join(crowded, [*keys, SLOT])
+        .groupBy(*keys, SLOT)
+        .agg(F.max("_n").alias("_n"), F.kll_sketch_agg_bigint(micros_of_hour(F.col(time)), SKETCH_SIZE).alias("_sketch"))
+        .withColumn(_CUTS, F.kll_sketch_get_quantile_bigint("_sketch", ranks))
+        .select(*keys, SLOT, F.array_distinct(F.filter(_CUTS, lambda c, i: (i + 1) % step == 0)).alias(_CUTS))
+    )
+
+
+def _cut(rows: DataFrame, cuts: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """``rows`` with the part of the hour added to the slot number."""
+    part = F.size(F.filter(F.coalesce(_CUTS, F.array().cast("array<bigint>")), lambda c: c < micros_of_hour(F.col(time))))
+    return rows.join(cuts, [*keys, SLOT], "left").withColumn(SLOT, F.col(SLOT) + part).drop(_CUTS)
+
+
 def _or_zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0))
 
@@ -70,7 +99,7 @@ def ranged(df: DataFrame, order: list[str]) -> DataFrame:
 def range_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key, in the order of ``ranged``.
 
-    A window runs over one range of a key; what came in earlier ranges is one row per key and range.
+    A window runs over one range of a key; what came in earlier ranges is one row per key and range. Without keys all rows are one sequence.
     """
     earlier = (Window.unboundedPreceding, -1)
     here = Window.partitionBy(*keys, "_range").orderBy("_row").rowsBetween(*earlier)

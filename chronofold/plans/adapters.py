@@ -130,17 +130,21 @@ def supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A result text per line item, with the return flag and status as measurement metadata."""
+    """A result text per line item, with the return flag and status as measurement metadata.
+
+    Some are fixed texts; the others hold a price in cents or a quantity, so that a larger table has more distinct ones.
+    """
     n = len(RESULT_TEXTS)
     texts = F.array(*[F.lit(t) for t in RESULT_TEXTS])
     pick = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(n + 4))
     quantity = F.col("l_quantity").cast("int").cast("string")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string")
     return table(spark, sf_dir, "lineitem").select(
         F.when(pick < n, F.get(texts, pick.cast("int")))
-        .when(pick == n, F.concat(F.lit(">"), quantity))
+        .when(pick == n, F.concat(F.lit(">"), cents))
         .when(pick == n + 1, F.concat(quantity, F.lit("%")))
         .when(pick == n + 2, F.concat(F.lit("<="), quantity, F.lit(".5")))
-        .otherwise(F.concat(quantity, F.lit(" mg/dL")))
+        .otherwise(F.concat(cents, F.lit(" mg/dL")))
         .alias("raw"),
         F.concat_ws("/", "l_returnflag", "l_linestatus").alias("meta"),
     )

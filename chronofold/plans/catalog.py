@@ -450,6 +450,12 @@ def value_top50(spark, d):
     return profile.top_values(_counts(spark, d), "raw")
 
 
+def value_top_words(spark, d):
+    """The most frequent words of all document texts, of which there are the more, the more texts there are."""
+    words = ad.table(spark, d, "documents").select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0d]+")).alias("word"))
+    return profile.top_frequent(words.where("word <> ''"), "word")
+
+
 def value_classes(spark, d):
     return profile.classify(_counts(spark, d), category(F.col("raw")), "category")
 
@@ -515,6 +521,18 @@ def audit_rows(spark, d):
     return extract.union_all(counted).select(name.alias("file"), "n_rows")
 
 
+def file_rows(spark, d):
+    """Rows per kind of file and folder of stored orders: Parquet by status, one status that no order has, and CSV."""
+    root = f"{staging_root(spark)}/file-rows-{uuid.uuid4().hex}"
+    orders = ad.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    for status in ("F", "O", "P", "none"):
+        orders.where(F.col("o_orderstatus") == status).write.parquet(f"{root}/{status}")
+    orders.select("o_orderkey", "o_orderpriority").write.option("header", True).csv(f"{root}/lines")
+    found = audit.file_rows(spark, root)
+    folder = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("folder")
+    return found.groupBy(folder, "format").agg(F.sum("n_rows").alias("n_rows"), F.min("readable").alias("readable"))
+
+
 def audit_units(spark, d):
     scalar = audit.work_units(ad.stream_events(spark, d)).select(F.lit("scalar").alias("layout"), "n")
     grouped = events.event_groups(ad.order_events(spark, d)).select(F.col("codes").alias(CODE))
@@ -560,9 +578,9 @@ QUERIES: dict[str, Query] = {
         code_describe, code_fallback, code_unresolved, code_unresolved_bare,
         event_text, text_rounded, number_text, digit_spaced, digit_runs, place_ids, document_numbers,
         encoded_events, encoded_events_orders, encoded_documents, token_counts, sample_encoded, sample_nested, sample_store,
-        value_top50, value_classes, value_summary, value_examples, value_buckets, value_bucket_summary,
+        value_top50, value_top_words, value_classes, value_summary, value_examples, value_buckets, value_bucket_summary,
         value_bucket_examples, value_bucket_top50,
-        shard_assign, shard_running, shard_balance, audit_rows, audit_units, audit_output, audit_splits,
+        shard_assign, shard_running, shard_balance, audit_rows, file_rows, audit_units, audit_output, audit_splits,
         file_preview_rows, output_names,
     )
 }

@@ -286,10 +286,11 @@ def result_values_sql() -> str:
     texts = "[" + ", ".join(quoted(t) for t in ad.RESULT_TEXTS) + "]"
     pick = f"(l_orderkey * 7 + l_linenumber) % {n + 4}"
     q = "CAST(l_quantity AS INTEGER)"
+    cents = "CAST(round(l_extendedprice * 100) AS BIGINT)"
     return f"""vals AS (
-  SELECT CASE WHEN {pick} < {n} THEN {texts}[{pick} + 1] WHEN {pick} = {n} THEN '>' || {q}
+  SELECT CASE WHEN {pick} < {n} THEN {texts}[{pick} + 1] WHEN {pick} = {n} THEN '>' || {cents}
               WHEN {pick} = {n + 1} THEN {q} || '%' WHEN {pick} = {n + 2} THEN '<=' || {q} || '.5'
-              ELSE {q} || ' mg/dL' END AS raw,
+              ELSE {cents} || ' mg/dL' END AS raw,
          l_returnflag || '/' || l_linestatus AS meta
   FROM lineitem),
 counts AS (SELECT raw, count(*) AS count FROM vals GROUP BY raw),
@@ -468,6 +469,9 @@ FROM ev e LEFT JOIN codes c ON c.code = e.code""",
 FROM placed JOIN encoded USING (seq) GROUP BY ALL""",
     "value_top50": with_(result_values_sql())
     + "SELECT raw, count FROM counts ORDER BY count DESC, raw LIMIT 50",
+    "value_top_words": r"""SELECT word, count(*) AS count FROM (
+  SELECT unnest(regexp_split_to_array(lower(text), '[\x20\x09-\x0d]+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 50""",
     "value_classes": CLASSED + "SELECT raw, count, category FROM classed",
     "value_summary": CLASSED
     + """SELECT c.category, CAST(sum(c.count) AS BIGINT) AS total_rows, count(*) AS unique_values,
@@ -498,6 +502,11 @@ FROM assigned GROUP BY split, shard""",
         f"SELECT '{t}' AS file, count(*) AS n_rows FROM {t}"
         for t in ("events", "orders", "lineitem", "customer", "part", "supplier")
     ),
+    "file_rows": "\nUNION ALL ".join(
+        f"SELECT '{s}' AS folder, 'parquet' AS format, count(*) AS n_rows, true AS readable FROM orders WHERE o_orderstatus = '{s}'"
+        for s in ("F", "O", "P", "none")
+    )
+    + "\nUNION ALL SELECT 'lines', 'csv', count(*), true FROM orders",
     "audit_units": "SELECT 'scalar' AS layout, count(event_type) AS n FROM events UNION ALL SELECT 'list', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
     "audit_output": STREAM_ASSIGNED
     + """SELECT split, shard, count(*) AS samples, CAST(sum(n_events) AS BIGINT) AS events,

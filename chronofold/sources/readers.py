@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.operators.extract import union_all
+from chronofold.operators.running import range_totals, ranged
 from chronofold.schema import CODE, SEQ, SUBJECT, TIME, VALUE
+from chronofold.sources.staging import staged
 
 FORMATS = ("csv", "parquet")
-BROADCAST_FILES = 100_000
 FILE_BITS = 36  # rows of one file that a seq value can tell apart: 2^36
 
 
@@ -25,16 +26,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
-def _has_files(spark: SparkSession, root: str, suffix: str) -> bool:
-    hadoop_path, fs = _path(spark, root)
-    files = fs.listFiles(hadoop_path, True)
-    while files.hasNext():
-        if files.next().getPath().getName().lower().endswith("." + suffix):
-            return True
-    return False
+def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """``file`` and ``bytes`` of all files with the suffix below ``root``; Spark lists directories in parallel and opens no file."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", any_case(suffix))
+    return reader.load(root).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
 
 
-def _any_case(suffix: str) -> str:
+def any_case(suffix: str) -> str:
     """File-name pattern for a suffix in upper or lower case."""
     return "*." + "".join(f"[{c}{c.upper()}]" for c in suffix)
 
@@ -50,7 +48,7 @@ def discover_format(spark: SparkSession, root: str) -> str:
             raise ValueError(f"unsupported file format: .{suffix}")
         return suffix
     for suffix in FORMATS:
-        if _has_files(spark, root, suffix):
+        if not list_files(spark, root, suffix).isEmpty():
             return suffix
     raise ValueError(f"{root} holds no .csv or .parquet file")
 
@@ -60,19 +58,20 @@ def read_table(
     root: str,
     schema: T.StructType | str | None = None,
     with_origin: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A CSV or Parquet file, or all such files below a directory, sub-directories included.
 
-    Without ``schema`` CSV types are inferred, which costs a pass over the data; give one for large
-    inputs. Parquet files may differ in columns: the schemas are merged. ``with_origin`` adds
-    ``_file`` and, for Parquet, ``_row`` (place within the file).
+    Without ``schema`` CSV types are inferred, which costs a pass over the data, and the footers of all Parquet files are read, whose
+    columns may differ; give one for large inputs. ``multi_line`` lets quoted CSV values hold line ends; each file is then one task. ``with_origin`` adds
+    ``_file`` and, for Parquet, ``_row`` (place within the file), for CSV ``_block`` and ``_scan`` (where its block of the file starts, and a number that grows within the block).
     """
     kind = discover_format(spark, root)
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _any_case(kind))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", any_case(kind))
     if schema is not None:
         reader = reader.schema(schema)
     if kind == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("multiLine", multi_line)
         if schema is None:
             reader = reader.option("inferSchema", True).option("preferDate", False).option(
                 "timestampType", "TIMESTAMP_NTZ"
@@ -85,26 +84,36 @@ def read_table(
     origin = [F.col("_metadata.file_path").alias("_file")]
     if kind == "parquet":
         origin.append(F.col("_metadata.row_index").alias("_row"))
+    else:
+        origin += [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_scan")]
     return df.select("*", *origin)
 
 
-def with_seq(events: DataFrame) -> DataFrame:
-    """Number rows in input order: files by path, rows by place in the file.
+def with_row(rows: DataFrame) -> DataFrame:
+    """CSV rows from ``read_table(..., with_origin=True)`` with ``_row``, the place within the file, however files are split.
 
-    ``events`` must come from ``read_table(..., with_origin=True)``. Parquet rows keep their number
-    on every run. CSV rows are numbered by scan partition, in file order within each, which repeats
-    as long as the same files are split the same way.
+    A scan meets the rows of a block of a file in order, so a row's place in its block is its distance from the block's first
+    row. A first pass counts the rows of each block; the blocks before it, a few thousand in the largest file, then say where it starts.
     """
-    if "_row" not in events.columns:
-        return events.withColumn(SEQ, F.monotonically_increasing_id()).drop("_file")
-    # One row per input file: names only, as many as the driver lists for the scan anyway.
-    ordinal = events.select("_file").distinct().select(
-        "_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("bigint").alias("_file_no")
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("_file", "_block").agg(F.min("_scan").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    starts = blocks.select(
+        "_file", "_block", (F.col("_first") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_zero")
     )
-    if len(events.inputFiles()) <= BROADCAST_FILES:
-        ordinal = F.broadcast(ordinal)
+    kept = [c for c in rows.columns if c not in ("_block", "_scan")]
+    return rows.join(staged(starts, "blocks"), ["_file", "_block"]).select(*kept, (F.col("_scan") - F.col("_zero")).alias("_row"))
+
+
+def with_seq(events: DataFrame) -> DataFrame:
+    """Number rows in input order: files by path, rows by place in the file; the same on every run.
+
+    ``events`` must come from ``read_table(..., with_origin=True)``. File names are sorted and numbered as a table.
+    """
+    rows = events if "_row" in events.columns else with_row(events)
+    files = range_totals(ranged(rows.select("_file").distinct(), ["_file"]).withColumn("_file_no", F.lit(1)), [], ["_file_no"])
+    ordinal = files.select("_file", F.col("_file_no_before").alias("_file_no"))
     return (
-        events.join(ordinal, "_file")
+        rows.join(ordinal, "_file")
         .withColumn(SEQ, F.shiftleft("_file_no", FILE_BITS) + F.col("_row"))
         .drop("_file", "_file_no", "_row")
     )
@@ -124,13 +133,13 @@ def _quoted(text: str) -> str:
 
 
 def read_events(
-    spark: SparkSession, root: str, schema: T.StructType | str | None = None
+    spark: SparkSession, root: str, schema: T.StructType | str | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Event files with ``split`` from their place below ``root`` and ``seq`` from the input order.
 
     String times, as inferred from some CSV files, are parsed.
     """
-    df = with_origin_columns(read_table(spark, root, schema, with_origin=True), root)
+    df = with_origin_columns(read_table(spark, root, schema, True, multi_line), root)
     if isinstance(df.schema[TIME].dataType, T.StringType):
         df = df.withColumn(TIME, F.to_timestamp_ntz(TIME))
     elif not isinstance(df.schema[TIME].dataType, T.TimestampNTZType):
@@ -150,7 +159,7 @@ def read_labels(
     """Label files, all below ``root``, with ``split`` from their place."""
     df = read_table(spark, root, schema, with_origin=True)
     df = df.withColumn("split", split_from_path(root, F.col("_file")))
-    df = df.drop("_file", "_row")
+    df = df.drop("_file", "_row", "_block", "_scan")
     if isinstance(df.schema["prediction_time"].dataType, T.StringType):
         df = df.withColumn("prediction_time", F.to_timestamp_ntz("prediction_time"))
     return df.withColumn("prediction_time", F.col("prediction_time").cast("timestamp_ntz"))

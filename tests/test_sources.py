@@ -172,3 +172,57 @@ def test_a_job_clears_what_it_staged(spark):
     assert job(spark.range(3)) == 3
     assert seen and not any(readers.path_exists(spark, f) for f in seen)
     assert "/job-" not in staging.staged(spark.range(1), "part").inputFiles()[0]
+
+
+def seqs(spark, path, split_bytes, **options):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = readers.read_table(spark, path, "k int, text string", True, **options)
+        found = sorted((r.seq, r.k) for r in readers.with_seq(rows).collect())
+        return found, rows.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_rows_are_numbered_alike_however_files_are_split(spark, tmp_path):
+    for name, first in (("b.csv", 1000), ("a.csv", 0)):
+        lines = "".join(f"{first + k},{'x' * (k % 90)}\n" for k in range(800))
+        (tmp_path / name).write_text("k,text\n" + lines)
+    found, many = seqs(spark, str(tmp_path), 3000)
+    whole, few = seqs(spark, str(tmp_path), 10**9)
+    assert many > few and found == whole
+    assert [s & ((1 << readers.FILE_BITS) - 1) for s, _ in whole] == [*range(800), *range(800)]
+    assert [k for _, k in whole] == [*range(800), *range(1000, 1800)]
+
+
+def test_csv_rows_with_quoted_line_ends(spark, tmp_path):
+    lines = "".join(f'{k},"one\ntwo, {k}\n"\n' for k in range(500))
+    (tmp_path / "a.csv").write_text("k,text\n" + lines)
+    found, _ = seqs(spark, str(tmp_path), 1000, multi_line=True)
+    assert found == seqs(spark, str(tmp_path), 10**9, multi_line=True)[0] == [(k, k) for k in range(500)]
+
+
+def test_rows_of_all_files(spark, tmp_path):
+    root = tmp_path / "files"
+    spark.range(7).coalesce(1).write.parquet(str(root / "seven"))
+    spark.range(0).coalesce(1).write.parquet(str(root / "none"))
+    (root / "bad.parquet").write_bytes(b"PAR1 not a file PAR1")
+    (root / "a.csv").write_text("k\n1\n2\n3")
+    (root / "head.csv").write_text("k\n")
+    (root / "b.CSV").write_text("k\n1\n")
+    found = {r.file.removeprefix(f"file:{root}/"): (r.format, r.n_rows, r.readable) for r in audit.file_rows(spark, str(root)).collect()}
+    by_folder = {k.split("/")[0]: v for k, v in found.items()}
+    assert by_folder == {
+        "seven": ("parquet", 7, True), "none": ("parquet", 0, True), "bad.parquet": ("parquet", None, False),
+        "a.csv": ("csv", 3, True), "head.csv": ("csv", 0, True), "b.CSV": ("csv", 1, True),
+    }
+    assert len(found) == 6
+
+
+def test_footers_alone_are_read(spark, dataset):
+    counted = audit.rows_per_file(spark.read.schema("_none int").option("recursiveFileLookup", True).parquet(dataset))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
