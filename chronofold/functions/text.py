@@ -59,16 +59,42 @@ def float_text(x: Column) -> Column:
     )
 
 
+def shortest_text(x: Column) -> Column:
+    """Shortest text of a positive double from 1e16 up that reads back as the same number: ``1.25e+17``.
+
+    The JVM's own text reads back, but may have some digits too many. Its digits are cut by four to one, the nearer neighbour first;
+    the first that is still the same number is taken.
+    """
+    text = x.cast("string")
+    digits = F.regexp_replace(F.translate(F.regexp_extract(text, r"^([0-9.]+)E", 1), ".", ""), "0+$", "")
+    size, number = F.length(digits), digits.cast("bigint")
+    unit = F.regexp_extract(text, r"E([0-9]+)$", 1).cast("int") - size + 1  # power of ten of the last digit
+    cuts = []
+    for k in range(4, 0, -1):
+        low, rest = F.floor(number / F.lit(10**k).cast("decimal(6,0)")), number % 10**k
+        # Half-way by the digits shown: the whole number itself decides where it fits a long.
+        half = F.concat((low * 2 + 1).cast("string"), F.lit("E"), (unit + k).cast("string")).try_cast("decimal(38,0)")
+        above = F.coalesce(x.try_cast("bigint").cast("decimal(38,0)") * 2 > half, F.lit(True))
+        up = F.when(rest * 2 == 10**k, above).otherwise(rest * 2 > 10**k).cast("int")
+        cuts += [F.when(size > k, F.concat((low + n).cast("string"), F.lit("E"), (unit + k).cast("string"))) for n in (up, 1 - up)]
+    same = F.filter(F.array(*cuts), lambda c: c.cast("double") == x)
+    best = F.coalesce(F.get(same, F.lit(0)), F.concat(digits, F.lit("E"), unit.cast("string")))
+    kept = F.regexp_extract(best, "^([0-9]+)E", 1)
+    power = F.regexp_extract(best, "E(-?[0-9]+)$", 1).cast("int") + F.length(kept) - 1
+    kept = F.regexp_replace(kept, "0+$", "")
+    mantissa = F.when(F.length(kept) == 1, kept).otherwise(F.concat_ws(".", F.substring(kept, 1, 1), F.substring(kept, 2, 20)))
+    return F.concat(mantissa, F.lit("e+"), power.cast("string"))
+
+
 def _round_piece(x: Column) -> Column:
-    big = F.concat(F.regexp_replace(_mantissa(x), r"\.0$", ""), _exponent(x))
+    big = F.when(x < F.lit(float("inf")), shortest_text(x))
     return F.when(x < F.lit(1e16), _four_places(x)).otherwise(F.coalesce(_not_finite(x), big))
 
 
 def round_decimals(text: Column) -> Column:
     """Round every decimal number inside a text to four places and keep the rest.
 
-    Numbers from 1e16 up have no decimals left and turn to ``d.dde+16`` form; of their 17 digits the
-    last may differ from the shortest form.
+    Numbers from 1e16 up have no decimals left and turn to ``d.dde+16`` form.
     """
     gaps = F.split(text, DECIMAL_PATTERN, -1)
     numbers = F.regexp_extract_all(text, F.lit(f"({DECIMAL_PATTERN})"), F.lit(1)).cast("array<double>")

@@ -106,3 +106,16 @@ def test_digit_spacing(spark):
 )
 def test_place_ids(spark, text, places):
     assert column_of(spark, [text], "string", tx.text_place_ids) == [places]
+
+
+def test_large_numbers_have_their_shortest_text(spark):
+    rng = random.Random(16)
+    values = [rng.uniform(1, 10) * 10 ** rng.randint(16, 19) for _ in range(3000)]
+    values += [rng.uniform(1, 10) * 10 ** rng.randint(16, 300) for _ in range(1000)]
+    values += [1e16, 2e16, 1e22, 1e23, 9.999999999999999e22, 9007199254740993e3, 1.7976931348623157e308, 99999999999999990000.0, 2.0**60, 2.0**900]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = {r.x: r.t for r in df.select("x", tx.shortest_text(F.col("x")).alias("t")).collect()}
+    assert [found[v] for v in values] == [repr(v) for v in values]
+    row = spark.createDataFrame([("a 123456789012345678.25 b 1e5 99999999999999999999.5",)], "t string").select(tx.round_decimals(F.col("t"))).first()
+    assert row[0] == "a 1.2345678901234568e+17 b 1e5 1e+20"
+
