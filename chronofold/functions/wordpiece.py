@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +20,6 @@ CJK = (
     r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
     r"\x{2B740}-\x{2B81F}\x{2B920}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
 )
-CACHE_WORDS = 500_000
 
 
 def words_of(text: Column, numbers: bool = False) -> Column:
@@ -44,40 +44,116 @@ def words_of(text: Column, numbers: bool = False) -> Column:
 
 
 class Pieces:
-    """Splits words into the longest vocabulary pieces, remembering what it has split."""
+    """Splits words into the longest vocabulary pieces, in time linear in their length.
 
-    def __init__(self, vocab: dict[str, int], lowercase: bool, remember: int = CACHE_WORDS):
-        self.vocab = vocab
-        self.unknown = [vocab[UNKNOWN]]
+    The vocabulary is a trie in flat arrays, in which continuations hang from the node of their mark. A node that cannot go on with a
+    character has a link to the node of the longest rest that can, and the pieces that are complete by then; so no character is
+    looked at twice. All words of a list walk at once, one step of each at a time.
+    """
+
+    def __init__(self, vocab: dict[str, int], lowercase: bool):
         self.lowercase = lowercase
-        self.longest = max(map(len, vocab))
-        self.remember = remember
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, word: str) -> list[int]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= self.remember:
-                self.known.clear()
-            found = self.known[word] = self.split(word)
-        return found
-
-    def split(self, word: str) -> list[int]:
-        """Piece ids of one word; the unknown id if some rest of it has no piece."""
+        self.unknown = vocab[UNKNOWN]
+        children: list[dict[str, int]] = [{}]
+        ends: dict[int, int] = {}
+
+        def insert(text: str) -> int:
+            node = 0
+            for c in text:
+                if c not in children[node]:
+                    children[node][c] = len(children)
+                    children.append({})
+                node = children[node][c]
+            return node
+
+        self.inner = insert(CONTINUATION)
+        for token, i in vocab.items():
+            if token and token != CONTINUATION:
+                ends[insert(token)] = i
+        self.link, pops = self._links(children, ends)
+        self.pop_counts = np.array([len(p) for p in pops])
+        self.pops = np.array([i for p in pops for i in p], np.int64)
+        self.pop_starts = np.cumsum(self.pop_counts) - self.pop_counts
+        self.chars = np.array(sorted({ord(c) for edges in children for c in edges}), np.int64)
+        edges = sorted((node * len(self.chars) + int(np.searchsorted(self.chars, ord(c))), to) for node, e in enumerate(children) for c, to in e.items())
+        self.edges, self.targets = (np.array(x, np.int64) for x in zip(*edges, strict=True))
+
+    def _links(self, children: list[dict[str, int]], ends: dict[int, int]) -> tuple[np.ndarray, list[list[int]]]:
+        """Per node the node to go on from where it has no edge (-1: none), and the pieces that are complete then."""
+        link, pops = [-1] * len(children), [[] for _ in children]
+        level = [0, self.inner]
+        while level:
+            below = []
+            for node in level:
+                for c, child in children[node].items():
+                    if child == self.inner:
+                        continue
+                    below.append(child)
+                    if child in ends:
+                        link[child], pops[child] = self.inner, [ends[child]]
+                        continue
+                    at, done = link[node], list(pops[node])
+                    while at >= 0 and c not in children[at]:
+                        done += pops[at]
+                        at = link[at]
+                    if at >= 0:
+                        link[child], pops[child] = children[at][c], done
+            level = below
+        return np.array(link, np.int64), pops
+
+    def _step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The edge's end, or -1."""
+        at = np.minimum(np.searchsorted(self.chars, char), len(self.chars) - 1)
+        key = node * len(self.chars) + at
+        edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+        return np.where((self.chars[at] == char) & (self.edges[edge] == key), self.targets[edge], -1)
+
+    def _plain(self, word: str) -> str:
+        folded = unicodedata.normalize("NFD", word.lower())
+        return "".join(c for c in folded if unicodedata.category(c) != "Mn")
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all words, one after the other, and their number per word; the unknown id for a word some rest of which has no piece."""
         if self.lowercase:
-            word = unicodedata.normalize("NFD", word.lower())
-            word = "".join(c for c in word if unicodedata.category(c) != "Mn")
-        if len(word) > MAX_WORD_CHARS:
-            return self.unknown
-        ids, rest, mark = [], word, ""
-        while rest:
-            sizes = range(min(len(rest), self.longest), 0, -1)
-            size = next((n for n in sizes if mark + rest[:n] in self.vocab), 0)
-            if size == 0:
-                return self.unknown
-            ids.append(self.vocab[mark + rest[:size]])
-            rest, mark = rest[size:], CONTINUATION
-        return ids
+            words = [self._plain(w) for w in words]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        text = np.append(text, -1)
+        starts = np.cumsum(sizes) - sizes
+        node, place = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        whole = np.zeros(len(words), bool)
+        walking = np.flatnonzero((sizes > 0) & (sizes <= MAX_WORD_CHARS))
+        found_word, found_node = [], []
+        while len(walking):
+            here, done = node[walking], place[walking]
+            inside = done < sizes[walking]
+            to = self._step(here, np.where(inside, text[np.minimum(starts[walking] + done, len(text) - 1)], -1))
+            on = to >= 0
+            node[walking[on]] = to[on]
+            place[walking[on]] += 1
+            stuck = walking[~on]
+            back = self.link[node[stuck]]
+            over = back < 0
+            whole[stuck[over]] = (place[stuck[over]] == sizes[stuck[over]]) & (node[stuck[over]] == self.inner)
+            popping = stuck[~over]
+            found_word.append(popping)
+            found_node.append(node[popping])
+            node[popping] = back[~over]
+            walking = np.concatenate([walking[on], popping])
+        word = np.concatenate([*found_word, np.zeros(0, np.int64)])
+        from_node = np.concatenate([*found_node, np.zeros(0, np.int64)])
+        order = np.argsort(word, kind="stable")
+        order = order[whole[word[order]]]
+        word, from_node = word[order], from_node[order]
+        n = self.pop_counts[from_node]
+        ids = self.pops[np.repeat(self.pop_starts[from_node], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        counts = np.bincount(word, weights=n, minlength=len(words)).astype(np.int64)
+        # Words without pieces become the unknown id.
+        lost = (counts == 0) & (sizes > 0)
+        counts[lost] = 1
+        out = np.full(counts.sum(), self.unknown, np.int64)
+        out[np.repeat(~lost, counts)] = ids
+        return out, counts
 
 
 def split_words(text: str) -> list[str]:

@@ -95,11 +95,10 @@ class _Page:
         unique = coded.dictionary.to_pylist()
         word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         is_run = np.array([numbers and w[0] in _DIGITS for w in unique], dtype=bool)
-        pieces = [
-            [i for c in w for i in look_up(c)] if run else look_up(w) for w, run in zip(unique, is_run)
-        ]
-        n_pieces = np.array([len(p) for p in pieces], dtype=np.int64)
-        pool = np.array([i for p in pieces for i in p], dtype=np.int64)
+        parts = [list(w) if run else [w] for w, run in zip(unique, is_run)]  # a run character by character
+        pool, per_part = look_up([p for ps in parts for p in ps])
+        n_pieces = np.zeros(len(unique), np.int64)
+        np.add.at(n_pieces, np.repeat(np.arange(len(unique)), list(map(len, parts))), per_part)
 
         word_row, _ = _ragged(np.diff(offsets))
         token_word, in_word = _ragged(n_pieces[word])
@@ -189,15 +188,15 @@ def encode_events(
     table = load_vocab(vocab)
     special = {t: table[t] for t in (PAD, UNKNOWN, START, END)}
     dot = table.get(".", -1)
-    shared = events.sparkSession.sparkContext.broadcast(table)
+    shared = events.sparkSession.sparkContext.broadcast(Pieces(table, lowercase))
     prepared, names = field_words(events, keys, None if in_parts else max_length, skip)
     name_words = [split_words(n) for n in names]
     part = ["part"] if in_parts else []
     outputs = ["input_ids", "type_ids", "place_ids", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look_up = Pieces(shared.value, lowercase)
-        name_ids = [np.array([i for w in ws for i in look_up(w)], dtype=np.int64) for ws in name_words]
+        look_up = shared.value
+        name_ids = [look_up(ws)[0] for ws in name_words]
         for batch in batches:
             page = (_Parts if in_parts else _Page)(batch.num_rows, max_length, special)
             for i, name in enumerate(names):

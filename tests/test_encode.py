@@ -16,6 +16,10 @@ SAMPLES = [
 ]
 
 
+def ad_special():
+    return [(t, i) for t, i in vocab_rows() if t.startswith("[") and len(t) > 1]
+
+
 def random_texts(n, seed=1):
     rng = random.Random(seed)
     alphabet = "abcXYZ 019.,-!é中 \t—ß×"
@@ -33,7 +37,43 @@ def test_tokens_agree_with_the_public_word_piece_library(spark, lowercase):
     look_up = Pieces(vocab, lowercase)
     for row in df.select("t", words_of(F.col("t")).alias("w")).collect():
         expected = library.encode(row.t, add_special_tokens=False).ids
-        assert [i for w in row.w for i in look_up(w)] == expected, row.t
+        assert look_up(list(row.w))[0].tolist() == expected, row.t
+
+
+def longest_first(vocab, word):
+    """The rule as it is stated: the longest piece, then the longest continuation, and so on."""
+    ids, rest, mark = [], word, ""
+    while rest:
+        size = next((n for n in range(len(rest), 0, -1) if mark + rest[:n] in vocab), 0)
+        if size == 0:
+            return [100]
+        ids.append(vocab[mark + rest[:size]])
+        rest, mark = rest[size:], "##"
+    return ids if len(word) <= 100 else [100]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_are_the_longest(seed):
+    rng = random.Random(seed)
+    letters = "ab" if seed < 3 else "abcdé"
+    pieces = {("##" if rng.random() < 0.6 else "") + "".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(60)}
+    vocab = dict(ad_special()) | {p: 200 + i for i, p in enumerate(sorted(pieces))}
+    words = ["".join(rng.choices(letters + "#" * (seed % 2), k=rng.choice([0, 1, 3, 8, 30, 100, 101]))).replace("##", "#") for _ in range(800)]
+    ids, counts = Pieces(vocab, False)(words)
+    want = [longest_first(vocab, w) for w in words]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_long_words_take_linear_time():
+    """A continuation that is long but never whole: trying every length would look at 50 characters from each place."""
+    vocab = dict(ad_special()) | {"a": 200, "##a": 201, "##" + "a" * 50 + "b": 202, "a" * 50 + "b": 203}
+    look_up = Pieces(vocab, False)
+    steps = []
+    plain = look_up._step
+    look_up._step = lambda node, char: steps.append(len(node)) or plain(node, char)
+    ids, _ = look_up(["a" * 100] * 10)
+    assert ids.tolist() == ([200] + [201] * 99) * 10
+    assert sum(steps) <= 10 * 2 * 101
 
 
 def test_split_words_of_column_names():
@@ -43,7 +83,8 @@ def test_split_words_of_column_names():
 
 def expected_ids(fields, length):
     """The rule on whole events, token by token: ids, types and places."""
-    look_up = Pieces(VOCAB, False)
+    pieces = Pieces(VOCAB, False)
+    look_up = lambda w: pieces([w])[0].tolist()
     tokens = []  # id, type, run
     runs = 0
     for name, value in fields:
