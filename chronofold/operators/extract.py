@@ -90,8 +90,14 @@ def subject_sharded(df: DataFrame, n_shards: int) -> DataFrame:
 
 
 def merge_cohort(parts: list[DataFrame], n_shards: int) -> DataFrame:
-    """All sources together, duplicates removed, with split and shard."""
-    return subject_sharded(union_all(parts).dropDuplicates(), n_shards)
+    """All sources together, duplicates removed, with split and shard, in ranges of these, subject and time.
+
+    Rows meet once: ranges run over all columns, so equal rows share a range and are dropped there, and a subject or a time with many
+    rows still spreads over ranges. The ranges are those that ``write_event_shards`` wants, which then only sorts.
+    """
+    rows = subject_sharded(union_all(parts), n_shards)
+    first = ["split", "shard", SUBJECT, TIME]
+    return rows.repartitionByRange(*first, *[c for c in rows.columns if c not in first]).dropDuplicates()
 
 
 def code_metadata(events: DataFrame, sources: list[DataFrame] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from chronofold.schema import SUBJECT, TIME
 from chronofold.sources.readers import path_exists
 
 ROWS_PER_FILE = 5_000_000
+BUCKET_LAYOUT = "n_buckets int, keys array<string>, order array<string>"
 # What to do when the output exists: stop, rewrite, or keep it.
 MODES = {"error": "errorifexists", "rebase": "overwrite", "skip": "ignore"}
 
@@ -40,15 +41,15 @@ def write_table(
     writer.parquet(path)
 
 
-def write_event_shards(events: DataFrame, path: str, if_exists: str = "error") -> None:
+def write_event_shards(events: DataFrame, path: str, if_exists: str = "error", in_ranges: bool = False) -> None:
     """Events under split=/shard= directories, sorted by subject and time.
 
     Range partitioning by the same order splits a shard, or a single subject, over as many tasks and
-    files as its share of the rows asks for.
+    files as its share of the rows asks for. ``in_ranges``: the events lie so already, as ``merge_cohort`` leaves them.
     """
     order = ["split", "shard", SUBJECT, TIME]
-    rows = events.repartitionByRange(*order).sortWithinPartitions(*order)
-    write_table(rows, path, ["split", "shard"], if_exists)
+    rows = events if in_ranges else events.repartitionByRange(*order)
+    write_table(rows.sortWithinPartitions(*order), path, ["split", "shard"], if_exists)
 
 
 def shard_raw(df: DataFrame, path: str, rows_per_file: int, if_exists: str = "error") -> None:
@@ -72,45 +73,66 @@ def write_samples(sample_rows: DataFrame, path: str, if_exists: str = "error") -
     write_table(rows, path, ["split", "shard"], if_exists)
 
 
-def _block_table(path: str) -> str:
+def _bucket_table(path: str) -> str:
     """A name for the table at ``path`` in the session's catalog, which alone keeps the layout of its files."""
-    return f"event_blocks_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+    return f"bucketed_{hashlib.md5(path.encode()).hexdigest()[:16]}"
 
 
-def write_event_blocks(blocks: DataFrame, path: str, n_buckets: int, if_exists: str = "error") -> None:
-    """Event blocks in ``n_buckets`` files by subject and block, sorted by these, and the number beside them."""
-    spark, mode, table = blocks.sparkSession, write_mode(if_exists), _block_table(path)
+def write_bucketed(
+    df: DataFrame, path: str, keys: list[str], n_buckets: int, order: list[str] | None = None, if_exists: str = "error"
+) -> None:
+    """``df`` in ``n_buckets`` files by ``keys``, sorted by these and ``order``, and the layout beside them.
+
+    Tables of one number of buckets are joined by their keys bucket by bucket.
+    """
+    spark, mode, table = df.sparkSession, write_mode(if_exists), _bucket_table(path)
     if path_exists(spark, path) and mode != "overwrite":
         if mode == "ignore":
             return
         raise FileExistsError(f"{path} exists already")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     (
-        blocks.repartition(n_buckets, SUBJECT, BLOCK)
+        df.repartition(n_buckets, *keys)
         .write.mode("overwrite")
         .option("path", path)
-        .bucketBy(n_buckets, SUBJECT, BLOCK)
-        .sortBy(SUBJECT, BLOCK)
+        .bucketBy(n_buckets, *keys)
+        .sortBy(*keys, *(order or []))
         .saveAsTable(table)
     )
-    spark.createDataFrame([(n_buckets,)], "n_buckets int").coalesce(1).write.mode("overwrite").json(f"{path}_layout")
+    layout = spark.createDataFrame([(n_buckets, keys, order or [])], BUCKET_LAYOUT)
+    layout.coalesce(1).write.mode("overwrite").json(f"{path}_layout")
 
 
-def read_event_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Event blocks as they lie: a join by subject and block reads them bucket by bucket, without moving them.
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_bucketed`` wrote, as it lies: joins and groups by its keys do not move it.
 
-    Works in a session that did not write them: the layout is declared anew over the files.
+    Works in a session that did not write it: the layout is declared anew over the files.
     """
-    table, n = _block_table(path), spark.read.schema("n_buckets int").json(f"{path}_layout").first()[0]
+    table, layout = _bucket_table(path), spark.read.schema(BUCKET_LAYOUT).json(f"{path}_layout").first()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    keys, order = ([f"`{c}`" for c in names] for names in (layout["keys"], [*layout["keys"], *layout["order"]]))
     spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"CLUSTERED BY ({SUBJECT}, {BLOCK}) SORTED BY ({SUBJECT}, {BLOCK}) INTO {n} BUCKETS LOCATION '{path}'"
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({', '.join(keys)}) "
+        f"SORTED BY ({', '.join(order)}) INTO {layout['n_buckets']} BUCKETS LOCATION '{path}'"
     )
     return spark.table(table)
 
 
+def write_event_blocks(blocks: DataFrame, path: str, n_buckets: int, if_exists: str = "error") -> None:
+    """Event blocks by subject and block."""
+    write_bucketed(blocks, path, [SUBJECT, BLOCK], n_buckets, None, if_exists)
+
+
+def read_event_blocks(spark: SparkSession, path: str) -> DataFrame:
+    return read_bucketed(spark, path)
+
+
+def write_by_subject(rows: DataFrame, path: str, subject: str, n_buckets: int, if_exists: str = "error") -> None:
+    """Raw rows of each subject together: later stages join such tables, and count or number by subject, without moving them."""
+    write_bucketed(rows, path, [subject], n_buckets, None, if_exists)
+
+
 def write_manifest(manifest: DataFrame, path: str, prefix: str, if_exists: str = "error") -> None:
     """Tab-separated manifest: per split a header line with its directory, then one line a sample.
 

@@ -2,7 +2,10 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from chronofold.operators import extract
+from chronofold.sources import writers
 from chronofold.schema import CODES_SCHEMA, conform, rendered_columns
 from chronofold.sources.readers import load_event_config
 from tests.helpers import events_df, rows_of
@@ -48,6 +51,33 @@ def test_merge_removes_duplicates(spark):
     assert merged.count() == 1 and merged.columns[-2:] == ["split", "shard"]
 
 
+def test_rows_move_once(spark, tmp_path):
+    rows = [(s, m, "AB"[m % 2], float(m % 3), 0) for s in range(50) for m in range(40)]
+    path = str(tmp_path / "events")
+    events_df(spark, rows).drop("seq").union(events_df(spark, rows[::3]).drop("seq")).write.parquet(path)
+    source = spark.read.parquet(path)
+    final = extract.finalize_events(extract.merge_cohort([source, source], 3)).sortWithinPartitions("split", "shard", "subject_id", "time")
+    plan = final._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    assert final.count() == len(rows)
+
+
+def test_rows_by_subject_do_not_move(spark, tmp_path):
+    left, right = (str(tmp_path / n) for n in ("labs", "visits"))
+    lab = spark.range(3000).select((F.col("id") % 101).alias("patient"), "id")
+    writers.write_by_subject(lab, left, "patient", 4)
+    writers.write_by_subject(spark.range(101).select(F.col("id").alias("patient"), (F.col("id") * 2).alias("ward")), right, "patient", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = writers.read_bucketed(spark, left).join(writers.read_bucketed(spark, right), "patient")
+        counted = joined.groupBy("patient").agg(F.count(F.lit(1)).alias("n"))
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 3000 and joined.where("ward <> 2 * patient").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_code_metadata_is_typed_and_empty_without_sources(spark):
     events = events_df(spark, [(1, 0, "A", 2.0, 1)])
     empty = extract.code_metadata(events)

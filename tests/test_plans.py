@@ -111,7 +111,8 @@ def test_extraction_writes_data_and_metadata(spark, sf_dir, tmp_path):
     root = str(tmp_path / "out")
     config = {"orders": {"subject_id_col": "o_custkey", "placed": {"code": ["ORDER", "col(o_orderpriority)"], "time": "col(o_orderdate)", "numeric_value": "col(o_totalprice)"}}}
     orders = ad.table(spark, sf_dir, "orders")
-    extract_dataset({"orders": orders}, config, root, "SYNTHETIC", "1.0", n_shards=2, raw_rows_per_file=400)
+    extract_dataset({"orders": orders}, config, root, "SYNTHETIC", "1.0", n_shards=2, raw_rows_per_file=400, subject_buckets=3)
+    assert writers.read_bucketed(spark, f"{root}/by_subject/orders").count() == orders.count()
     assert len(spark.read.parquet(f"{root}/raw/orders").inputFiles()) > 1
     data = spark.read.parquet(f"{root}/data")
     assert data.columns == ["subject_id", "time", "code", "numeric_value", "split", "shard"]
