@@ -85,30 +85,37 @@ def read_blocks(content: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens and the compressed ids of every whole text, the end id last."""
+    """doc_id, n_tokens and the compressed ids of every whole text, the end id last; and per task a row with ``counts`` alone, how often each id occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        encode = encoder(tokenizer).encode
+        encoding = encoder(tokenizer)
         tail = np.array([end_id], "<u4").tobytes()
+        counts = np.zeros(max(encoding.size, end_id + 1), np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                ids = [x + tail for x in encode([t or "" for t in part.column(1).to_pylist()])]
+                ids = [x + tail for x in encoding.encode([t or "" for t in part.column(1).to_pylist()])]
+                counts += np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(counts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array([squeeze(_planes(x)) for x in ids], pa.binary()),
+                        pa.nulls(len(ids), pa.binary()),
                     ],
-                    ["doc_id", "n_tokens", "ids"],
+                    names,
                 )
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names
+        )
 
+    names = ["doc_id", "n_tokens", "ids", "counts"]
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(frugal(run), "doc_id bigint, n_tokens bigint, ids binary")
+    return narrow.mapInArrow(frugal(run), "doc_id bigint, n_tokens bigint, ids binary, counts binary")
 
 
 def _planes(ids: bytes) -> bytes:
@@ -121,24 +128,20 @@ def _ids(stored: bytes, decompress) -> np.ndarray:
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
-    """How often each id occurs: one partial count per task and id."""
+    """How often each id occurs, from the counts of the tasks; no id is read again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        decompress = zstandard.ZstdDecompressor().decompress
         total = np.zeros(0, np.int64)
         for batch in batches:
             for stored in batch.column(0).to_pylist():
-                found = np.bincount(_ids(stored, decompress))
-                if len(found) > len(total):
-                    found, total = total, found.astype(np.int64)
-                total[: len(found)] += found
+                found = np.frombuffer(stored, np.int64)
+                total = found.copy() if not len(total) else total + found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
     bounded_batches(encoded.sparkSession)
-    return encoded.select("ids").mapInArrow(frugal(run), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    parts = encoded.select("counts").where("counts is not null").mapInArrow(frugal(run), "id bigint, n bigint")
+    return parts.groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(
@@ -146,7 +149,7 @@ def write_token_files(
 ) -> None:
     """Write the ids of all documents to ``folder``/files in ascending doc_id order (nulls first).
 
-    Rows with equal doc_id follow each other by length, then ids. A null text counts as empty. An empty
+    Rows with equal doc_id follow each other by length, then by a hash of their ids, and may lie in several files. A null text counts as empty. An empty
     table gives an empty folder. The rank table has at most as many rows as the vocabulary.
     """
     spark = docs.sparkSession
@@ -180,8 +183,10 @@ def write_token_files(
 
     parts = max(1, -(-total // ids_per_file))
     blocks = (
-        encoded.repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", "n_tokens", "ids")
+        encoded.where("ids is not null")
+        .withColumn("_hash", F.xxhash64("ids"))
+        .repartitionByRange(parts, "doc_id", "n_tokens", "_hash")
+        .sortWithinPartitions("doc_id", "n_tokens", "_hash")
         .select("doc_id", "ids")
         .mapInArrow(frugal(run), "block binary")
     )

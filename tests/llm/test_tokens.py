@@ -16,7 +16,6 @@ PARTS = ["a", "The", " ", "  ", "\n", "\t", " \n", ",", "...", "'s", "n't", "é"
 
 def plain(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -30,6 +29,22 @@ def test_pieces_encode_like_whole_texts(name):
         assert np.frombuffer(found, "<u4").tolist() == whole(text), repr(text)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_special_tokens_are_what_the_library_makes_of_them(name):
+    encode, whole = tokens.Encoder(public_tokenizers.path(name)).encode, plain(name)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y", " <|endoftext|><|endoftext|> ", "<|startoftext|>the <|END|> of", "a < b <|endof text|>"]
+    assert len(whole(texts[1])) == 1
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [whole(t) for t in texts]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_words_in_upper_and_lower_case(name):
+    words = ["The", "the", "THE", "Éa", "éa", "ßß", "ÀÖØöøÿ", "x", "Zürich", "a" * 64]
+    texts = [f"{a} {b}, {a}" for a in words for b in words]
+    encode, whole = tokens.Encoder(public_tokenizers.path(name)).encode, plain(name)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [whole(t) for t in texts]
+
+
 def test_full_caches_change_nothing():
     encoder = tokens.Encoder(public_tokenizers.path(FILES[0]), 2)
     texts = ["one two three", "two three four", "one two three"]
@@ -53,6 +68,16 @@ def test_blocks_round_trip():
     assert [(d, r.tolist()) for d, r in back] == [(d, r.tolist()) for d, r in docs] * 2
 
 
+def test_rows_of_one_id_lie_in_several_files(spark, tmp_path):
+    rows = [(None if k % 3 else 7, "the red house " * (k % 40), "en", "a") for k in range(300)]
+    token_files.write_token_files(documents(spark, rows), str(tmp_path / "out"), public_tokenizers.path(FILES[0]), ids_per_file=1000)
+    found = sorted((tuple(r) for r in token_files.read_token_files(spark, str(tmp_path / "out")).collect()), key=lambda r: r[1])
+    want = expected_files(rows, FILES[0])
+    assert [(r[0], r[1], r[2], r[3]) for r in found] == want
+    files = [f for f in (tmp_path / "out" / "files").glob("*.txt") if f.stat().st_size]
+    assert len(files) > 5 and max(f.stat().st_size for f in files) < 0.5 * sum(f.stat().st_size for f in files)
+
+
 def expected_files(rows, name):
     whole, out, start = plain(name), [], 0
     made = [(i, np.array([*whole(t or ""), 2], "<u4")) for i, t, *_ in rows]
