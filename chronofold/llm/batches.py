@@ -6,7 +6,8 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_BYTES = 16 * 1024 * 1024
 BATCH_ROWS = 2_000
@@ -34,3 +35,8 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
             pass
 
     return then_release
+
+
+def valid_text(column: str = "text") -> Column:
+    """The column as text; bytes that are no UTF-8, which Python could not read, stand as U+FFFD."""
+    return F.make_valid_utf8(F.col(column).cast("string"))

@@ -102,11 +102,24 @@ def layout_table(spark, layouts: tuple[Layout, ...]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+def _likeliest(layouts: tuple[Layout, ...], paths: dict[str, Column]) -> Column:
+    """The name of the layout that has the most of a record's fields among its own, and all it must have; null if none has any."""
+    scores = []
+    for i, layout in enumerate(layouts):
+        there = [paths.get(p.rstrip("?"), F.lit(False)) for p in layout.paths]
+        must = [t for t, p in zip(there, layout.paths, strict=True) if not p.endswith("?")]
+        fits = F.array_min(F.array(F.lit(True), *must))
+        named = F.aggregate(F.array(*[t.cast("int") for t in there]), F.lit(0), lambda a, b: a + b)
+        scores.append(F.when(fits & (named > 0), F.struct(named.alias("named"), F.lit(-i).alias("first"), F.lit(layout.name).alias("name"))))
+    return F.array_max(F.array(*scores))["name"]
+
+
 def canonical_turns(records: DataFrame, conv: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``conv``, ``place``, ``role``, ``text``: the turns of all records, each by the layout its fingerprint selects.
 
-    A record is a row; the fields it has are those that hold no null. Records whose fields fit no layout give one
-    turn with null role and text, so that their conversation stays. Columns that no layout names are left out first.
+    A record is a row; the fields it has are those that hold no null. Records whose fields are not those of one layout take the
+    layout that names the most of them and lacks nothing it must have, of several the first; their other fields are not read. Only a
+    record that has what no layout must have gives one turn with null role and text, so that its conversation stays. Columns that no layout names are left out first.
     The table of fingerprints is declared, so its broadcast does not grow with the data.
     """
     named = {p.rstrip("?").split("[")[0].split(".")[0] for lay in layouts for p in lay.paths}
@@ -115,6 +128,7 @@ def canonical_turns(records: DataFrame, conv: str = "conv_id", layouts: tuple[La
     has = F.array_compact(F.array(*[F.when(there, F.lit(p)) for p, there in paths.items()])) if paths else F.array().cast("array<string>")
     known = F.broadcast(layout_table(records.sparkSession, layouts))
     chosen = kept.withColumn("_print", fingerprint(has)).join(known, "_print", "left")
+    chosen = chosen.withColumn("_layout", F.coalesce("_layout", _likeliest(layouts, paths)))
     columns = set(kept.columns)
 
     def turn(place: Column, role: Column, text: Column) -> Column:

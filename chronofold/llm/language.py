@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chronofold.llm.batches import bounded_batches, frugal
+from chronofold.llm.batches import bounded_batches, frugal, valid_text
 
 DIMENSIONS = 1024
 SYMBOLS = 64
@@ -100,7 +101,7 @@ def train_profiles(labelled: DataFrame) -> dict[str, np.ndarray]:
         )
 
     bounded_batches(labelled.sparkSession)
-    parts = labelled.where("lang is not null").select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    parts = labelled.where("lang is not null").select(F.make_valid_utf8(F.col("lang").cast("string")).alias("lang"), valid_text())
     sums = (
         parts.mapInArrow(frugal(run), "lang string, vector array<bigint>")
         .select("lang", F.posexplode("vector").alias("place", "value"))
@@ -121,7 +122,7 @@ def identify(
 
     The score is the cosine with the nearest prototype, 0 where it would be negative. ``und`` and 0 for null
     texts, texts without letters, and if there is no prototype. Ties go to the lang that sorts first.
-    Columns of these names are replaced; all rows and other columns stay.
+    Columns of these names are replaced; all rows and other columns stay. Bytes that are no UTF-8 stand as U+FFFD, in the result too.
     """
     names = list(profiles)
     table = np.array([profiles[n] for n in names]).reshape(len(names), DIMENSIONS)
@@ -149,10 +150,9 @@ def identify(
             )
 
     bounded_batches(docs.sparkSession)
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(
-        frugal(run), schema.add(pred, "string").add(score, "double")
-    )
+    read = docs.select(*[valid_text().alias(c) if c == "text" else F.col(f"`{c}`") for c in kept])
+    schema = T.StructType([*read.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    return read.mapInArrow(frugal(run), schema)
 
 
 def accepted(

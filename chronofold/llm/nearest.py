@@ -23,6 +23,11 @@ def valid(embedding: Column) -> Column:
     return embedding.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(embedding, lambda x: x != 0)
 
 
+def levelled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that the largest component lies in [0.5, 1): no square over- or underflows, no digit changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1))[1][:, None])
+
+
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors as int8, with scale, the length of the rounded vector and the length of the error, per row."""
     units = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
@@ -51,6 +56,7 @@ def tile_nearest(query_ids, queries, ids, vectors, k: int) -> Iterator[tuple[int
     Products of int8 codes bound each cosine from both sides. Candidates whose upper bound lies below the
     ``k``-th best lower bound are out; the others are computed in double precision and kept in a heap.
     """
+    queries, vectors = levelled(queries), levelled(vectors)
     qc, qs, ql, qe = quantise(queries)
     vc, vs, _, ve = quantise(vectors)
     for i in range(0, len(queries), 256):
@@ -74,7 +80,7 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5, block: int = BLO
     Queries are the rows whose vec_id is divisible by ``every``, candidates all rows of another vec_id; ties go
     to the smaller vec_id. Rows with a null vec_id or a vector that is null, zero, holds null or non-finite
     components, or has another length than the query's take no part. Fewer candidates give fewer ranks. Candidates with a
-    repeated vec_id count each; of repeated queries one answers. An empty table gives no row; other columns are not read.
+    repeated vec_id count each; of repeated queries the smallest vector answers. An empty table gives no row; other columns are not read.
 
     Both sides are dealt to blocks by hash; every block of queries meets every block of candidates of its length
     in an equi-join on the blocks' names. Only block sizes depend on a count of the rows. Each pair of blocks returns ``k``
@@ -86,7 +92,7 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5, block: int = BLO
         ),
         "vectors",
     )
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     parts = max(1, -(-rows.count() // block))
     query_parts = max(1, -(-parts // every))
 

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches, frugal
+from chronofold.llm.batches import bounded_batches, frugal, valid_text
 from chronofold.llm.tokens import MAX_CACHED, encoder
 
 TIERS = (4096, 2048, 1024, 512)
@@ -219,5 +219,5 @@ def pack_documents(
 
     bounded_batches(docs.sparkSession)
     of_file = [F.col(f"_metadata.{c}") for c in ("file_name", "file_block_start")] if files else []
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *of_file)
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), valid_text().alias("text"), *of_file)
     return narrow.mapInArrow(frugal(run), SCHEMA)

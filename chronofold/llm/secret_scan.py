@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches, frugal
+from chronofold.llm.batches import bounded_batches, frugal, valid_text
 
 
 class Rule(NamedTuple):
@@ -357,5 +357,5 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
             )
 
     bounded_batches(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), valid_text().alias("text"))
     return narrow.mapInArrow(frugal(run), schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches, frugal
+from chronofold.llm.batches import bounded_batches, frugal, valid_text
 from chronofold.llm.graph import Forest, components
 from chronofold.sources.staging import staged
 
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
             )
 
     bounded_batches(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), valid_text().alias("text"))
     return narrow.mapInArrow(frugal(run), "doc_id bigint, fp bigint")
 
 

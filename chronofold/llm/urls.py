@@ -72,11 +72,10 @@ def judge_urls(
     expanded = rows.withColumn("_row", F.monotonically_increasing_id()).select(
         "*", F.explode_outer(F.transform(texts, lambda t: F.sha2(t, 256))).alias("_hash")
     )
-    met = expanded.join(
-        keyed, (F.left("_hash", F.lit(PREFIX_DIGITS)) == F.col("_key")) & (F.col("_hash") == F.col("_digest")), "left"
-    )
+    met = expanded.join(keyed, F.left("_hash", F.lit(PREFIX_DIGITS)) == F.col("_key"), "left")
+    confirmed = F.col("_hash") == F.col("_digest")  # not among the join's keys: the short hash alone brings them together
     rank = F.struct(F.length("_rule").alias("size"), "_host_size", "_verdict", F.col("_rule").alias("rule"))
-    best = F.max(F.when(F.col("_rule").isNotNull(), rank)).alias("_best")
+    best = F.max(F.when(confirmed, rank)).alias("_best")
     # One task makes all expressions of a row, so all but one row of each are gone before the shuffle.
     return met.groupBy("_row", *keep, "host", "path").agg(best).select(
         *keep, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best._verdict", F.lit(default)).alias("verdict")

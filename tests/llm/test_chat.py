@@ -40,6 +40,10 @@ def test_layouts(spark):
         (6, 0, "user", "row", None, None, None, None, None, None, None),
         (7, None, None, None, None, None, "both", None, "layouts", None, None),
         (8, None, None, None, [], None, None, None, None, None, None),
+        (9, 0, "user", "row", None, None, "not a prompt", None, None, None, None),
+        (10, None, None, "a note", None, None, "p", "c", None, None, None),
+        (11, 4, None, "a note", [("user", "q")], None, "p", None, None, None, None),
+        (12, None, None, None, None, None, None, "c", None, None, None),
     ]
     schema = (
         "conv_id bigint, turn bigint, role string, text string, messages array<struct<role:string,content:string>>,"
@@ -54,8 +58,12 @@ def test_layouts(spark):
         4: [("system", "do"), ("assistant", "done")],
         5: [("system", "do"), ("user", "this"), ("assistant", "done")],
         6: [("user", "row")],
-        7: [("", "")],  # no layout has these fields together
+        7: [("user", "both")],  # the first of two that name as many
         8: [("", "")],
+        9: [("user", "row")],  # a further column that is named like a field of another layout
+        10: [("user", "p"), ("assistant", "c")],
+        11: [("user", "q")],
+        12: [("", "")],  # a completion alone
     }
 
 

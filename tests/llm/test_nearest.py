@@ -58,3 +58,17 @@ def test_bounds_hold():
     near = exact * sa[:, None] * sb
     true = np.array([nearest.cosines(x, b) for x in a])
     assert (np.abs(near - true) <= ea[:, None] + la[:, None] * eb).all()
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 0.0]), (50, [1e-200, 2e-200]), (1, [3.0, 4.0]), (2, [1e-300, 1e-300]), (3, [5e-324, 0.0]), (4, [1.7e308, 1.7e308])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<double>, score string")
+    found = {(r["query_id"], r["vec_id"]): r["score"] for r in nearest.nearest(df).collect()}
+    half = 0.5**0.5
+    assert [found[0, k] for k in (1, 2, 3, 4, 50)] == pytest.approx([0.6, half, 1, half, 0.2**0.5], abs=1e-15)
+    assert [found[50, k] for k in (0, 1, 2, 3, 4)] == pytest.approx([0.2**0.5, 11 / 5 * 0.2**0.5, 3 * 0.1**0.5, 0.2**0.5, 3 * 0.1**0.5], abs=1e-15)
+
+
+def test_the_smallest_of_repeated_queries_answers(spark):
+    found = nearest.nearest(table(spark, [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.0, 2.0]), (2, [2.0, 0.1])]).repartition(4)).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 1), (2, 2)]

@@ -66,3 +66,13 @@ def test_equal_rules_of_both_kinds_block(spark):
 def test_no_python_in_the_plan(spark):
     plan = urls.judge_urls(pages(spark, []), urls.rule_table(spark, URL_RULES))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_hashes_bring_together_and_full_ones_decide(spark, monkeypatch):
+    monkeypatch.setattr(urls, "PREFIX_DIGITS", 1)  # most expressions meet a rule that is not theirs
+    check(spark, URL_RULES, list(enumerate(URLS)))
+    monkeypatch.undo()
+    judged = urls.judge_urls(pages(spark, [(1, "h://a.org/")]), urls.rule_table(spark, URL_RULES))
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 1 and "_digest" not in joins[0] and "_key" in joins[0]
