@@ -49,9 +49,9 @@ def clears_staging(job: Callable) -> Callable:
     return run
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the staging folder and read it back."""
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` to the staging folder and read it back; ``compression`` names a Parquet codec other than the session's."""
     spark = df.sparkSession
     path = f"{_job.get() or staging_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
