@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.batches import bounded_batches, frugal
-from chronofold.llm.tokens import encoder
+from chronofold.llm.batches import bounded_batches, frugal, valid_text
+from chronofold.llm.tokens import encoder, vocabulary_size
 from chronofold.sources.staging import staged
 
 END_ID = 2
@@ -84,49 +84,38 @@ def read_blocks(content: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
             yield (None if null else name), ranks[end - n : end]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens and the compressed ids of every whole text, the end id last; and per task a row with ``counts`` alone, how often each id occurs."""
+def id_kind(tokenizer: str, end_id: int) -> str:
+    """The narrowest of two widths that holds all ids."""
+    return "<u2" if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else "<u4"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
 
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        encoding = encoder(tokenizer)
-        tail = np.array([end_id], "<u4").tobytes()
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, kind: str = "<u4") -> DataFrame:
+    """doc_id, n_tokens and the ids (as ``kind``) of every whole text, the end id last; and per task a row with ``counts`` alone, how often each id occurs.
+
+    Bytes of a text that are no UTF-8 stand as U+FFFD.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = encoder(tokenizer, kind=kind)
+        tail = np.array([end_id], kind).tobytes()
         counts = np.zeros(max(encoding.size, end_id + 1), np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 ids = [x + tail for x in encoding.encode([t or "" for t in part.column(1).to_pylist()])]
-                counts += np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(counts))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([squeeze(_planes(x)) for x in ids], pa.binary()),
-                        pa.nulls(len(ids), pa.binary()),
-                    ],
-                    names,
-                )
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names
-        )
+                counts += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(counts))
+                sizes = pa.array([len(x) // len(tail) for x in ids], pa.int64())
+                columns = [part.column(0), sizes, pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+        nothing = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([counts.tobytes()], pa.binary())], names)
 
     names = ["doc_id", "n_tokens", "ids", "counts"]
     bounded_batches(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), valid_text().alias("text"))
     return narrow.mapInArrow(frugal(run), "doc_id bigint, n_tokens bigint, ids binary, counts binary")
 
 
-def _planes(ids: bytes) -> bytes:
-    """The lowest bytes of all ids, then the next ones: this compresses better."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _ids(stored: bytes, decompress) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(decompress(stored), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
-
-
 def id_counts(encoded: DataFrame) -> DataFrame:
     """How often each id occurs, from the counts of the tasks; no id is read again."""
 
@@ -152,8 +141,8 @@ def write_token_files(
     Rows with equal doc_id follow each other by length, then by a hash of their ids, and may lie in several files. A null text counts as empty. An empty
     table gives an empty folder. The rank table has at most as many rows as the vocabulary.
     """
-    spark = docs.sparkSession
-    encoded = staged(encode_documents(docs, tokenizer, end_id), "encoded")
+    spark, kind = docs.sparkSession, id_kind(tokenizer, end_id)
+    encoded = staged(encode_documents(docs, tokenizer, end_id, kind), "encoded", "zstd")
     by_count = id_counts(encoded).orderBy(F.desc("n"), "id").collect()  # at most the vocabulary
     ids = np.array([r["id"] for r in by_count], np.int64)
     total = sum(r["n"] for r in by_count)
@@ -162,9 +151,6 @@ def write_token_files(
     rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        decompress = zstandard.ZstdDecompressor().decompress
         held: list[tuple[int | None, np.ndarray]] = []
         n = 0
 
@@ -172,9 +158,12 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([write_block(held)], pa.binary())], ["block"])
 
         for batch in batches:
-            for doc, stored in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.append((doc, rank_of[_ids(stored, decompress)]))
-                n += len(held[-1][1])
+            stored = batch.column(1).to_pylist()
+            ranks = rank_of[np.frombuffer(b"".join(stored), kind)]
+            ends = np.cumsum([len(x) for x in stored]) // np.dtype(kind).itemsize
+            for doc, ids in zip(batch.column(0).to_pylist(), np.split(ranks, ends[:-1]), strict=True):
+                held.append((doc, ids))
+                n += len(ids)
                 if n >= IDS_PER_BLOCK:
                     yield block()
                     held, n = [], 0

@@ -29,12 +29,12 @@ _WORD = re.compile(rf" ?[{_LETTERS}]+")
 
 
 class Encoder:
-    """Texts to little-endian unsigned 32-bit ids. Exactly what ``encode(text, add_special_tokens=False)`` gives for the whole text.
+    """Texts to little-endian unsigned ids, of 32 bits or as ``kind`` says. Exactly what ``encode(text, add_special_tokens=False)`` gives for the whole text.
 
     Strings of special tokens in a text become those tokens, as in the plain call of the library.
     """
 
-    def __init__(self, path: str, max_cached: int = MAX_CACHED) -> None:
+    def __init__(self, path: str, max_cached: int = MAX_CACHED, kind: str = "<u4") -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -44,6 +44,7 @@ class Encoder:
         self._known: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
         self._max_cached = max_cached
+        self._kind, self._width = kind, np.dtype(kind).itemsize
         # Letter case and white space are nothing to some vocabularies; their tokens mark the ends of words.
         self._folds = self._ids(" A") == self._ids("a")
         tokens = sorted(self._tokenizer.get_vocab().items(), key=lambda t: t[1])
@@ -98,13 +99,13 @@ class Encoder:
     def _learn_each(self, pieces: list[str], into: dict[str, bytes]) -> None:
         for i in range(0, len(pieces), 256):
             some = pieces[i : i + 256]
-            into.update(zip(some, [np.asarray(ids, "<u4").tobytes() for ids in self._many(some)], strict=True))
+            into.update(zip(some, [np.asarray(ids, self._kind).tobytes() for ids in self._many(some)], strict=True))
 
     def _learn_words(self, words: list[str], between: str, into: dict[str, bytes]) -> None:
         """Words of letters, many in one text; where each ends follows from the sizes of its tokens."""
         for i in range(0, len(words), TOGETHER):
             some = words[i : i + TOGETHER]
-            ids = np.asarray(self._ids(between.join(some)), "<u4")
+            ids = np.asarray(self._ids(between.join(some)), self._kind)
             done = np.cumsum(self._sizes[ids])
             ends = np.arange(1, len(some) + 1) if self._folds else np.cumsum([len(w.encode()) + len(between) for w in some]) - len(between)
             last = np.searchsorted(done, ends)  # the token that completes each word
@@ -112,15 +113,23 @@ class Encoder:
                 self._learn_each(some, into)  # tokens do not part where words do
                 continue
             first = np.concatenate([[0], last[:-1] + 1 + (0 if self._folds else len(between))])
-            whole, cuts = ids.tobytes(), zip((4 * first).tolist(), (4 * last + 4).tolist(), strict=True)
+            whole, cuts = ids.tobytes(), zip((self._width * first).tolist(), (self._width * (last + 1)).tolist(), strict=True)
             into.update(zip(some, [whole[a:b] for a, b in cuts], strict=True))
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, max_cached: int = MAX_CACHED) -> Encoder:
+def encoder(path: str, max_cached: int = MAX_CACHED, kind: str = "<u4") -> Encoder:
     """The encoder of this Python worker; its cache stays from task to task."""
-    if (path, max_cached) not in _ENCODERS:
-        _ENCODERS[path, max_cached] = Encoder(path, max_cached)
-    return _ENCODERS[path, max_cached]
+    key = (path, max_cached, kind)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, max_cached, kind)
+    return _ENCODERS[key]
+
+
+def vocabulary_size(path: str) -> int:
+    """Ids of a tokenizer file, special tokens included."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
