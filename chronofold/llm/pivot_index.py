@@ -25,7 +25,6 @@ SHARED = 3  # pivots that two vectors must share
 FEWEST_PIVOTS, MOST_PIVOTS = 64, 8_192
 SEPARATION = 0.8  # cosine that no two pivots exceed
 BLOCK = 2_048  # entries of a piece of an inverted list, on average
-ENTRIES = 20_000  # of short lists, for a task
 TILE = 256
 ONE = 32_767  # the code of 1.0
 SEED = 11
@@ -184,64 +183,75 @@ def described_vectors(nodes: DataFrame, named: int) -> tuple[DataFrame, int]:
     return staged(nodes.select("label", "size", "node", "copies", "v").mapInArrow(frugal(run), schema), "described"), wanted
 
 
-def inverted_lists(described: DataFrame, wanted: int, named: int, shared: int) -> DataFrame:
-    """label, size, pivot, node, copies, codes, pivots: an entry for each of a vector's ``named - shared + 1`` rarest pivots.
+def pivot_ranks(described: DataFrame, wanted: int) -> np.ndarray:
+    """The number of each pivot when they are counted from the rarest on; one table of at most 8,192 counts."""
 
-    Two vectors that share ``shared`` pivots have the rarest of these among those entries, so a list holds them both. Pivots are
-    numbered anew, the rarest first, by one table of at most 8,192 counts.
-    """
-    spark = described.sparkSession
-
-    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(wanted, np.int64)
         for batch in batches:
             total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i2"), minlength=wanted)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["pivot", "n"])
 
-    often = described.select("pivots").mapInArrow(frugal(numbers), "pivot int, n bigint").groupBy("pivot").agg(F.sum("n").alias("n"))
+    bounded_batches(described.sparkSession)
+    often = described.select("pivots").mapInArrow(frugal(run), "pivot int, n bigint").groupBy("pivot").agg(F.sum("n").alias("n"))
     rank = np.full(wanted, wanted - 1, np.int64)
     for k, r in enumerate(often.orderBy("n", "pivot").collect()):
         rank[r["pivot"]] = k
-    entries = named - shared + 1
+    return rank
+
+
+def inverted_lists(described: DataFrame, rank: np.ndarray, named: int, shared: int) -> DataFrame:
+    """``described`` once for each of a vector's ``named - shared + 1`` rarest pivots, with ``pivot``, the list it stands in.
+
+    Two vectors that share ``shared`` pivots have the rarest of these among those entries, so a list holds them both. Pivots
+    are numbered by ``rank``.
+    """
+    entries, names = named - shared + 1, described.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pivots = np.frombuffer(b"".join(batch.column("pivots").to_pylist()), "<i2").reshape(batch.num_rows, named)
             ranked = np.sort(rank[pivots], axis=1).astype("<i2")
             again = pa.array(np.repeat(np.arange(batch.num_rows), entries))
-            kept = [batch.column(c).take(again) for c in ("label", "size", "node", "copies", "codes")]
-            named_by = pa.array([r.tobytes() for r in ranked], pa.binary()).take(again)
-            yield pa.RecordBatch.from_arrays(
-                [*kept, named_by, pa.array(ranked[:, :entries].ravel().astype(np.int32))],
-                ["label", "size", "node", "copies", "codes", "pivots", "pivot"],
-            )
+            by_rank = pa.array([r.tobytes() for r in ranked], pa.binary())
+            kept = [(by_rank if c == "pivots" else batch.column(c)).take(again) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(ranked[:, :entries].ravel().astype(np.int32))], [*names, "pivot"])
 
-    bounded_batches(spark)
+    bounded_batches(described.sparkSession)
     return described.mapInArrow(frugal(run), StructType([*described.schema.fields, StructField("pivot", IntegerType())]))
 
 
-def list_findings(entries: DataFrame, cosine: float, named: int, shared: int, block: int = BLOCK) -> DataFrame:
+def list_findings(
+    described: DataFrame, rank: np.ndarray, cosine: float, named: int, shared: int, block: int = BLOCK
+) -> DataFrame:
     """kind, a, b, n: what ``block_findings`` finds in all inverted lists.
 
-    A long list is cut in pieces by a hash; each piece meets itself and every later piece of its list. Short lists are one piece and never copied.
+    A list of up to ``block`` entries is one row. A longer one is cut in pieces by a hash; each piece meets itself and every later piece of its
+    list. Entries move once, to their list; only the pieces of long lists are written, and meet in a join.
     """
     key = ["label", "size", "pivot"]
-    entries = staged(entries, "entries")
-    lengths = entries.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("pieces"))
+    keys = inverted_lists(described.select("label", "size", "pivots"), rank, named, shared)
+    lengths = keys.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("pieces"))
     long = staged(lengths.where("pieces > 1"), "long-lists")
-    dealt = entries.join(long, key, "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     columns = ("node", "copies", "codes", "pivots")
-    lists = dealt.groupBy(*key, "pieces", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int").alias("piece")).agg(
-        F.collect_list(F.struct(*columns)).alias("rows")
-    )
-    lists = staged(lists.select(*key, "pieces", "piece", *[F.col(f"rows.{c}").alias(c) for c in columns]), "lists")
-    later = lists.where("pieces > 1").select(*key, F.col("piece").alias("piece_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    first = lists.where("piece < pieces - 1").withColumn("piece_b", F.explode(F.expr("sequence(piece + 1, pieces - 1)")))
-    n_pairs = long.agg(F.sum(F.col("pieces").cast("double") * (F.col("pieces") + 1) / 2)).first()[0] or 0
-    between = first.join(later, [*key, "piece_b"]).select("pivot", *columns, *[f"{c}_b" for c in columns])
-    alone = lists.select("pivot", *columns, *[F.lit(None).cast(lists.schema[c].dataType).alias(f"{c}_b") for c in columns])
-    work = alone.unionByName(between).repartition(int(max(8, min(2 * n_pairs + entries.count() / ENTRIES, 4096))))
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int").alias("piece")
+    lists = (
+        inverted_lists(described, rank, named, shared).join(long, key, "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+        .groupBy(*key, "pieces", piece).agg(F.collect_list(F.struct(*columns)).alias("rows"))
+        .select(*key, "pieces", "piece", *[F.col(f"rows.{c}").alias(c) for c in columns])
+    )
+    nothing = [F.lit(None).cast(lists.schema[c].dataType).alias(f"{c}_b") for c in columns]
+    n_pairs = long.agg(F.sum(F.col("pieces").cast("double") * (F.col("pieces") + 1) / 2)).first()[0]
+    if n_pairs is None:
+        work = lists.select("pivot", *columns, *nothing)
+    else:
+        pieces = staged(lists.where("pieces > 1"), "pieces")
+        later = pieces.select(*key, F.col("piece").alias("piece_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+        first = pieces.where("piece < pieces - 1").withColumn("piece_b", F.explode(F.expr("sequence(piece + 1, pieces - 1)")))
+        between = first.join(later, [*key, "piece_b"]).select("pivot", *columns, *[f"{c}_b" for c in columns])
+        spread = pieces.select("pivot", *columns, *nothing).unionByName(between).repartition(int(max(8, min(2 * n_pairs, 4096))))
+        work = lists.where("pieces = 1").select("pivot", *columns, *nothing).unionByName(spread)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +272,7 @@ def list_findings(entries: DataFrame, cosine: float, named: int, shared: int, bl
                     [pa.array(kind, pa.int32()), pa.array(left), pa.array(right), pa.array(n)], ["kind", "a", "b", "n"]
                 )
 
-    bounded_batches(entries.sparkSession)
+    bounded_batches(described.sparkSession)
     return work.mapInArrow(frugal(run), "kind int, a bigint, b bigint, n bigint")
 
 
@@ -295,7 +305,7 @@ def near_copies(
     per vector and the links that join two trees; only pairs within some 2 ** -12 of the threshold are written, and verified on the vectors themselves.
     """
     rows = embeddings.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label"), F.col("embedding").cast("array<double>").alias("v")
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label"), F.col("embedding").alias("v")
     )
     fit = F.coalesce(usable(F.col("v")), F.lit(False)) & F.col("label").isNotNull()
     keyed = rows.withColumn("fit", fit).withColumns({f"h{s}": F.xxhash64(F.lit(s), "v") for s in (1, 2)})
@@ -306,10 +316,10 @@ def near_copies(
         "nodes",
     )
     described, wanted = described_vectors(nodes, named)
-    entries = inverted_lists(described, wanted, named, shared)
-    found = staged(list_findings(entries, cosine, named, shared, block), "findings")
+    rank = pivot_ranks(described, wanted)
+    found = staged(list_findings(described, rank, cosine, named, shared, block), "findings")
 
-    ends = [nodes.select(F.col("node").alias(e), F.col("v").alias(f"v_{e}"), F.col("copies").alias(f"copies_{e}")) for e in "ab"]
+    ends = [nodes.select(F.col("node").alias(e), F.col("v").cast("array<double>").alias(f"v_{e}"), F.col("copies").alias(f"copies_{e}")) for e in "ab"]
     verified = found.where(F.col("kind") == OPEN).select("a", "b").join(ends[0], "a").join(ends[1], "b")
     verified = staged(verified.where(_cosine("v_a", "v_b") >= cosine).select("a", "b", "copies_a", "copies_b"), "verified")
     counts = (
