@@ -26,6 +26,7 @@ SHARD_BUDGET = 2000
 N_SHARDS = 8
 MAX_LENGTH = MAX_EVENT_LENGTH
 TAIL = 20
+EVENTS_PER_BUCKET = 100_000
 
 
 def _joined(column: str | Column, separator: str = ",") -> Column:
@@ -411,29 +412,30 @@ def token_counts(spark, d):
 
 def sample_encoded(spark, d):
     rows = samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
-    joined = samples.attach_encoded(rows, _encoded(spark, d))
-    return joined.select("sample_id", SEQ, "minute", _joined("input_ids").alias("input_ids"))
+    shown = _encoded(spark, d).select(SEQ, _joined("input_ids").alias("input_ids"))
+    return samples.attach_encoded(rows, shown).select("sample_id", SEQ, "minute", "input_ids")
+
+
+def _laid_out(headers: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Samples from blocks of 64 events. The ids of an event become text before samples share it, not once per sample."""
+    text = lambda ids: F.array_join(F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
+    shown = blocks.withColumn("events", F.transform("events", lambda e: e.withField("ids", text(e["ids"]))))
+    found = store.expand_samples(headers, shown, 64)
+    return found.select("sample_id", "part", "n_events", F.array_join("hi", ";").alias("hi"), _joined("time").alias("time"))
 
 
 def sample_nested(spark, d):
     """The stored form of the samples: per event its three id lists, and the minutes, in parts of 64 events."""
-    placed = samples.sample_positions(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
-    nested = samples.nested_samples(placed, _encoded(spark, d), 64)
-    event = lambda ids: F.array_join(F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
-    return nested.select(
-        "sample_id", "part", "n_events", F.array_join(F.transform("hi", event), ";").alias("hi"), _joined("time").alias("time")
-    )
+    blocks = store.event_blocks(_clean(spark, d), _encoded(spark, d), 64)
+    return _laid_out(staged(_headers(spark, d), "headers"), blocks)
 
 
 def sample_store(spark, d):
     """``sample_nested`` by way of the stored form: headers, and blocks of events by subject."""
     path = f"{staging_root(spark)}/event-blocks-{uuid.uuid4().hex}"
-    write_event_blocks(store.event_blocks(_clean(spark, d), _encoded(spark, d), 64), path, 8)
-    found = store.expand_samples(staged(_headers(spark, d), "headers"), read_event_blocks(spark, path), 64)
-    event = lambda ids: F.array_join(F.transform(ids, lambda x: F.array_join(x.cast("array<string>"), ",")), "|")
-    return found.select(
-        "sample_id", "part", "n_events", F.array_join(F.transform("hi", event), ";").alias("hi"), _joined("time").alias("time")
-    )
+    n_buckets = max(8, -(-_clean(spark, d).count() // EVENTS_PER_BUCKET))
+    write_event_blocks(store.event_blocks(_clean(spark, d), _encoded(spark, d), 64), path, n_buckets)
+    return _laid_out(staged(_headers(spark, d), "headers"), read_event_blocks(spark, path))
 
 
 # Result values

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import labels as lb
 from chronofold.operators import samples, store
+from chronofold.plans.catalog import QUERIES
 from chronofold.sources import writers
 from tests.helpers import events_df, labels_df
 
@@ -76,3 +77,19 @@ def test_written_twice(spark, tmp_path):
     writers.write_event_blocks(blocks.limit(0), path, 7, "skip")
     writers.write_event_blocks(blocks, path, 4, "rebase")
     assert writers.read_event_blocks(spark, path).count() == blocks.count()
+
+
+def test_blocks_are_read_by_row(spark, tmp_path):
+    """A columnar batch would hold the ids of thousands of blocks at once."""
+    events, _, encoded = made(spark, 6)
+    path = str(tmp_path / "blocks")
+    writers.write_event_blocks(store.event_blocks(events, encoded, 8), path, 2)
+    plan = writers.read_event_blocks(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Batched: false" in plan
+
+
+@pytest.mark.parametrize("name", ["sample_nested", "sample_store"])
+def test_ids_become_text_before_samples_share_them(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    text = "lambdafunction(array_join("
+    assert text in plan and text not in plan[: plan.index("Join")]
