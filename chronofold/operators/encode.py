@@ -18,6 +18,8 @@ TYPE_PAD, TYPE_NAME, TYPE_VALUE, TYPE_START, TYPE_END = 0, 2, 3, 5, 6
 DOT_PLACE = 5
 
 MAX_VOCAB = 32767  # ids are 16-bit
+BATCH_BYTES = 16 * 1024 * 1024
+WORDS_PER_PAGE = 50_000
 _DIGITS = frozenset("0123456789.")
 
 
@@ -62,6 +64,17 @@ def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - _starts(counts)[owner]
 
 
+def _pages(batch: pa.RecordBatch, columns: list[str], most: int = WORDS_PER_PAGE) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in runs of about ``most`` words; a single row may have more."""
+    words = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        words += np.diff(batch.column(c).offsets.to_numpy())
+    page = (np.cumsum(words) - words) // most
+    bounds = [0, *(np.flatnonzero(np.diff(page)) + 1), batch.num_rows]
+    for start, end in zip(bounds, bounds[1:], strict=False):
+        yield batch.slice(start, end - start)
+
+
 class _Page:
     """Id matrices of one batch, filled field by field from the left."""
 
@@ -182,9 +195,13 @@ def encode_events(
     batches, where each distinct word of a batch is looked up once. The step is narrow: nothing is
     shuffled, and equal words need not meet. Events without any field to show are dropped.
 
+    Arrow batches are kept to ``BATCH_BYTES`` for the rest of the session and worked through in pages of ``WORDS_PER_PAGE`` words, so that
+    the memory of a Python worker does not follow the length of its texts or the rows of its task.
+
     An event is cut at ``max_length``. With ``in_parts`` it goes on in further rows instead, numbered by ``part``
     from 0; digit places then count within the whole run.
     """
+    events.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     table = load_vocab(vocab)
     special = {t: table[t] for t in (PAD, UNKNOWN, START, END)}
     dot = table.get(".", -1)
@@ -197,7 +214,8 @@ def encode_events(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look_up = shared.value
         name_ids = [look_up(ws)[0] for ws in name_words]
-        for batch in batches:
+        lists_of = [f"_words_{i}" for i in range(len(names))]
+        for batch in (page for whole in batches for page in _pages(whole, lists_of)):
             page = (_Parts if in_parts else _Page)(batch.num_rows, max_length, special)
             for i, name in enumerate(names):
                 column = batch.column(f"_words_{i}")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +177,11 @@ def test_vocab_is_checked(spark):
     bad = small_vocab(spark).union(spark.createDataFrame([("big", 40000)], "token string, id int"))
     with pytest.raises(ValueError, match="0..32767"):
         encode.load_vocab(bad)
+
+
+def test_pages_bound_the_words_of_a_batch():
+    sizes = [3, 0, 9, 1, 1, 40, 2, 2]
+    words = pa.array([["w"] * n for n in sizes])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), words, words], ["seq", "_words_0", "_words_1"])
+    pages = list(encode._pages(batch.slice(1), ["_words_0", "_words_1"], 10))
+    assert [p.column("seq").to_pylist() for p in pages] == [[1, 2], [3], [4, 5], [6, 7]]
