@@ -376,13 +376,19 @@ def _encoded(spark, d, length=MAX_LENGTH):
     return encode.encode_events(_described(spark, d), ad.small_vocab(spark), [SEQ], length)
 
 
+def _ids_text(column: str, length: int = MAX_LENGTH) -> Column:
+    """A padded list of ids as text: only its tokens are joined, the padding is zeros in all three lists."""
+    padding = F.repeat(F.lit(",0"), F.lit(length) - F.col("n_tokens"))
+    return F.concat(_joined(F.slice(column, 1, F.col("n_tokens"))), padding)
+
+
 def encoded_events(spark, d):
     return _encoded(spark, d).select(
         SEQ,
         "n_tokens",
-        _joined("input_ids").alias("input_ids"),
-        _joined("type_ids").alias("type_ids"),
-        _joined("place_ids").alias("place_ids"),
+        _ids_text("input_ids").alias("input_ids"),
+        _ids_text("type_ids").alias("type_ids"),
+        _ids_text("place_ids").alias("place_ids"),
     )
 
 
@@ -392,9 +398,9 @@ def encoded_events_orders(spark, d):
     return encode.encode_events(described, ad.small_vocab(spark), [SEQ], MAX_LENGTH).select(
         SEQ,
         "n_tokens",
-        _joined("input_ids").alias("input_ids"),
-        _joined("type_ids").alias("type_ids"),
-        _joined("place_ids").alias("place_ids"),
+        _ids_text("input_ids").alias("input_ids"),
+        _ids_text("type_ids").alias("type_ids"),
+        _ids_text("place_ids").alias("place_ids"),
     )
 
 
@@ -402,7 +408,7 @@ def encoded_documents(spark, d):
     """Whole document texts through the encoder, in numbered parts of 128 ids."""
     docs = ad.table(spark, d, "documents").select(F.col("lang").alias(CODE), "text", F.col("doc_id").alias(SEQ))
     return encode.encode_events(docs, ad.small_vocab(spark), [SEQ], 128, in_parts=True).select(
-        SEQ, "part", "n_tokens", _joined("input_ids").alias("input_ids"), _joined("place_ids").alias("place_ids")
+        SEQ, "part", "n_tokens", _ids_text("input_ids", 128).alias("input_ids"), _ids_text("place_ids", 128).alias("place_ids")
     )
 
 
