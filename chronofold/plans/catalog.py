@@ -549,8 +549,9 @@ def audit_units(spark, d):
 
 def audit_output(spark, d):
     manifest = _assigned(spark, d).select("sample_id", "split", "shard", "n_events")
-    rows = samples.sample_events(_clean(spark, d), _numbered(spark, d), _labels(spark, d))
-    stored = staged(rows.join(manifest.select("sample_id", "split", "shard"), "sample_id"), "audited")
+    placed = _numbered(spark, d).join(manifest.select("sample_id", "split", "shard"), "sample_id")
+    rows = samples.sample_events(_clean(spark, d), placed, _labels(spark, d), carry=["split", "shard"])
+    stored = staged(rows, "audited")
     return audit.audit_output(stored, manifest)
 
 

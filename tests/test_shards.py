@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import audit, shards, splits
 from chronofold.operators.running import range_totals, ranged
+from chronofold.plans import catalog
 
 
 def by_hand(sizes, budget):
@@ -77,3 +78,15 @@ def test_audit_finds_missing_rows(spark):
     rows = spark.createDataFrame([("1_1", "train", "a")], "sample_id string, split string, shard string")
     got = {r.shard: r.ok for r in audit.audit_output(rows.union(rows), manifest).collect()}
     assert got == {"a": True, "b": False}
+
+
+def test_audited_samples_are_placed_before_the_fan_out(spark, sf_dir, monkeypatch):
+    plans = []
+
+    def staged(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(catalog, "staged", staged)
+    catalog.audit_output(spark, sf_dir)
+    assert "Generate explode(sequence(1, copies" in plans[-1][: plans[-1].index("Join")]
