@@ -1,7 +1,7 @@
 """Running totals per key that never put a whole key into one task.
 
-A window over ``partitionBy(subject)`` sorts all rows of a subject in one task. Here a running
-total is the sum of two parts: earlier slots of the key, from a table with one row per slot, and
+A window over ``partitionBy(subject)`` sorts all rows of a subject in one task, which will do for up to
+a million. A running total of a longer key is the sum of two parts: earlier slots of the key, from a table with one row per slot, and
 earlier rows of the same slot. A slot is an hour, and a part of an hour where one holds too many rows: its
 quantiles, from a sketch of the times, cut it evenly however the rows lie in it.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions.clock import hour_number, micros_of_hour
+from chronofold.operators.skew import by_weight, heavy_keys
 from chronofold.sources.staging import staged
 
 SLOT = "_slot"
@@ -34,15 +35,45 @@ def running_totals(
     """Add ``{m}_before`` for each measure: its sum over earlier rows of the same key.
 
     Rows should already be few per (keys, time): a slot ends only between times. ``totals_from`` may give finer rows with the same
-    sums: slot totals are then taken from them in one small map-side aggregation instead of from
-    the result of the shuffles that made ``df``. The slot number stays in the result as ``_slot``;
-    rows come out hash-partitioned by keys and slot. Totals per hour are written first; only if one of them counts more than
-    ``rows_per_slot`` rows, the hours concerned are cut at quantiles of their times.
+    sums: heavy keys are then found and slot totals taken from them in one small map-side aggregation instead of from
+    the result of the shuffles that made ``df``. The slot number stays in the result as ``_slot``.
+    Keys of up to ``rows_per_slot`` rows are one window, and come out hash-partitioned by keys if all are. Of longer keys
+    totals per hour are written first; only if one of them counts more than ``rows_per_slot`` rows, the hours concerned are cut
+    at quantiles of their times. Rows with a null key or time are left out.
     """
-    earlier = (Window.unboundedPreceding, -1)
     finer = df if totals_from is None else totals_from
+    heavy = heavy_keys(finer, keys, rows_per_slot)
+    if heavy is None:
+        return _in_one_window(df, keys, time, measures, tie_break)
+    light, rest = by_weight(df, heavy)
+    finer = rest if totals_from is None else by_weight(finer, heavy)[1]
+    slotted = _over_slots(rest, keys, time, measures, tie_break, finer, rows_per_slot)
+    return _in_one_window(light, keys, time, measures, tie_break).unionByName(slotted)
+
+
+def _in_one_window(df: DataFrame, keys: list[str], time: str, measures: list[str], tie_break: list[str] | None) -> DataFrame:
+    line = Window.partitionBy(*keys).orderBy(time, *(tie_break or [])).rowsBetween(Window.unboundedPreceding, -1)
+    return df.na.drop(subset=[*keys, time]).select(
+        *df.columns, _hour(time).alias(SLOT), *[_or_zero(F.sum(m).over(line)).alias(f"{m}_before") for m in measures]
+    )
+
+
+def _hour(time: str) -> Column:
+    return F.shiftleft(hour_number(F.col(time)).cast("bigint"), SLOT_BITS)
+
+
+def _over_slots(
+    df: DataFrame,
+    keys: list[str],
+    time: str,
+    measures: list[str],
+    tie_break: list[str] | None,
+    finer: DataFrame,
+    rows_per_slot: int,
+) -> DataFrame:
+    earlier = (Window.unboundedPreceding, -1)
     totals = [F.sum(m).alias(m) for m in measures]
-    hour = F.shiftleft(hour_number(F.col(time)).cast("bigint"), SLOT_BITS)
+    hour = _hour(time)
     counted = staged(finer.groupBy(*keys, hour.alias(SLOT)).agg(*totals, F.count(F.lit(1)).alias("_n")), "slots")
     placed = df.withColumn(SLOT, hour)
     crowded = counted.where(F.col("_n") > rows_per_slot).select(*keys, SLOT, "_n")

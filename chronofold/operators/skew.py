@@ -5,7 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronofold.sources.staging import staged
+
 ROWS_PER_TASK = 20_000_000  # pairs of one key that one task may compare
+BUCKETS = 1 << 16
+
+
+def heavy_keys(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, written; None if there are none.
+
+    Rows are counted by a hash of the keys first, which shuffles ``BUCKETS`` counts a task at most. Keys are counted in
+    buckets beyond the limit alone, as no other can hold a heavy one.
+    """
+    n = F.count(F.lit(1)).alias("_n")
+    hashed = rows.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket"))
+    full = staged(hashed.groupBy("_bucket").agg(n).where(F.col("_n") > limit).select("_bucket"), "full-buckets")
+    if full.isEmpty():
+        return None
+    counted = hashed.join(full, "_bucket", "left_semi").groupBy(*keys).agg(n)
+    heavy = staged(counted.where(F.col("_n") > limit).select(*keys), "heavy-keys")
+    return None if heavy.isEmpty() else heavy
+
+
+def by_weight(rows: DataFrame, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of other keys than the heavy ones, and rows of these."""
+    return tuple(rows.join(heavy, heavy.columns, kind).select(*rows.columns) for kind in ("left_anti", "left_semi"))
 
 
 def _grid(

@@ -46,3 +46,24 @@ def test_event_numbers_of_a_crowded_hour(spark, monkeypatch):
     for s in (1, 2):
         mine = [seq for subject, _, seq in order if subject == s]
         assert [n for seq in mine for q, _, _, n in plain if q == seq] == list(range(1, 401))
+
+
+def test_event_numbers_of_heavy_subjects(spark, monkeypatch):
+    rng = random.Random(33)
+    rows = [(s, rng.randint(0, 400) / 2, "A", 1.0, 10_000 * s + k) for s, n in ((1, 300), (2, 40), (3, 1)) for k in range(n)]
+    events = events_df(spark, rows + [(None, 0, "A", 1.0, 1), (4, None, "A", 1.0, 2)])
+    plain = ev.number_events(events)
+    monkeypatch.setattr(ev, "SEQ_BLOCK", 7)
+    assert sorted(map(tuple, ev.number_events(events, 50).collect())) == sorted(map(tuple, plain.collect()))
+    assert dict(plain.dtypes) == dict(ev.number_events(events, 50).dtypes)
+    order = sorted((r[0], r[1], r[4]) for r in rows)
+    found = {r.seq: r.event_no for r in plain.collect()}
+    assert [found[seq] for _, _, seq in order] == [*range(1, 301), *range(1, 41), 1]
+
+
+def test_events_move_once_by_subject(spark, tmp_path):
+    path = str(tmp_path / "events")
+    events_df(spark, [(s, m, "A", 1.0, 100 * s + m) for s in range(9) for m in range(20)]).write.parquet(path)
+    groups = ev.event_groups(spark.read.parquet(path), 4)
+    assert groups.count() == 180
+    assert groups._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
