@@ -79,14 +79,16 @@ def stream_codes(spark: SparkSession) -> DataFrame:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("o_custkey").alias(SUBJECT),
-        F.col("o_orderdate").alias(TIME),
+    # Made before the join, which then moves these instead of the columns they are made of.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
         F.concat_ws("//", F.lit("LAB"), line_item(), "l_returnflag").alias(CODE),
         F.col("l_quantity").alias(VALUE),
         line_seq().alias(SEQ),
     )
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias(SUBJECT), F.col("o_orderdate").alias(TIME), CODE, VALUE, SEQ
+    )
 
 
 def line_item():

@@ -138,3 +138,9 @@ def test_profile_reports(spark, sf_dir, tmp_path):
     rows = summary.agg(F.sum(F.col("total_rows").cast("bigint"))).first()[0]
     assert rows == ad.table(spark, sf_dir, "lineitem").count()
     assert set(paths) == {"category_summary", "category_examples", "top_values", "bucket_summary", "bucket_examples", "bucket_top_values"}
+
+
+def test_order_events_are_made_before_the_join(spark, sf_dir):
+    rows = ad.order_events(spark, sf_dir).select("subject_id", "time", "code", "seq")
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    assert "l_partkey" in below and "l_partkey" not in above
