@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from chronofold.functions.clock import minutes_between
 from chronofold.operators.events import number_events
 from chronofold.operators.labels import PREDICTION_TIME
-from chronofold.operators.skew import ROWS_PER_TASK, grid_join
+from chronofold.operators.skew import ROWS_PER_TASK, by_weight, grid_join, heavy_keys
 from chronofold.schema import DEBUG_EVENTS, SEQ, SUBJECT, TIME
 
 SEQUENCE_PART = 1024
+TAILS_PER_SUBJECT = 64
 
 
 def match_events(
@@ -124,42 +125,60 @@ def sample_tail(
     labels: DataFrame,
     n: int = DEBUG_EVENTS,
     rows_per_task: int = ROWS_PER_TASK,
+    tails_per_subject: int = TAILS_PER_SUBJECT,
 ) -> DataFrame:
     """The last ``n`` rows of every sample, minutes counted from the first row kept (debug view).
 
-    Event ordinals are cut into blocks of ``n``: the last rows of a sample lie in two blocks, so
-    the join meets at most 2n events per sample instead of the sample's whole history.
+    A sample's last rows come from its last ``n`` events. Subjects with up to ``tails_per_subject`` * ``n`` events are matched by
+    subject, as they lie after numbering. Event ordinals of longer ones are cut into blocks of ``n``: the last events of a sample lie in
+    two blocks, so a sample meets a bounded number of events instead of its whole history either way.
     """
-    numbered = number_events(events.select(SUBJECT, TIME, SEQ)).withColumn(
-        "_block", F.floor((F.col("event_no") - 1) / n)
+    numbered = number_events(events.select(SUBJECT, TIME, SEQ))
+    asked = headers.select(SUBJECT, "sample_id", "copies", "base_events", "n_events")
+    heavy = heavy_keys(events, [SUBJECT], tails_per_subject * n)
+    if heavy is None:
+        return _tail_rows(_last_events(numbered, asked, events, labels, n, rows_per_task), n)
+    (short, long), (few, many) = by_weight(numbered, heavy), by_weight(asked, heavy)
+    matched = _last_events(short, few, by_weight(events, heavy)[0], labels, n, rows_per_task)
+    return _tail_rows(matched, n).unionByName(_tail_rows(_last_blocks(long, many, labels, n, rows_per_task), n))
+
+
+def _last_events(
+    numbered: DataFrame, asked: DataFrame, events: DataFrame, labels: DataFrame, n: int, rows_per_task: int
+) -> DataFrame:
+    last = (F.col("event_no") <= F.col("base_events")) & (F.col("event_no") > F.col("base_events") - n)
+    return grid_join(
+        numbered, asked, SUBJECT, last, F.xxhash64(SEQ), F.xxhash64("sample_id"), events, labels, rows_per_task
     )
+
+
+def _last_blocks(numbered: DataFrame, asked: DataFrame, labels: DataFrame, n: int, rows_per_task: int) -> DataFrame:
+    blocks = numbered.withColumn("_block", F.floor((F.col("event_no") - 1) / n))
     last_block = F.floor((F.col("base_events") - 1) / n)
-    wanted = headers.select(
+    wanted = asked.withColumn(
+        "_wanted", F.explode(F.sequence(F.greatest(last_block - 1, F.lit(0)), last_block))
+    )
+    # A block has at most n events, so only the sample side can be heavy.
+    return grid_join(
+        blocks,
+        wanted,
         SUBJECT,
-        "sample_id",
-        "copies",
-        "base_events",
-        "n_events",
-        F.explode(F.sequence(F.greatest(last_block - 1, F.lit(0)), last_block)).alias("_wanted"),
+        (F.col("_block") == F.col("_wanted")) & (F.col("event_no") <= F.col("base_events")),
+        F.xxhash64(SEQ),
+        F.xxhash64("sample_id"),
+        None,
+        labels,
+        rows_per_task,
     )
+
+
+def _tail_rows(matched: DataFrame, n: int) -> DataFrame:
     # Each copy of a time holds at least one row, so only the last n copies can reach the tail.
     copy_no = F.explode(
         F.sequence(F.greatest(F.col("copies") - (n - 1), F.lit(1)), F.col("copies"))
     )
-    # A block has at most n events, so only the sample side can be heavy.
     rows = (
-        grid_join(
-            numbered,
-            wanted,
-            SUBJECT,
-            (F.col("_block") == F.col("_wanted")) & (F.col("event_no") <= F.col("base_events")),
-            F.xxhash64(SEQ),
-            F.xxhash64("sample_id"),
-            None,
-            labels,
-            rows_per_task,
-        )
-        .select("*", copy_no.alias("copy_no"))
+        matched.select("*", copy_no.alias("copy_no"))
         .withColumn(
             "pos",
             F.col("group_start") * F.col("copies")
@@ -168,8 +187,8 @@ def sample_tail(
         )
         .where(F.col("pos") > F.col("n_events") - n)
     )
-    # At most n rows per sample are left.
-    tail_start = F.min(TIME).over(Window.partitionBy("sample_id"))
+    # At most n rows per sample are left. Matched by subject alone, they lie together already.
+    tail_start = F.min(TIME).over(Window.partitionBy(SUBJECT, "sample_id"))
     return rows.select(
         "sample_id", "pos", SEQ, "copy_no", minutes_between(tail_start, F.col(TIME)).alias("minute")
     )

@@ -209,3 +209,41 @@ def test_align_labels(spark):
     events = events_df(spark, [(1, 0, "A", 1.0, 1)]).withColumn("split", F.lit("train"))
     labels = labels_df(spark, [(1, 9, True, "train"), (1, 8, True, "tuning"), (2, 9, True, "train")], ", split string")
     assert rows_of(lb.align_labels(events, labels), "subject_id", "split") == [(1, "train")]
+
+
+def test_join_by_key_moves_each_side_once(spark, tmp_path):
+    for name in ("l", "r"):
+        spark.range(60).selectExpr("id % 7 as key", f"id as {name}").write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in ("l", "r"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = grid_join(left, right, "key", F.col("l") <= F.col("r"), F.xxhash64("l"), F.xxhash64("r"), left, right)
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+        assert joined.count() == sum(a % 7 == b % 7 and a <= b for a in range(60) for b in range(60))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.mark.parametrize("tails_per_subject, rows_per_task", [(1, 2_000_000), (1, 5), (0, 5), (64, 5)])
+def test_tails_of_long_and_short_subjects(spark, tails_per_subject, rows_per_task):
+    event_rows, label_rows = random_case(6)
+    events, labels, headers = build(spark, event_rows, label_rows, ", note string")
+    tail = defaultdict(list)
+    for r in sm.sample_tail(events, headers, labels, 10, rows_per_task, tails_per_subject).orderBy("sample_id", "pos").collect():
+        tail[r.sample_id].append((r.seq, r.minute))
+    expected = brute_samples(event_rows, label_rows)
+    assert tail == {s: [(q, m - v[-10:][0][1]) for q, m in v[-10:]] for s, v in expected.items()}
+
+
+def test_tail_rows_do_not_move(spark):
+    event_rows, label_rows = random_case(7)
+    events, labels, headers = build(spark, event_rows, label_rows, ", note string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sm.sample_tail(events, headers, labels, 10)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(subject_id" in plan and "hashpartitioning(sample_id" not in plan
+        assert "_block" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
