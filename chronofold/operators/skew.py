@@ -77,10 +77,13 @@ def grid_join(
     row the other way round, so every pair meets exactly once. ``slice_left`` and ``slice_right`` are
     hashes that spread the rows of one key. ``left_keys`` and ``right_keys`` are the tables keys are
     counted on, as cheap as can be; None for a side that cannot be heavy. Columns other than ``key``
-    must differ between the sides. The grid has a row for each key with too many pairs for one task and is
+    must differ between the sides. The grid has a row for each key with too many pairs for one task. It is written first: without a
+    row the join is by key alone, and sides that lie by key already do not move; else it is
     joined like any other table: adaptive execution broadcasts it where it is small.
     """
-    grid = _grid(key, left_keys, right_keys, rows_per_task)
+    grid = staged(_grid(key, left_keys, right_keys, rows_per_task), "grid")
+    if grid.isEmpty():
+        return left.join(right.withColumnRenamed(key, "_key"), (F.col(key) == F.col("_key")) & condition).drop("_key")
 
     def slice_of(hashed: Column, n: str) -> Column:
         return F.when(F.col(n).isNull(), F.lit(0)).otherwise(F.pmod(hashed, F.col(n)).cast("int"))

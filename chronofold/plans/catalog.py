@@ -54,6 +54,11 @@ def _numbered(spark: SparkSession, d: str) -> DataFrame:
     return labels.number_samples(_clean(spark, d), _labels(spark, d))
 
 
+def _placed_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Subject, time and seq of the order events, joined once and written, for queries that read them more than once."""
+    return staged(ad.order_events(spark, d).select(SUBJECT, TIME, SEQ), "order-events")
+
+
 def _order_numbered(spark: SparkSession, d: str) -> DataFrame:
     return labels.number_samples(ad.order_events(spark, d), _order_labels(spark, d))
 
@@ -104,9 +109,8 @@ def sample_positions(spark, d):
 
 
 def sample_positions_orders(spark, d):
-    return samples.sample_positions(
-        ad.order_events(spark, d), _order_numbered(spark, d), _order_labels(spark, d)
-    ).select("sample_id", SEQ, "copy_no", "pos", "minute")
+    placed, asked = _placed_orders(spark, d), _order_labels(spark, d)
+    return samples.sample_positions(placed, labels.number_samples(placed, asked), asked).select("sample_id", SEQ, "copy_no", "pos", "minute")
 
 
 def sample_sequences(spark, d):
@@ -121,9 +125,8 @@ def sample_tail(spark, d):
 
 
 def sample_tail_orders(spark, d):
-    return samples.sample_tail(
-        ad.order_events(spark, d), _order_headers(spark, d), _order_labels(spark, d), TAIL
-    )
+    placed, asked = _placed_orders(spark, d), _order_labels(spark, d)
+    return samples.sample_tail(placed, labels.sample_headers(placed, asked), asked, TAIL)
 
 
 # Events and labels
