@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 from typing import Any
@@ -24,6 +25,7 @@ from chronofold.schema import (
 )
 
 MISSING_PART = "UNK"
+ROWS_PER_RANGE = 500_000
 _COLUMN = re.compile(r"^\s*col\(\s*(.+?)\s*\)\s*$")
 
 
@@ -89,15 +91,23 @@ def subject_sharded(df: DataFrame, n_shards: int) -> DataFrame:
     )
 
 
-def merge_cohort(parts: list[DataFrame], n_shards: int) -> DataFrame:
+def range_count(rows: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """Tasks that ``rows`` should be spread over, so that a task's memory does not grow with the table; counts them."""
+    return max(1, math.ceil(rows.count() / rows_per_range))
+
+
+def merge_cohort(parts: list[DataFrame], n_shards: int, n_ranges: int | None = None) -> DataFrame:
     """All sources together, duplicates removed, with split and shard, in ranges of these, subject and time.
 
     Rows meet once: ranges run over all columns, so equal rows share a range and are dropped there, and a subject or a time with many
-    rows still spreads over ranges. The ranges are those that ``write_event_shards`` wants, which then only sorts.
+    rows still spreads over ranges. The ranges are those that ``write_event_shards`` wants, which then only sorts. Without
+    ``n_ranges`` rows are counted for their number first.
     """
     rows = subject_sharded(union_all(parts), n_shards)
     first = ["split", "shard", SUBJECT, TIME]
-    return rows.repartitionByRange(*first, *[c for c in rows.columns if c not in first]).dropDuplicates()
+    n_ranges = range_count(rows) if n_ranges is None else n_ranges
+    number = [n_ranges] if n_ranges > 1 else []
+    return rows.repartitionByRange(*number, *first, *[c for c in rows.columns if c not in first]).dropDuplicates()
 
 
 def code_metadata(events: DataFrame, sources: list[DataFrame] | None = None) -> DataFrame:

@@ -221,10 +221,14 @@ def merge_cohort(spark, d):
     one = extract.finalize_events(ad.stream_events(spark, d).drop(SEQ))
     again = one.where(f"{CODE} = 'click'").drop("props")
     other = extract.finalize_events(ad.order_events(spark, d).drop(SEQ))
-    merged = extract.merge_cohort([one, again.withColumn("props", F.lit(None).cast("string")), other], N_SHARDS)
-    return merged.groupBy("split", "shard", CODE).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(SUBJECT).alias("subjects")
-    )
+    parts = [one, again.withColumn("props", F.lit(None).cast("string")), other]
+    n_ranges = extract.range_count(extract.union_all(parts))
+    merged = extract.merge_cohort(parts, N_SHARDS, n_ranges)
+    group = ["split", "shard", CODE]
+    # Subjects of a code are counted in as many tasks as the merge has ranges, whatever the session's number is.
+    placed = merged.select(*group, SUBJECT).repartition(*([n_ranges] if n_ranges > 1 else []), *group, SUBJECT)
+    pairs = placed.groupBy(*group, SUBJECT).agg(F.count(F.lit(1)).alias("n_rows"))
+    return pairs.groupBy(*group).agg(F.sum("n_rows").alias("n_rows"), F.count(SUBJECT).alias("subjects"))
 
 
 def finalize_events(spark, d):

@@ -62,6 +62,17 @@ def test_rows_move_once(spark, tmp_path):
     assert final.count() == len(rows)
 
 
+def test_ranges_of_a_merge_hold_a_bounded_number_of_rows(spark, tmp_path):
+    rows = [(s, m, "A", float(m), 0) for s in range(40) for m in range(50)]
+    path = str(tmp_path / "events")
+    events_df(spark, rows).drop("seq").write.parquet(path)
+    source = spark.read.parquet(path)
+    assert extract.range_count(source, 200) == 10 and extract.range_count(source.limit(0)) == 1
+    merged = extract.merge_cohort([source, source], 3, extract.range_count(source.union(source), 200))
+    sizes = [r["count"] for r in merged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 10 and max(sizes) <= 300
+
+
 def test_rows_by_subject_do_not_move(spark, tmp_path):
     left, right = (str(tmp_path / n) for n in ("labs", "visits"))
     lab = spark.range(3000).select((F.col("id") % 101).alias("patient"), "id")
